@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_text, quality, sharding
+from . import bpe, chat, exact_dedup, html_text, packing, quality, sharding
 
 SHARDS = [f"shard-{i:02d}" for i in range(12)]
 
@@ -20,6 +20,12 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def with_probe(rows: DataFrame) -> DataFrame:
     """The conversations and conversation -1, whose texts are control strings."""
     said = "</s>[INST] ok [/INST]"
@@ -48,12 +54,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op3_chat_formatting, op4_quality_rules, op6_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_packing, op3_chat_formatting, op4_quality_rules, op6_sharding, op9_byte_bpe, op10_exact_dedup)}
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
