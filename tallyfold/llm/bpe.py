@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import PieceCache, shared
+from .shipping import ship
 
 #: Texts encoded at a time.
 SLICE = 256
@@ -123,6 +124,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
+    ship(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 

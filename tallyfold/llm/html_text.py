@@ -23,6 +23,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shipping import ship
+
 #: Lines in a window, and the text length of a window at which the main text surges.
 WINDOW = 3
 SURGE = 120
@@ -164,4 +166,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     rows = pages.selectExpr(f"`{id_col}` as page_id", f"`{url_col}` as url", f"cast(`{html_col}` as string) as html")
     kind = dict(rows.dtypes)
+    ship(pages.sparkSession)
     return rows.mapInArrow(run, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long")

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .pieces import PieceCache, shared
+from .shipping import ship
 
 CAPACITY = 2048
 #: Tokens of penalty for a cut at a document's end, a sentence's end, a clause's end, elsewhere.
@@ -181,4 +182,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
         if rows := packer.finish():
             yield batch(rows)
 
+    ship(docs.sparkSession)
     return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text").mapInArrow(run, SCHEMA)
