@@ -14,12 +14,27 @@ LOG2_BITS = 25
 
 
 def _place(key: Column, log2_bits: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(1 << log2_bits))
+    return F.when(key.isNotNull(), F.pmod(F.xxhash64(key), F.lit(1 << log2_bits)))
+
+
+def _marked(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int) -> DataFrame:
+    at = _place(F.col(key), log2_bits)
+    bits = wanted.select(_place(F.col(key), log2_bits).alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 as int))")).alias("_bits"))
+    marked = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(bits), "_word", "left")
+    return marked.withColumn("_may", F.coalesce(F.expr("shiftright(_bits, cast(_at & 63 as int)) & 1") == 1, F.lit(False)))
 
 
 def may_join(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int = LOG2_BITS) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not among ``wanted``'s."""
-    at = _place(F.col(key), log2_bits)
-    bits = wanted.select(at.alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 as int))")).alias("_bits"))
-    marked = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(bits), "_word")
-    return marked.filter(F.expr("shiftright(_bits, cast(_at & 63 as int)) & 1") == 1).select(*rows.columns)
+    return _marked(rows, key, wanted, log2_bits).filter("_may").select(*rows.columns)
+
+
+def surely_not(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int = LOG2_BITS) -> DataFrame:
+    """The rows that :func:`may_join` leaves out; null keys are among them."""
+    return _marked(rows, key, wanted, log2_bits).filter("not _may").select(*rows.columns)
+
+
+def without(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """``rows`` less those whose ``key`` is in ``dropped``; only rows that may be are shuffled."""
+    keys = dropped.select(key)
+    return surely_not(rows, key, keys).unionByName(may_join(rows, key, keys).join(keys.hint("merge"), key, "left_anti").select(*rows.columns))
