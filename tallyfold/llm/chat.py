@@ -1,9 +1,8 @@
 """Reply trees to formatted conversations.
 
-Messages point to their parent.  Ancestor chains of the leaves are found by
-iterative self-joins that double the known stretch each time, over ids only;
-branches of a tree are ranked by score, and the chosen paths are joined with
-the texts once.
+Messages point to their parent.  The paths from the root to each leaf are found
+by iterative self-joins over ids only; branches of a tree are ranked by score,
+and the chosen paths are joined with the texts once.
 
 Template: a turn is ``[role] text [/role]``, an assistant's turn is followed
 by ``</s>``.  Texts and roles are escaped so that they hold neither ``[`` nor
@@ -49,33 +48,38 @@ def nodes_table(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> D
 
 
 def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, path, score) of every leaf; ``path`` runs from the root, score is the mean over its messages.
+    """(tree, leaf, node, up): each leaf with each message on its way to the root, ``up`` steps above it.
 
-    ``nodes`` has tree, node, parent and score; a node of a tree is unique.
-    After k rounds a row knows its 2**k nearest ancestors, so the rounds grow
-    with the logarithm of the depth.
+    ``nodes`` has tree, node and parent; a node of a tree is unique.  Self-joins
+    of the parents give the ancestors 2, 4, 8 ... steps above, for as long as
+    there are any; from the farthest to the nearest these extend the leaves'
+    paths.  So the rounds grow with the logarithm of the depth, and no more
+    rows are made than the paths have.
     """
     scratch = Scratch(nodes.sparkSession, "reply-paths")
-    ids = nodes.select("tree", "node", "parent", "score")
-    known = ids.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    ids = ids.join(known, ["tree", "parent"], "left").withColumn("parent", F.when(F.col("there"), F.col("parent")))
-    state = scratch.write(ids.select("tree", "node", F.col("parent").alias("top"), F.array("node").alias("path"), F.col("score").alias("total")))
-    has_child = state.filter("top is not null").select("tree", F.col("top").alias("node")).distinct()
-    leaves = scratch.write(state.join(has_child, ["tree", "node"], "left_anti").select("tree", "node"))
-    while not state.filter("top is not null").isEmpty():
-        up = state.select("tree", F.col("node").alias("top"), F.col("top").alias("next"), F.col("path").alias("before"), F.col("total").alias("more"))
-        step = state.join(up.hint("merge"), ["tree", "top"], "left")
-        new = scratch.write(step.select("tree", "node", F.col("next").alias("top"), F.when(F.col("before").isNotNull(), F.concat("before", "path")).otherwise(F.col("path")).alias("path"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")))
-        if state is not None and id(state) in scratch.paths and scratch.count > 3:
-            scratch.free(state)
-        state = new
-    return state.join(leaves, ["tree", "node"]).select("tree", F.col("node").alias("leaf"), "path", (F.col("total") / F.size("path")).alias("score"))
-
-
-def best(found: DataFrame, top: int | None = None) -> DataFrame:
-    """``found`` with the rank of each branch in its tree; only ranks up to ``top`` if given."""
-    w = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc(F.size("path")), "leaf")
-    out = found.withColumn("rank", F.row_number().over(w))
+    ids = nodes.select("tree", "node", "parent")
+    known = ids.select("tree", F.col("node").alias("parent"))
+    jumps = [scratch.write(ids.filter("parent is not null").join(known.hint("merge"), ["tree", "parent"]).select("tree", "node", F.col("parent").alias("to")))]
+    while not jumps[-1].isEmpty():
+        far = jumps[-1].select("tree", F.col("node").alias("to"), F.col("to").alias("far"))
+        jumps.append(scratch.write(jumps[-1].join(far.hint("merge"), ["tree", "to"]).select("tree", "node", F.col("far").alias("to"))))
+    answered = jumps[0].select("tree", F.col("to").alias("node")).distinct()
+    found = scratch.write(ids.select("tree", "node").join(answered.hint("merge"), ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))
+    for k in range(len(jumps) - 2, -1, -1):
+        more = found.join(jumps[k].hint("merge"), ["tree", "node"]).select("tree", "leaf", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
+        found = found.unionByName(scratch.write(more))
+    return found
+
+
+def best(nodes: DataFrame, steps: DataFrame, top: int | None = None) -> DataFrame:
+    """(tree, leaf, score, size, rank) of the branches; only ranks up to ``top`` if given.
+
+    A branch's score is the mean of its messages'; ties go to the longer, then to the smaller leaf.
+    """
+    scored = steps.join(nodes.select("tree", "node", "score").hint("merge"), ["tree", "node"])
+    branches = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("size"))
+    w = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("size"), "leaf")
+    out = branches.withColumn("rank", F.row_number().over(w))
     return out if top is None else out.filter(F.col("rank") <= top)
 
 
@@ -84,11 +88,11 @@ def turn_text(role: Column, text: Column) -> Column:
     return F.concat(F.lit("["), r, F.lit("] "), escape(text), F.lit(" [/"), r, F.lit("]"), F.when(role == LOSS_ROLE, F.lit("</s>")).otherwise(F.lit("")))
 
 
-def format_paths(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(tree, leaf, formatted, loss_spans): the chosen paths with their texts; spans are (start, length) in code points."""
-    steps = chosen.select("tree", "leaf", F.posexplode("path").alias("pos", "node"))
-    turns = steps.join(nodes.select("tree", "node", "role", "text").hint("merge"), ["tree", "node"])
-    turns = turns.select("tree", "leaf", F.struct("pos", turn_text(F.col("role"), F.col("text")).alias("s")).alias("t"))
+def format_paths(nodes: DataFrame, steps: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(tree, leaf, formatted, loss_spans): the chosen branches with their texts; spans are (start, length) in code points."""
+    picked = steps.join(chosen.select("tree", "leaf").hint("merge"), ["tree", "leaf"], "left_semi")
+    turns = picked.join(nodes.select("tree", "node", "role", "text").hint("merge"), ["tree", "node"])
+    turns = turns.select("tree", "leaf", F.struct((-F.col("up")).alias("pos"), turn_text(F.col("role"), F.col("text")).alias("s")).alias("t"))
     whole = turns.groupBy("tree", "leaf").agg(F.array_join(F.transform(F.sort_array(F.collect_list("t")), lambda t: t["s"]), "").alias("formatted"))
     return whole.withColumn("loss_spans", loss_spans(F.col("formatted")))
 

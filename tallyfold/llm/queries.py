@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, jaccard_join, packing, quality, sharding, suffix_dedup
+from . import bpe, chat, exact_dedup, html_text, jaccard_join, line_dedup, packing, quality, sharding, suffix_dedup
 
 SHARDS = [f"shard-{i:02d}" for i in range(12)]
 
@@ -35,8 +35,8 @@ def with_probe(rows: DataFrame) -> DataFrame:
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = chat.nodes_table(with_probe(table(spark, sf_dir, "conversations")))
-    chosen = chat.best(chat.paths(nodes), top=1)
-    out = chat.format_paths(nodes, chosen)
+    steps = chat.paths(nodes)
+    out = chat.format_paths(nodes, steps, chat.best(nodes, steps, top=1))
     turns = chat.parsed(F.col("formatted"))
     out = out.withColumn("_turns", turns)
     said = F.transform("_turns", lambda t: F.concat(chat.unescape(t["role"]), F.lit("\n"), chat.unescape(t["raw"]), F.lit("\n")))
@@ -58,6 +58,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.groups(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(spark, table(spark, sf_dir, "documents"))
 
@@ -73,7 +77,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_packing, op3_chat_formatting, op4_quality_rules, op5_suffix_array_dedup, op6_sharding, op8_ngram_jaccard_join, op9_byte_bpe, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_packing, op3_chat_formatting, op4_quality_rules, op5_suffix_array_dedup, op6_sharding, op7_line_dedup, op8_ngram_jaccard_join, op9_byte_bpe, op10_exact_dedup)}
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
