@@ -1,6 +1,12 @@
+"""The registered queries over the supplied tables, and their DuckDB SQL."""
+
+from . import events, network, texts  # noqa: F401
+from .common import QUERIES, SQL
+
+
 def queries():
-    return {}
+    return QUERIES
 
 
 def oracle_sql():
-    return {}
+    return SQL
