@@ -6,8 +6,9 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RATIO = 0.84
 SHORTEST = 5
@@ -42,12 +43,18 @@ def candidates(names: DataFrame, key: str, ratio: float = RATIO) -> DataFrame:
     return near.union(inside).distinct()
 
 
-@F.pandas_udf("double")
-def sequence_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    from difflib import SequenceMatcher
+def sequence_ratio(a: str, b: str) -> Column:
+    """Ratio of the matching parts of two columns, by Arrow batches.  The function is local, so that workers need no import of this package."""
 
-    for a, b in pairs:
-        yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        from difflib import SequenceMatcher
+
+        import pandas
+
+        for x, y in pairs:
+            yield pandas.Series([SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    return F.pandas_udf(ratio, T.DoubleType())(a, b)
 
 
 def near_names(rows: DataFrame, key: str, ratio: float = RATIO) -> DataFrame:
