@@ -19,8 +19,8 @@ def distance_m(lat1, lon1, lat2, lon2) -> Column:
 
 def reliability(confidence: Column | str) -> Column:
     """0..5 from a confidence of 0..1, half to even; 0 for what is no number."""
-    x = text(confidence).try_cast("double")
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(5), F.bround(x * 5, 0).cast("int"))), F.lit(0))
+    stars = F.bround(text(confidence).try_cast("double") * 5, 0).cast("int")
+    return F.when(stars.isNull(), F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.lit(5), stars)))  # least and greatest pass over nulls
 
 
 def token_estimate(c: Column | str) -> Column:
