@@ -19,19 +19,19 @@ def _place(key: Column, log2_bits: int) -> Column:
 
 def _marked(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int) -> DataFrame:
     at = _place(F.col(key), log2_bits)
-    bits = wanted.select(_place(F.col(key), log2_bits).alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 as int))")).alias("_bits"))
-    marked = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(bits), "_word", "left")
-    return marked.withColumn("_may", F.coalesce(F.expr("shiftright(_bits, cast(_at & 63 as int)) & 1") == 1, F.lit(False)))
+    bits = wanted.select(_place(F.col(key), log2_bits).alias("_bm_at")).groupBy(F.shiftright("_bm_at", 6).alias("_bm_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bm_at & 63 as int))")).alias("_bm_bits"))
+    marked = rows.withColumn("_bm_at", at).withColumn("_bm_word", F.shiftright("_bm_at", 6)).join(F.broadcast(bits), "_bm_word", "left")
+    return marked.withColumn("_bm_may", F.coalesce(F.expr("shiftright(_bm_bits, cast(_bm_at & 63 as int)) & 1") == 1, F.lit(False)))
 
 
 def may_join(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int = LOG2_BITS) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not among ``wanted``'s."""
-    return _marked(rows, key, wanted, log2_bits).filter("_may").select(*rows.columns)
+    return _marked(rows, key, wanted, log2_bits).filter("_bm_may").select(*rows.columns)
 
 
 def surely_not(rows: DataFrame, key: str, wanted: DataFrame, log2_bits: int = LOG2_BITS) -> DataFrame:
     """The rows that :func:`may_join` leaves out; null keys are among them."""
-    return _marked(rows, key, wanted, log2_bits).filter("not _may").select(*rows.columns)
+    return _marked(rows, key, wanted, log2_bits).filter("not _bm_may").select(*rows.columns)
 
 
 def without(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ and the chosen paths are joined with the texts once.
 Template: a turn is ``[role] text [/role]``, an assistant's turn is followed
 by ``</s>``.  Texts and roles are escaped so that they hold neither ``[`` nor
 ``<``: the escapes are ``\\b`` for a backslash, ``\\l`` for ``[`` and ``\\g``
-for ``<``.  So no text can form a control string, and the original is got
+for ``<``, and in roles ``\\r`` for ``]`` and ``\\s`` for ``/``.  So no text can form a control string, and the original is got
 back exactly.
 
 Defined cases: a null text counts as empty and a null role as the empty role;
@@ -34,6 +34,14 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("\\l"), F.lit("[")), F.lit("\\g"), F.lit("<")), F.lit("\\b"), F.lit("\\"))
 
 
+def escape_role(role: Column) -> Column:
+    return F.replace(F.replace(escape(role), F.lit("]"), F.lit("\\r")), F.lit("/"), F.lit("\\s"))
+
+
+def unescape_role(tag: Column) -> Column:
+    return unescape(F.replace(F.replace(tag, F.lit("\\r"), F.lit("]")), F.lit("\\s"), F.lit("/")))
+
+
 def chains(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Linear conversations as reply trees: each message answers the one before it."""
     w = Window.partitionBy("tree").orderBy("turn", "role", "text")
@@ -84,7 +92,7 @@ def best(nodes: DataFrame, steps: DataFrame, top: int | None = None) -> DataFram
 
 
 def turn_text(role: Column, text: Column) -> Column:
-    r = escape(role)
+    r = escape_role(role)
     return F.concat(F.lit("["), r, F.lit("] "), escape(text), F.lit(" [/"), r, F.lit("]"), F.when(role == LOSS_ROLE, F.lit("</s>")).otherwise(F.lit("")))
 
 
@@ -98,14 +106,14 @@ def format_paths(nodes: DataFrame, steps: DataFrame, chosen: DataFrame) -> DataF
 
 
 def parsed(formatted: Column) -> Column:
-    """array<struct<role, raw>> read from formatted text; ``raw`` is still escaped."""
+    """array<struct<role, tag, raw, size>> read from formatted text; ``tag`` and ``raw`` are role and text as they stand there."""
     pieces = F.filter(F.split(formatted, r"(?=\[[^/\[\]][^\[\]]*\] |\[\] )"), lambda x: x != "")
     role = lambda x: F.substring_index(F.substring(x, 2, 2**31 - 1), "] ", 1)
 
     def one(x: Column) -> Column:
         r = role(x)
         inner = F.regexp_extract(x, r"(?s)^\[[^\]]*\] ([^\[]*) \[/", 1)
-        return F.struct(r.alias("role"), inner.alias("raw"), F.length(x).cast("long").alias("size"))
+        return F.struct(unescape_role(r).alias("role"), r.alias("tag"), inner.alias("raw"), F.length(x).cast("long").alias("size"))
 
     return F.transform(pieces, one)
 
@@ -115,7 +123,7 @@ def loss_spans(formatted: Column) -> Column:
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
 
     def step(acc: Column, t: Column) -> Column:
-        span = F.struct((acc["at"] + F.length(t["role"]) + 3).cast("long").alias("start"), F.length(t["raw"]).cast("long").alias("length"))
+        span = F.struct((acc["at"] + F.length(t["tag"]) + 3).cast("long").alias("start"), F.length(t["raw"]).cast("long").alias("length"))
         spans = F.when(t["role"] == LOSS_ROLE, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct((acc["at"] + t["size"]).alias("at"), spans.alias("spans"))
 
