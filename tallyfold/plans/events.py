@@ -261,3 +261,63 @@ def override_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select c_custkey, substr(sha256(coalesce(c_name, '') || '|' || coalesce(c_mktsegment, '')), 1, 16) as id, greatest(0, least(5, round_even(c_acctbal / 10000 * 5, 0)::int)) as reliability from customer""")
 def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", keys.content_id("c_name", "c_mktsegment").alias("id"), numbers.reliability(F.col("c_acctbal") / 10000).alias("reliability"))
+
+
+@query("""select distinct c_mktsegment as facet from customer order by 1""")
+def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("facet")).distinct().orderBy("facet")
+
+
+@query("""select min(c_custkey % 170)::bigint as west, min(c_custkey % 80)::bigint as south, max(c_custkey % 170)::bigint as east, max(c_custkey % 80)::bigint as north from customer where c_acctbal > 0""")
+def bounding_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select((F.col("c_custkey") % 170).alias("lon"), (F.col("c_custkey") % 80).alias("lat"))
+    return rollup.bounding_box(c, "lon", "lat")
+
+
+@query("""select o_orderkey, o_orderdate::varchar as day from (select o_orderkey, o_orderdate::date as o_orderdate from orders where o_orderstatus <> 'P') order by o_orderdate desc, o_orderkey limit 10""")
+def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("day"))
+    return rollup.latest(o, 10, "day", "o_orderkey").withColumn("day", F.col("day").cast("string"))
+
+
+@query("""select o_custkey, count(*)::bigint as n, (o_totalprice_max)::double as top_price, best::bigint as best_key from (select o_custkey, max(o_totalprice) as o_totalprice_max, arg_min(o_orderkey, {'c': -((o_orderstatus = 'F')::int + (o_totalprice > 100000)::int + (o_orderpriority <> '5-LOW')::int), 'k': o_orderkey}) as best, count(*) as c from orders group by 1) s join orders using (o_custkey) group by all""")
+def most_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    score = rollup.completeness(F.col("o_orderstatus") == "F", F.col("o_totalprice") > 100000, F.col("o_orderpriority") != "5-LOW")
+    first = merge.best_per_key(o.withColumn("score", score), ["o_custkey"], F.desc("score"), F.col("o_orderkey")).select("o_custkey", F.col("o_orderkey").alias("best_key"))
+    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top_price")).join(first, "o_custkey").select("o_custkey", "n", "top_price", "best_key")
+
+
+@query("""with r as (select greatest(date '1995-01-20', m::date) as lo, least((m + interval 1 month)::date, date '1995-06-11') as hi from (select unnest(generate_series(timestamp '1995-01-01', timestamp '1995-06-10', interval 1 month)) as m))
+select lo::varchar as lo, hi::varchar as hi, count(o_orderkey)::bigint as n from r left join orders on o_orderdate >= lo and o_orderdate < hi group by 1, 2""")
+def orders_per_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.dates import month_ranges
+
+    ranges = month_ranges(spark, "1995-01-20", "1995-06-10").withColumn("m", F.trunc("lo", "MM"))
+    o = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"), "o_orderkey").withColumn("m", F.trunc("d", "MM"))
+    met = ranges.join(o, "m", "left").withColumn("inside", (F.col("d") >= F.col("lo")) & (F.col("d") < F.col("hi")))
+    return met.groupBy(F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi")).agg(F.count_if("inside").alias("n"))
+
+
+@query("""select c_custkey, case when substr(p, 1, 2) in ('97', '98') then substr(p, 1, 3) when substr(p, 1, 2) = '20' then null else substr(p, 1, 2) end as department from (select c_custkey, lpad((c_custkey * 7919 % 99000)::varchar, 5, '0') as p from customer)""")
+def postal_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.names import department_code
+
+    p = F.lpad((F.col("c_custkey") * 7919 % 99000).cast("string"), 5, "0")
+    return table(spark, sf_dir, "customer").select("c_custkey", department_code(None, p).alias("department"))
+
+
+@query(f"""with {_R} select count(*)::bigint as n_regions, sum(n)::bigint as n_articles, max(d)::bigint as most_departments from (select r_name, sum(greatest(1, n_sources)) as n, count(distinct n_name) as d from e group by 1)""")
+def article_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    regions = rollup.by_region(events_by_region(spark, sf_dir), "r_name", "n_name", "o_orderstatus", "n_sources", [])
+    return rollup.sort_regions(regions, "name", "r_name").agg(F.count(F.lit(1)).alias("n_regions"), F.sum("n_articles").alias("n_articles"), F.max("n_departments").alias("most_departments"))
+
+
+@query("""with r as (select c_custkey, c_name as bank, c_mktsegment as place from customer), g as (select s_name, s_nationkey, s_suppkey from supplier)
+select c_custkey, case when n = 0 then 'unknown' else s end as register_status from (select c_custkey, count(s_suppkey) as n, arg_min(s_suppkey::varchar, s_suppkey) as s from r left join g on lower(g.s_name) = replace(lower(r.bank), 'customer', 'supplier') group by 1)""")
+def register_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.networks import administrative_status
+
+    asked = table(spark, sf_dir, "customer").select("c_custkey", F.replace(F.lower("c_name"), F.lit("customer"), F.lit("supplier")).alias("bank"), F.lit("x").alias("place"))
+    register = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.lit("X").alias("place"), F.col("s_suppkey").cast("string").alias("status"), F.col("s_suppkey").alias("rank"))
+    return administrative_status(asked, register).select("c_custkey", "register_status")

@@ -286,11 +286,25 @@ def guard_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", reason.alias("reason"))
 
 
-@query("""with e as (select event_id, ts, user_id, json_extract_string(props, '$.k') as k0, props from events)
-select user_id, count(*)::bigint as n, min(substr(sha256(coalesce(user_id::varchar, '') || '|' || coalesce(event_id::varchar, '')), 1, 16)) as first_id from e group by user_id""")
+@query("""with e as (select event_id, user_id, (json_extract_string(props, '$.k'))::int as k, substr(sha256(coalesce(user_id::varchar, '') || '|' || coalesce(event_id::varchar, '')), 1, 16) as id from events)
+select user_id, count(*) filter (where k between 0 and 49)::bigint as n_valid, count(*) filter (where not (k between 0 and 49))::bigint as n_invalid, sum(k)::bigint as total, min(id) as first_id from e group by user_id""")
 def json_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min(keys.content_id("user_id", "event_id")).alias("first_id"))
+    e = signals.parse(table(spark, sf_dir, "events"), "props", "k int", unit=[]).withColumn("valid", F.col("valid") & F.col("parsed.k").between(0, 49))
+    return e.groupBy("user_id").agg(F.count_if("valid").alias("n_valid"), F.count_if(~F.col("valid")).alias("n_invalid"), F.sum("parsed.k").alias("total"), F.min(keys.content_id("user_id", "event_id")).alias("first_id"))
+
+
+@query(f"""with d as (select doc_id, {folded("text")} as t from documents)
+select doc_id, array_to_string(list_filter(['North', 'South', 'West', 'Post'], lambda b: (b = 'North' and {m("t", PROSE.brands["North"])}) or (b = 'South' and {m("t", PROSE.brands["South"])}) or (b = 'West' and {m("t", PROSE.brands["West"])}) or (b = 'Post' and {sql_postal("t")})), ',') as brands from d""")
+def brands_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = triage.brands_of(keys.fold("text"), PROSE)
+    order = F.filter(F.array(*[F.lit(b) for b in ("North", "South", "West", "Post")]), lambda b: F.array_contains(found, b))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(order, ",").alias("brands"))
+
+
+@query(f"""with d as (select doc_id, {folded("text")} as t from documents)
+select doc_id, regexp_matches(t, {quote(f"(?s){terms.alternation(PROSE.closure)}.{{0,40}}{terms.alternation(PROSE.points)}|{terms.alternation(PROSE.points)}.{{0,40}}{terms.alternation(PROSE.closure)}")}) as is_near from d""")
+def nearby_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", triage.near(keys.fold("text"), PROSE.closure, PROSE.points, 40).alias("is_near"))
 
 
 @query("""with b as (select p_partkey, p_brand || ' ' || p_type as name from part), c as (select unnest(['Brand#1', 'Brand#11', 'Brand#2', 'Brand#25']) as canonical),
