@@ -10,10 +10,11 @@ Sets link when their Jaccard similarity is at least PERCENT / 100.  Steps:
 3. The index lists are kept in blocks by size of set.  Each block has a hub,
    the set whose shingles are the most common; the block's sets and the next
    larger block's are compared with it.  Links to hubs give first components.
-4. Answers of other pairs derive from those of the hub: the triangle inequality
-   of Jaccard distance skips every stretch of a list that is much nearer to the
-   hub, or much farther, than the set in question, and sets that the hub has
-   brought into one component need no comparison.  What remains is compared.
+4. Answers of other pairs derive from those of the hub: what two sets have in
+   common is bounded by what each has of the hub and what else it shares with
+   any set here, the triangle inequality of Jaccard distance skips sets much
+   nearer to the hub or much farther, and sets that the hub has brought into
+   one component need no comparison.  What remains is compared.
 
 So links are exact, and a group of near copies costs comparisons in proportion
 to its size.
@@ -56,6 +57,10 @@ def prefix_size(n: int) -> int:
     return min(n, n - least_overlap(n) + 1 + n // EXTRA)
 
 
+#: :func:`prefix_size` in SQL.
+PREFIX = f"least(n, n - (n * {PERCENT} + 99) div 100 + 1 + n div {EXTRA})"
+
+
 def least_shared() -> Column:
     """Shingles that a set of ``n`` shares, within the prefixes, with any set it links with, at least."""
     return F.expr(f"1 + ((n * {PERCENT} + 99) div 100) div {EXTRA}")
@@ -97,6 +102,15 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()), pa.array([s - o for s, o in zip(size, both, strict=True)], pa.int64())], ["a", "b", "inter", "uni"])
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            part = b.slice(at, SLICE)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("whole")]
+            ids = np.repeat(part.column("doc_id").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets))], ["doc_id", "token"])
+
+
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, inter, uni) of each pair (a, b)."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("whole").alias("left"))
@@ -105,6 +119,33 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_overlaps, "a long, b long, inter long, uni long")
 
 
+def _open_links(seen: DataFrame, sets: DataFrame, near: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): links between components among the sets that a hub sees.
+
+    Of a set's n shingles, ``shared`` are in another set here and ``inter`` in
+    the hub.  Two sets have in common at most the lesser of what they have of
+    the hub and the lesser of what else they share; pairs that could not link
+    with that much, and pairs whose distances to the hub differ by more than a
+    link's, are skipped.
+    """
+    there = seen.select("doc_id").distinct()
+    tokens = scratch.write(sets.join(there.hint("merge"), "doc_id", "left_semi").mapInArrow(_shingles, "doc_id long, token long"))
+    twice = scratch.write(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"))
+    shared = scratch.write(tokens.join(twice.hint("merge"), "token").groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared")))
+    scratch.free(tokens)
+    rows = seen.join(shared.hint("merge"), "doc_id").withColumn("inter", F.coalesce("inter", "n")).withColumn("rest", F.col("shared") - F.col("inter"))
+    rows = rows.filter(f"100 * shared >= {PERCENT} * n").withColumn("bucket", F.floor(F.col("d") / F.lit(STEP)).cast("int"))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "component", "n", "d", "inter", "rest")]
+    left = rows.filter("component <> hub_component").select("hub", *side("a"), F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"))
+    right = rows.select("hub", *side("b"), "bucket")
+    common = "least(inter_a, inter_b) + least(rest_a, rest_b)"
+    met = left.join(right.hint("merge"), ["hub", "bucket"]).filter(f"component_a <> component_b and abs(d_a - d_b) <= {STEP} + 1e-9 and {100 + PERCENT} * ({common}) >= {PERCENT} * (n_a + n_b)")
+    pairs = met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    known = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = scratch.write(pairs.join(known.hint("merge"), ["a", "b"], "left_anti"))
+    return scratch.write(compare(pairs, sets).filter(LINKED).select("a", "b"))
+
+
 LINKED = f"100 * inter >= {PERCENT} * uni"
 #: Distances to a hub are compared by steps of STEP, the largest distance of a link.
 STEP = 1 - PERCENT / 100
@@ -127,7 +168,8 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     per_doc = per_doc.filter(F.size("s") >= least_shared())
     reps = classes.select(F.col("class_id").alias("doc_id"))
     chosen = F.slice("s", F.lit(1), (F.size("s") - least_shared() + 1).cast("int"))
-    central = F.aggregate("s", F.lit(0.0), lambda t, x: t + x["df"]) / F.size("s")
+    # mean count over the prefix, shingles of its own counting nothing: the source of a group of copies is the most central
+    central = F.aggregate("s", F.lit(0.0), lambda t, x: t + x["df"]) / F.expr(PREFIX)
     indexed = scratch.write(per_doc.join(reps.hint("merge"), "doc_id", "left_semi").select("doc_id", "n", central.alias("central"), F.transform(chosen, lambda x: x["token"]).alias("tokens")))
     scratch.free(made)
 
@@ -147,28 +189,18 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     links = near.filter(LINKED).select("a", "b")
     first = components(links, scratch)
 
-    # 4. pairs that the hubs leave open
-    d = near.select(F.col("a").alias("doc_id"), F.col("b").alias("to"), (1 - F.col("inter") / F.col("uni")).alias("d"))
-    rows = placed.join(d.select("doc_id", F.col("to").alias("hub"), "d").hint("merge"), ["doc_id", "hub"], "left")
-    rows = rows.join(d.select("doc_id", F.col("to").alias("lower_hub"), F.col("d").alias("lower_d")).hint("merge"), ["doc_id", "lower_hub"], "left")
-    rows = rows.join(first.select(F.col("node").alias("doc_id"), "component").hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    of_hub = lambda hub, name: first.select(F.col("node").alias(hub), F.col("component").alias(name)).hint("merge")
-    rows = rows.join(of_hub("hub", "hub_component"), "hub", "left").join(of_hub("lower_hub", "lower_component"), "lower_hub", "left")
-    rows = scratch.write(rows.select("token", "block", "doc_id", "component", F.coalesce("hub_component", "hub").alias("hub_component"), F.when(F.col("doc_id") == F.col("hub"), 0.0).otherwise(F.col("d")).alias("d"), F.coalesce("lower_component", "lower_hub").alias("lower_component"), "lower_d"))
-    # what a block's hub sees: its own sets and those of the next larger block
-    own_sets = rows.select("token", "block", "doc_id", "component", "hub_component", "d", F.lit(True).alias("own"))
-    larger = rows.filter("lower_d is not null").select("token", (F.col("block") - 1).alias("block"), "doc_id", "component", F.col("lower_component").alias("hub_component"), F.col("lower_d").alias("d"), F.lit(False).alias("own"))
-    seen = scratch.write(own_sets.unionByName(larger).withColumn("bucket", F.floor(F.col("d") / F.lit(STEP)).cast("int")))
-    # one side of an open pair at least is outside of the hub's component
-    left = seen.filter("component <> hub_component").select("token", "block", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("d").alias("da"), F.col("own").alias("oa"), F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"))
-    right = seen.select("token", "block", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("d").alias("db"), F.col("own").alias("ob"), "bucket")
-    met = left.join(right.hint("merge"), ["token", "block", "bucket"]).filter(f"ca <> cb and (oa or ob) and abs(da - db) <= {STEP} + 1e-9")
-    open_pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    open_pairs = scratch.write(open_pairs.join(known.hint("merge"), ["a", "b"], "left_anti"))
+    # 4. pairs that the hubs leave open; a hub sees the sets that were compared with it, and itself
+    sizes = indexed.select("doc_id", "n")
+    itself = near.select(F.col("b").alias("hub")).distinct().select("hub", F.col("hub").alias("doc_id"), F.lit(None).cast("long").alias("inter"), F.lit(0.0).alias("d"))
+    seen = near.select(F.col("b").alias("hub"), F.col("a").alias("doc_id"), "inter", (1 - F.col("inter") / F.col("uni")).alias("d")).unionByName(itself)
+    of = lambda c, name: first.select(F.col("node").alias(c), F.col("component").alias(name)).hint("merge")
+    seen = seen.join(of("doc_id", "component"), "doc_id", "left").join(of("hub", "hub_component"), "hub", "left").withColumns({"component": F.coalesce("component", "doc_id"), "hub_component": F.coalesce("hub_component", "hub")})
+    seen = scratch.write(seen)
+    hubs = seen.filter("component <> hub_component").select("hub").distinct()
+    seen = scratch.write(seen.join(hubs.hint("merge"), "hub", "left_semi").join(sizes.hint("merge"), "doc_id"))
     found = first
-    if not open_pairs.isEmpty():
-        more = scratch.write(compare(open_pairs, sets).filter(LINKED).select("a", "b"))
+    if not seen.isEmpty():
+        more = _open_links(seen, sets, near, scratch)
         if not more.isEmpty():
             found = components(links.union(more), scratch)
 

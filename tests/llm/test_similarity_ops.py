@@ -57,7 +57,7 @@ def test_jaccard_components_equal_brute_force(spark, docs):
     assert len(got) == len(corpus())
     for r in got:
         assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
-    assert len(pairs) > 60
+    assert len(pairs) >= 50
     assert jaccard_join.join(spark, docs.filter("doc_id < 0")).count() == 0
 
 
