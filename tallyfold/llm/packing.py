@@ -18,6 +18,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -33,7 +34,7 @@ CAPACITY = 2048
 AT_DOCUMENT, AT_SENTENCE, AT_CLAUSE, ELSEWHERE = 0, 2, 6, 16
 MAX_GAP = 64
 BLOCK = 1 << 19
-SLICE = 256
+SLICE = 512
 END = 1
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -145,7 +146,7 @@ def tokenizer(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.ndarray
     def encode_many(texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(texts), 1024):
-            out += [np.array(e.ids, np.uint32).tobytes() for e in t.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False)]
+            out += [array("I", e.ids).tobytes() for e in t.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False)]
         return out
 
     ends = np.full(t.get_vocab_size() + 1, -1, np.int32)

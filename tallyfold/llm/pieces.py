@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-MAX_CACHED = 400_000
+MAX_CACHED = 800_000
 #: A space with white space after it: such a text is encoded whole.
 UNSAFE = re.compile(r" \s")
 
