@@ -40,8 +40,8 @@ from .shipping import ship
 LENGTH, HEAD = 50, 25
 WINDOW = LENGTH - HEAD + 1
 SLICE = 64
-#: Windows whose head occurs more often than this are counted with partial sums, others in one group each.
-HOT = 2000
+#: Windows whose head occurs more often than this are counted with partial sums, others in one group each, which so has 2.4 MB at most.
+HOT = 100_000
 WORD = re.compile("[^ \\t-\\r]+")
 _POSITION_BITS = 28
 
