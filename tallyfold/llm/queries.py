@@ -59,7 +59,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.groups(spark, table(spark, sf_dir, "documents"))
+    return line_dedup.groups(spark, table(spark, sf_dir, "documents"), exact=True)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

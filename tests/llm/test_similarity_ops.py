@@ -157,3 +157,35 @@ def test_fuzzy_lines_equal_brute_force(spark):
     pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if ((sim[a] ^ sim[b]) & (1 << 64) - 1).bit_count() <= 3 and edits(words[a], words[b]) <= max(len(words[a]), len(words[b])) * 20 // 100]
     want = union(pairs, ids)
     assert {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df).collect()} == want and len(pairs) > 20
+
+
+def test_every_similar_line_is_found(spark):
+    rnd = random.Random(8)
+    words = []
+    for g in range(30):
+        base = edge.words(1700 + g, rnd.choice([4, 5, 6, 9, 10, 14, 28, 60, 150]))
+        words.append(base)
+        for _ in range(rnd.randint(1, 4)):
+            w = list(base)
+            for _ in range(rnd.randint(1, max(1, len(base) // 5))):
+                at, how = rnd.randrange(len(w)), rnd.randrange(3)
+                w[at : at + (how != 1)] = [] if how == 2 else [rnd.choice(edge.words(3, 50))]
+            words.append(w)
+    words += [["the"] * n for n in (3, 4, 5, 6)] + [["the", "of"] * n for n in (4, 5)]
+    words = [[x.lower() for x in w] for w in words if w]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    ids = range(len(words))
+    want = union([(a, b) for a in ids for b in ids[a + 1 :] if edits(words[a], words[b]) <= max(len(words[a]), len(words[b])) * 20 // 100], ids)
+    assert {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df, exact=True).collect()} == want
+    few = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df).collect()}
+    assert sum(want[i] != i for i in ids) > 40 > sum(few[i] != i for i in ids)
