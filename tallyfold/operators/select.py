@@ -52,14 +52,19 @@ def queries_of(items: DataFrame, key: list[str], templates: DataFrame, k: int) -
 def search(queries: DataFrame, entries: DataFrame, least: float, k: int) -> DataFrame:
     """(query_id, url, share): entries that hold at least ``least`` of a query's tokens, the best ``k`` of each query.
 
-    Tokens of queries meet the entries' words in an inverted index; a token
-    inside a longer word counts too, so words are met by all their prefixes of
-    the tokens' lengths only in the residual test, and by equality before it.
+    A token inside a longer word counts too: of the distinct words of titles and
+    tokens, each word's substrings of the tokens' lengths meet the tokens by
+    equality, and the tokens' words lead back to the entries.  Tokens hold no space.
     """
-    tokens = queries.select("query_id", F.explode("tokens").alias("w")).distinct()
-    words = entries.select("url", "title_key", F.explode(F.array_distinct(F.split("title_key", " "))).alias("w"))
-    met = tokens.join(words, "w").select("query_id", "url", "title_key").distinct()
     from .triage import overlap
 
+    tokens = queries.select("query_id", F.explode("tokens").alias("token")).distinct()
+    sizes = tokens.agg(F.sort_array(F.collect_set(F.length("token"))).alias("_sizes"))
+    words = entries.select("url", "title_key", F.explode(F.array_distinct(F.split("title_key", " "))).alias("w"))
+    cut = lambda n: F.when(F.length("w") >= n, F.transform(F.sequence(F.lit(1), F.length("w") - n + 1), lambda i: F.substr("w", i, n))).otherwise(F.array().cast("array<string>"))
+    parts = words.select("w").distinct().crossJoin(F.broadcast(sizes))  # one row
+    parts = parts.select("w", F.explode(F.array_distinct(F.flatten(F.transform("_sizes", cut)))).alias("token"))
+    held = parts.join(tokens.select("token").distinct(), "token")
+    met = tokens.join(held, "token").join(words, "w").select("query_id", "url", "title_key").distinct()
     scored = met.join(queries.select("query_id", "tokens"), "query_id").withColumn("share", overlap(F.col("tokens"), F.col("title_key"))).filter(F.col("share") >= least)
     return cap(scored.select("query_id", "url", "share").distinct(), ["query_id"], [F.desc("share"), F.col("url")], k)

@@ -178,3 +178,10 @@ def test_estimates_count_each_place_once(spark):
     signals = t([("01", "b", "p", 1), ("01", "b", "q", 2), ("02", "b", "q", 3)], "department string, bank_key string, place_key string, seq int")
     got = {r.department: r.estimate for r in rollup.department_estimate(precise, unlocated, announced, signals).collect()}
     assert got == {"01": 1 + 1 + 3 + 1, "02": 0, "03": 0}
+
+
+def test_search_counts_tokens_inside_longer_words(spark):
+    asked = spark.createDataFrame([(1, ["mill", "lane"]), (2, ["lane"]), (3, [])], "query_id int, tokens array<string>")
+    entries = spark.createDataFrame([("a", "windmills close"), ("b", "planes and mill"), ("c", "other mi ll"), ("d", None), ("e", "")], "url string, title_key string")
+    assert sorted(map(tuple, select.search(asked, entries, 0.1, 5).collect())) == [(1, "a", 0.5), (1, "b", 1.0), (2, "b", 1.0)]
+    assert sorted(map(tuple, select.search(asked, entries, 0.1, 1).collect())) == [(1, "b", 1.0), (2, "b", 1.0)]
