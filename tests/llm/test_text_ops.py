@@ -40,6 +40,20 @@ def test_html_without_article_keeps_between_surge_and_dive():
     assert html_text.main_text(page) == f"{long.strip()}\n\nShort.\n\n{long.strip()}"
 
 
+def test_html_keeps_text_in_wrappers_and_before_the_surge():
+    long = ("word " * 40).strip()
+    links = "".join(f"<p><a>l{i}</a></p>" for i in range(4))
+    for mark in ("layout with-sidebar", "has-sidebar", "no-sidebar", "layout sidebar"):
+        page = f'<div class="{mark}"><article><h1>Head</h1><p>{long}</p></article><div class="sidebar">side</div></div>'
+        assert html_text.main_text(page) == f"Head\n\n{long}"
+    assert html_text.main_text(f'<div class="post-header"><h1>Head</h1></div><p>By one</p><p>{long}</p><div class="site-footer">foot</div>') == f"Head\n\nBy one\n\n{long}"
+    assert html_text.main_text(f"<h1>Head line</h1><p>By one</p><p>Date</p><p>Place</p><p>{long}</p>") == f"Head line\n\nBy one\n\nDate\n\nPlace\n\n{long}"
+    assert html_text.main_text(f'<article><p>{long}</p></article><div class="comments"><article>said</article></div>') == long
+    assert html_text.main_text(f'<div class="sidebar"><p>{long}</p></div><p>x</p>') == f"{long}\n\nx"
+    assert html_text.main_text(f"<article>{links}<h1><a>Head</a></h1><p>Short.</p>{links}<p>End.</p><p><a>one</a></p></article>") == "Short.\n\nEnd.\n\none"
+    assert html_text.main_text(f"<article><h1><a>Head</a></h1><p>Short.</p></article>") == "Head\n\nShort."
+
+
 def test_html_rows(spark):
     rows = [(1, "u", "<p>é</p>", "x"), (1, "u", "<p>é</p>", "x"), (2, None, None, "y")]
     out = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
