@@ -89,7 +89,7 @@ _KEY = "trim(regexp_replace(strip_accents(lower(replace(replace({}, '’', '''')
 @query(f"""select doc_id, substr(sha256({_KEY.format("substring(text, 1, 200)")}), 1, 16) as key_hash, substr(sha256({_KEY.format("source")} || '|' || {_KEY.format("lang")} || '|closure'), 1, 16) as event_id from documents""")
 def canonical_key_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", keys.text_hash(keys.canonical(F.substring("text", 1, 200))).alias("key_hash"), keys.event_id("source", "lang", F.lit("closure")).alias("event_id"))
+    return d.select("doc_id", keys.text_hash(keys.canonical("text")).alias("key_hash"), keys.event_id("source", "lang", F.lit("closure")).alias("event_id"))
 
 
 @query("""with h as (select page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '^\\.*(?:www\\.)?', '') as host from pages)
@@ -137,7 +137,7 @@ def compact_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     paragraphs = F.filter(F.split("text", "\n"), lambda p: terms.has_any(keys.fold(p), PROSE.closure))
     chosen = F.when(F.size(paragraphs) > 0, F.array_join(paragraphs, "\n")).otherwise(F.col("text"))
     whole = F.concat_ws("\n", "lang", chosen)
-    return table(spark, sf_dir, "documents").select("doc_id", triage.cut_at_sentence(whole, 800).alias("context"))
+    return table(spark, sf_dir, "documents").select("doc_id", triage.cut_at_sentence(whole, 8_000).alias("context"))
 
 
 _HOSTED = "regexp_replace(url, '^https?://', '')"
@@ -248,11 +248,11 @@ def coverage_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items by whether a document holds their first 60 characters, or else their first word.
+    """Benchmark items by whether a document holds their whole text, or else their first word.
 
     Documents meet items by two words in a row of the item's start, an equi-join, before the containment is tested.
     """
-    items = table(spark, sf_dir, "benchmark").select("item_id", keys.canonical(F.substring("text", 1, 60)).alias("k")).withColumn("w", F.split("k", " "))
+    items = table(spark, sf_dir, "benchmark").select("item_id", keys.canonical("text").alias("k")).withColumn("w", F.split("k", " "))
     items = items.withColumn("first", F.get("w", 0)).withColumn("second", F.concat_ws(" ", F.get("w", 1), F.get("w", 2)))
     docs = table(spark, sf_dir, "documents").select("doc_id", keys.canonical("text").alias("t"))
     words = F.split("t", " ")

@@ -185,3 +185,17 @@ def test_search_counts_tokens_inside_longer_words(spark):
     entries = spark.createDataFrame([("a", "windmills close"), ("b", "planes and mill"), ("c", "other mi ll"), ("d", None), ("e", "")], "url string, title_key string")
     assert sorted(map(tuple, select.search(asked, entries, 0.1, 5).collect())) == [(1, "a", 0.5), (1, "b", 1.0), (2, "b", 1.0)]
     assert sorted(map(tuple, select.search(asked, entries, 0.1, 1).collect())) == [(1, "b", 1.0), (2, "b", 1.0)]
+
+
+def test_queries_read_whole_texts(spark, tmp_path):
+    from tallyfold.plans import registry
+
+    start = "one two three four five six seven eight nine ten eleven twelve " * 4
+    docs = [(1, start + "left", "s", "en"), (2, start + "right", "s", "en"), (3, "x" * 900 + ". " + "y" * 300, "s", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, start + "left"), (2, start + "other")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    assert len({r.key_hash for r in run("canonical_key_hash")}) == 3
+    assert {r.item_id: r.status for r in run("coverage_classify")} == {1: "mentioned", 2: "word_known"}
+    assert {r.status: r.n for r in run("coverage_summary")} == {"mentioned": 1, "word_known": 1, "absent": 0, "never": 0}
+    assert {r.doc_id: r.context for r in run("compact_context")}[3] == "en\n" + docs[2][1]
