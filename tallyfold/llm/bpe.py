@@ -22,6 +22,7 @@ import heapq
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from .pieces import PieceCache, shared
 from .shipping import ship
 
 #: Texts encoded at a time.
-SLICE = 256
+SLICE = 2048
 #: Words up to so many bytes are folded by plain scans, longer ones with a heap.
 SHORT = 48
 
@@ -114,10 +115,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                found = cache.encode([t or "" for t in part.column(1).to_pylist()])
-                ids = [array("I", x) for x in found]
-                decoded = [hashlib.sha256(b"".join(map(piece, x))).hexdigest() for x in ids]
-                cols = [part.column(0), pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in found]), pa.array(decoded)]
+                flat, sizes = cache.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = np.split(flat, np.cumsum(sizes)[:-1])
+                decoded = [hashlib.sha256(b"".join(map(piece, x.tolist()))).hexdigest() for x in ids]
+                cols = [part.column(0), pa.array(sizes), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(decoded, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
                     cols.append(pa.array([x.tolist() for x in ids], pa.list_(pa.int32())))

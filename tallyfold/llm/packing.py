@@ -20,7 +20,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,9 @@ CAPACITY = 2048
 AT_DOCUMENT, AT_SENTENCE, AT_CLAUSE, ELSEWHERE = 0, 2, 6, 16
 MAX_GAP = 64
 BLOCK = 1 << 19
-SLICE = 512
+SLICE = 2048
+#: Words that the tokenizer gets as one text.
+TOGETHER = 64
 END = 1
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -133,7 +135,7 @@ class Packer:
         return out
 
 
-def tokenizer(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.ndarray]:
+def tokenizer(path: str) -> tuple[PieceCache, np.ndarray]:
     """(encoder of texts, penalty of a cut after each id, -1 for no cut)."""
     import os
 
@@ -149,13 +151,30 @@ def tokenizer(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.ndarray
             out += [array("I", e.ids).tobytes() for e in t.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False)]
         return out
 
-    ends = np.full(t.get_vocab_size() + 1, -1, np.int32)
+    n = t.get_vocab_size()
+    ends = np.full(n + 1, -1, np.int32)
+    opens = np.zeros(n + 1, bool)  # ids that start with a space
     for token, i in t.get_vocab().items():
-        if token[-1:] in (".", "!", "?") or "Ċ" in token:  # how the vocabulary writes a line feed
+        opens[i] = token[:1] == "Ġ"  # how the vocabulary writes a space, and a line feed below
+        if token[-1:] in (".", "!", "?") or "Ċ" in token:
             ends[i] = AT_SENTENCE
         elif token[-1:] in (",", ";", ":"):
             ends[i] = AT_CLAUSE
-    return encode_many, ends
+
+    def encode_words(words: list[str]) -> list[bytes]:
+        """Words are encoded TOGETHER at a time: each starts with its space, and no other of its ids does."""
+        joined = [x for x in words if x]
+        found: list[bytes] = []
+        for ids in encode_many(["".join([" " + x for x in joined[i : i + TOGETHER]]) for i in range(0, len(joined), TOGETHER)]):
+            cuts = [*(4 * np.flatnonzero(opens[np.frombuffer(ids, np.uint32)])).tolist(), len(ids)]
+            found += [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        if len(found) != len(joined):  # a vocabulary that has spaces inside of its tokens
+            return encode_many([" " + x for x in words])
+        each = iter(found)
+        lone = encode_many([" "])[0] if len(joined) < len(words) else b""
+        return [next(each) if x else lone for x in words]
+
+    return PieceCache(encode_many, encode_words=encode_words), ends
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,21 +183,20 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode_many, ends = tokenizer(tokenizer_path)
-        cache = shared(("packing", tokenizer_path), lambda: PieceCache(encode_many))
+        cache, ends = shared(("packing", tokenizer_path), lambda: tokenizer(tokenizer_path))
         packer = Packer(ends, TaskContext.get().partitionId() << 33, capacity, block)
         schema = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
-        end = np.array([END], np.uint32).tobytes()
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)
-                found = cache.encode([t or "" for t in part.column(1).to_pylist()])
-                for doc_id, ids in zip(part.column(0).to_pylist(), found, strict=True):
-                    if rows := packer.add(doc_id, np.frombuffer(ids + end, np.uint32)):
+                ids, sizes = cache.encode([t or "" for t in part.column(1).to_pylist()])
+                stops = np.cumsum(sizes)
+                for doc_id, a, b_ in zip(part.column(0).to_pylist(), (stops - sizes).tolist(), stops.tolist(), strict=True):
+                    if rows := packer.add(doc_id, np.append(ids[a:b_], np.uint32(END))):
                         yield batch(rows)
         if rows := packer.finish():
             yield batch(rows)
