@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id."""
-    gone = Scratch(spark, "pipeline-exact").write(exact_dedup.dedup(spark, docs).filter("not kept").select("doc_id"))
+    gone = Scratch(spark, "pipeline-exact").write(exact_dedup.dedup(spark, docs).filter("not (doc_id <=> keep_id)").select("doc_id"))
     return without(docs, "doc_id", gone)
 
 
