@@ -1,13 +1,14 @@
 """Exact deduplication against a persistent digest index.
 
-The index is a table bucketed and sorted by digest.  A load is reduced to one
-row per digest, the digests that the index has are taken out by a sort-merge
-anti-join, and the rest is appended, so an old index is never rewritten or
-shuffled.
-
-Defined cases: a null text counts as empty; empty texts form one group; rows
-that share an id are kept apart and each counts in ``group_size``; an empty
-table gives no rows; other columns of the input are ignored.
+The index is a table bucketed and sorted by digest.  Documents come in loads,
+by ranges of their ids, smaller ids first.  Each load is reduced to one row per
+digest, the digests that the index has are taken out by a sort-merge anti-join,
+and the rest is appended, so an old index is never rewritten or shuffled.
+
+Defined cases: a null text counts as empty; empty texts form one group; of rows
+that share an id and a text one stays, and each counts in ``group_size``; a row
+with a null id stays only if its group has no other; an empty table gives no
+rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .scratch import Scratch
 BUCKETS = 64
 #: A digest with more than one row in HOT_SHARE of the load is joined by broadcast; there are fewer than HOT_SHARE of those.
 HOT_SHARE = 1000
+#: Loads that documents come in.
+LOADS = 2
 
 
 def normalised(text: Column) -> Column:
@@ -29,7 +32,8 @@ def normalised(text: Column) -> Column:
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
+    """(doc_id, row, text_sha256); ``row`` tells rows of one id apart and holds once the table is written."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
 
 
 def append_new(spark: SparkSession, load: DataFrame, table: str, buckets: int = BUCKETS) -> None:
@@ -41,23 +45,40 @@ def append_new(spark: SparkSession, load: DataFrame, table: str, buckets: int =
     (new.repartition(buckets, "text_sha256").write.mode("append").bucketBy(buckets, "text_sha256").sortBy("text_sha256").saveAsTable(table))
 
 
-def dedup(spark: SparkSession, docs: DataFrame, table: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def loads_of(rows: DataFrame, loads: int) -> list[DataFrame]:
+    """``rows`` in ranges of ids of equal width, ascending; null ids come last."""
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if low is None or loads < 2:
+        return [rows]
+    cuts = [low + (high - low + 1) * k // loads for k in range(1, loads)]
+    part = sum((F.when(F.col("doc_id") < c, 0).otherwise(1) for c in cuts), F.lit(0))
+    return [rows.filter(part == k) for k in range(loads)]
+
+
+def dedup(spark: SparkSession, docs: DataFrame, table: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, loads: int = LOADS) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
-    keep_id is the first load's smallest id of the digest; group_size counts
-    rows of this load.  Without ``table`` a new index is made.
+    keep_id is the smallest id of the digest in the first load that had it;
+    group_size counts rows of ``docs``.  Without ``table`` the index is
+    made for this call and dropped.
     """
     scratch = Scratch(spark, "exact-dedup")
     rows = scratch.write(digests(docs, id_col, text_col))
-    table = table or f"digest_index_{uuid.uuid4().hex}"
-    load = scratch.write(rows.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    append_new(spark, load, table, buckets)
-    index = spark.table(table).select("text_sha256", F.col("keep_id").alias("index_id"))
-    groups = scratch.write(load.join(index.hint("merge"), "text_sha256").select("text_sha256", F.col("index_id").alias("keep_id"), "group_size"))
+    index_name = table or f"digest_index_{uuid.uuid4().hex}"
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "row")).alias("first")
+    for part in loads_of(rows, loads):
+        append_new(spark, part.groupBy("text_sha256").agg(first).select("text_sha256", F.col("first.doc_id").alias("keep_id")), index_name, buckets)
+    index = spark.table(index_name).select("text_sha256", F.col("keep_id").alias("index_id"))
+    sizes = rows.groupBy("text_sha256").agg(first, F.count(F.lit(1)).alias("group_size"))
+    groups = sizes.join(index.hint("merge"), "text_sha256")
+    groups = scratch.write(groups.select("text_sha256", F.col("index_id").alias("keep_id"), "group_size", F.when(F.col("first.doc_id").eqNullSafe(F.col("index_id")), F.col("first.row")).alias("keep_row")))
+    if table is None:
+        spark.sql(f"drop table {index_name}")
     floor = rows.count() // HOT_SHARE
-    hot = groups.filter(F.col("group_size") > floor).select("text_sha256", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))
+    group = F.struct("keep_id", "group_size", "keep_row")
+    hot = groups.filter(F.col("group_size") > floor).select("text_sha256", group.alias("hot"))
     # fewer than HOT_SHARE + 1 groups can exceed the floor, so this broadcast is bounded
     marked = rows.join(F.broadcast(hot), "text_sha256", "left")
-    cold = marked.filter("hot_id is null").select("doc_id", "text_sha256").join(groups.hint("merge"), "text_sha256")
-    both = marked.filter("hot_id is not null").select("doc_id", "text_sha256", F.col("hot_id").alias("keep_id"), F.col("hot_size").alias("group_size")).unionByName(cold)
-    return both.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    cold = marked.filter("hot is null").select("doc_id", "row", "text_sha256").join(groups.select("text_sha256", group.alias("g")).hint("merge"), "text_sha256")
+    both = marked.filter("hot is not null").select("doc_id", "row", "text_sha256", F.col("hot").alias("g")).unionByName(cold)
+    return both.select("doc_id", "g.keep_id", "g.group_size", F.coalesce(F.col("row") == F.col("g.keep_row"), F.lit(False)).alias("kept"), "text_sha256")

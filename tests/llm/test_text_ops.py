@@ -3,7 +3,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -104,9 +104,27 @@ def test_exact_groups_equal_brute_force(spark, docs, none):
     for r in got:
         g = groups[key(texts[r.doc_id])]
         assert (r.group_size, r.keep_id, r.text_sha256) == (len(g), min((i for i in g if i is not None), default=None), hashlib.sha256(key(texts[r.doc_id]).encode()).hexdigest())
+    for g, n in Counter(key(texts[r.doc_id]) for r in got if r.kept).items():
+        assert n == 1, g
+    assert {key(texts[r.doc_id]) for r in got if r.kept} == set(groups)
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
     assert exact_dedup.dedup(spark, none).count() == 0
 
 
+def test_loads_meet_one_index(spark):
+    rows = [(i, f"text {i % 7}") for i in range(40)] + [(7, "text 0"), (None, "text 3"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = exact_dedup.dedup(spark, df, loads=1).collect()
+    for loads in (2, 5):
+        got = exact_dedup.dedup(spark, df, "many_loads", loads=loads)
+        assert spark.table("many_loads").count() == 8
+        assert sorted(map(str, got.collect())) == sorted(map(str, want)) and sum(r.kept for r in want) == 8
+        spark.sql("drop table many_loads")
+    before = len(spark.catalog.listTables())
+    exact_dedup.dedup(spark, df)
+    assert len(spark.catalog.listTables()) == before
+
+
 def test_later_loads_keep_the_index(spark):
     a = spark.createDataFrame([(5, "x"), (6, "y")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "x"), (2, "z"), (3, "z")], "doc_id long, text string")
@@ -197,8 +215,9 @@ def test_bpe_equals_the_library(ranks):
     e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     cache = bpe.piece_cache(ranks, P.PATTERN)
     texts = odd_texts(3000)
-    for t, ids in zip(texts, cache.encode(texts), strict=True):
-        assert np.frombuffer(ids, np.uint32).tolist() == e.encode_ordinary(t)
+    ids, sizes = cache.encode(texts)
+    for t, part in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert part.tolist() == e.encode_ordinary(t)
     rnd = random.Random(2)
     for _ in range(200):
         w = bytes(rnd.choice(b"abetheing") for _ in range(rnd.randint(2, 100)))
