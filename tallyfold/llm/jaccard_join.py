@@ -21,8 +21,9 @@ to its size.
 
 Defined cases: null, empty and wordless texts have no shingles and are
 components of their own; texts of one set share a component; rows that share an
-id count as one document with all their links; an empty table gives no rows;
-other columns are ignored.  Shingles and sets are compared by 64-bit and
+id count as one document with all their links; a row without an id links as
+any other, but names no component (null where no row of it has an id); ids lie
+below 2 ** 62; an empty table gives no rows; other columns are ignored.  Shingles and sets are compared by 64-bit and
 128-bit hashes.
 """
 
@@ -66,8 +67,14 @@ def least_shared() -> Column:
     return F.expr(f"1 + ((n * {PERCENT} + 99) div 100) div {EXTRA}")
 
 
+#: Rows without an id are known by numbers from here on, which their texts give.
+NO_ID = 1 << 62
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(cast(`{text_col}` as string) as binary) as text")
+    text = F.col(text_col).cast("string")
+    number = F.lit(NO_ID).bitwiseOR(F.shiftrightunsigned(F.xxhash64(text), 2))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), number).alias("doc_id"), text.cast("binary").alias("text"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +203,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     of = lambda c, name: first.select(F.col("node").alias(c), F.col("component").alias(name)).hint("merge")
     seen = seen.join(of("doc_id", "component"), "doc_id", "left").join(of("hub", "hub_component"), "hub", "left").withColumns({"component": F.coalesce("component", "doc_id"), "hub_component": F.coalesce("hub_component", "hub")})
     seen = scratch.write(seen)
-    hubs = seen.filter("component <> hub_component").select("hub").distinct()
+    hubs = scratch.write(seen.filter("component <> hub_component").select("hub").distinct())
     seen = scratch.write(seen.join(hubs.hint("merge"), "hub", "left_semi").join(sizes.hint("merge"), "doc_id"))
     found = first
     if not seen.isEmpty():
@@ -208,4 +215,5 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     named = scratch.write(named.select("s1", "s2", "class_id", F.coalesce("component", "class_id").alias("component_id")))
     full = members.filter("n > 0").join(named.hint("merge"), ["s1", "s2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
     empty = members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    return full.unionByName(empty)
+    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c)).alias(c)
+    return full.unionByName(empty).select(known("doc_id"), "n_shingles", known("component_id"), known("class_id"))
