@@ -11,11 +11,12 @@ to its full extent, whatever the other occurrences share of it.  Runs of
 repeated windows are the passages.
 
 Sorting is by 64-bit hashes of heads and windows: it puts equal ones together,
-which is what comparing neighbours needs.  Windows with a common
-head are counted with partial sums, so a passage that a third of the documents
-share is no task of its own.
+which is what comparing neighbours needs.  Equal windows are found by partial
+sums and joined with the first of them, so a passage that a third of the
+documents share is no task of its own.
 
-Defined cases: null, empty and shorter texts repeat nothing; of equal passages
+Defined cases: null, empty and shorter texts repeat nothing; rows without an id
+are left out, as no span could name them; of equal passages
 the one of the smallest (doc_id, position) is the first; rows that share an id
 are read as one document's; repeats within one document alone are left; an
 empty table gives no rows; other columns are ignored, and by
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bitmap import may_join, surely_not
@@ -40,8 +41,6 @@ from .shipping import ship
 LENGTH, HEAD = 50, 25
 WINDOW = LENGTH - HEAD + 1
 SLICE = 64
-#: Windows whose head occurs more often than this are counted with partial sums, others in one group each, which so has 2.4 MB at most.
-HOT = 100_000
 WORD = re.compile("[^ \\t-\\r]+")
 _POSITION_BITS = 28
 
@@ -84,16 +83,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, SLICE):
             part = b.slice(at, SLICE)
-            hashes, ids, starts, hot = [np.empty(0, np.uint64)], [], [np.empty(0, np.int64)], [np.empty(0, bool)]
-            for i, t, shared, common in zip(*(part.column(k).to_pylist() if k != 1 else part.column(k) for k in range(4)), strict=True):
+            hashes, ids, starts = [np.empty(0, np.uint64)], [], [np.empty(0, np.int64)]
+            for i, t, shared in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist(), strict=True):
                 w = _hashes(t)
-                at = retained(w)[1]
-                start = np.flatnonzero(np.isin(at, np.array(shared, np.int64)))
-                hot.append(np.isin(at[start], np.array(common, np.int64)))
+                start = np.flatnonzero(np.isin(retained(w)[1], np.array(shared, np.int64)))
                 hashes.append(gram_hashes(w, LENGTH)[start])
                 starts.append(start)
                 ids += [i] * len(start)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(hot))], ["hash", "doc_id", "start", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.concatenate(starts).astype(np.int32))], ["hash", "doc_id", "start"])
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,21 +104,16 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     scratch = Scratch(spark, "suffix-dedup")
     texts = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(cast(`{text_col}` as string) as binary) as text").filter("doc_id is not null")
     suffixes = scratch.write(texts.mapInArrow(_suffixes, "head long, doc_id long, pos int"))
-    twice = scratch.write(suffixes.groupBy("head").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi").select("head", (F.col("n") > HOT).alias("hot")))
+    twice = scratch.write(suffixes.groupBy("head").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo <> hi").select("head"))
     left = may_join(suffixes, "head", twice).join(twice.hint("merge"), "head")
-    places = scratch.write(left.groupBy("doc_id").agg(F.collect_set("pos").alias("shared"), F.collect_set(F.when(F.col("hot"), F.col("pos"))).alias("common")))
+    places = scratch.write(left.groupBy("doc_id").agg(F.collect_set("pos").alias("shared")))
     scratch.free(suffixes)
-    extended = may_join(texts, "doc_id", places).join(places.hint("merge"), "doc_id").select("doc_id", "text", "shared", "common")
-    windows = scratch.write(extended.mapInArrow(_windows, "hash long, doc_id long, start int, hot boolean"))
+    extended = may_join(texts, "doc_id", places).join(places.hint("merge"), "doc_id").select("doc_id", "text", "shared")
+    windows = scratch.write(extended.mapInArrow(_windows, "hash long, doc_id long, start int"))
     place = F.struct("doc_id", "start")
-    # a window has no more occurrences than its head, so a group of the first kind is small
-    few = windows.filter("not hot").select("hash", "doc_id", "start")
-    w = Window.partitionBy("hash")
-    few = few.withColumns({"first": F.min(place).over(w), "last_doc": F.max("doc_id").over(w)})
-    many = windows.filter("hot").select("hash", "doc_id", "start")
-    firsts = scratch.write(many.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("last_doc")))
-    many = many.join(firsts.hint("merge"), "hash")
-    met = few.unionByName(many).filter("first.doc_id <> last_doc")
+    firsts = windows.groupBy("hash").agg(F.min(place).alias("first"), F.max("doc_id").alias("last_doc")).filter("first.doc_id <> last_doc")
+    firsts = scratch.write(firsts)
+    met = may_join(windows, "hash", firsts).join(firsts.hint("merge"), "hash")
     marked = met.select("doc_id", "start", (place != F.col("first")).alias("is_copy"), F.when(F.col("doc_id") == F.col("first.doc_id"), F.col("last_doc")).otherwise(F.col("first.doc_id")).alias("other"))
     runs = marked.groupBy("doc_id", "is_copy").agg(F.array_sort(F.collect_list(F.struct("start", "other"))).alias("at"))
     # a window starts a run if the one before it is not in the list

@@ -61,6 +61,19 @@ def test_jaccard_components_equal_brute_force(spark, docs):
     assert jaccard_join.join(spark, docs.filter("doc_id < 0")).count() == 0
 
 
+def test_rows_without_an_id_link_too(spark):
+    base = edge.words(41, 200)
+    ends = lambda *at: " ".join(f"w{i}" if i in at else x for i, x in enumerate(base))
+    # the rows of 5 and 6 link with the one without an id, but not with each other
+    rows = [(5, ends(10, 20)), (None, ends(10, 20, 100, 110)), (6, ends(100, 110, 190, 196)), (None, "alone and without an id"), (8, "other words of a text"), (None, None), (None, ends(10, 20, 100, 110))]
+    got = jaccard_join.join(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = {t: set(shingle_set((t or "").encode()).tolist()) for _, t in rows}
+    alike = lambda a, b: 100 * len(sets[rows[a][1]] & sets[rows[b][1]]) >= 80 * len(sets[rows[a][1]] | sets[rows[b][1]])
+    assert alike(0, 1) and alike(1, 2) and not alike(0, 2)
+    order = lambda found: sorted(found, key=str)
+    assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order((i, len(sets[t]), {0: 5, 1: 5, 2: 5, 3: None, 4: 8, 5: None, 6: 5}[k]) for k, (i, t) in enumerate(rows))
+
+
 def test_prefixes_share_enough():
     for n in range(1, 400):
         for m in range(n, 400):
@@ -101,12 +114,6 @@ def test_passages_equal_brute_force(spark, docs):
     assert suffix_dedup.repeated_spans(spark, docs.filter("doc_id < 0")).count() == 0
 
 
-def test_common_heads_take_the_other_way(spark, docs, monkeypatch):
-    want = {tuple(r) for r in suffix_dedup.repeated_spans(spark, docs).collect()}
-    monkeypatch.setattr(suffix_dedup, "HOT", 2)
-    assert {tuple(r) for r in suffix_dedup.repeated_spans(spark, docs).collect()} == want
-
-
 def test_lines_keep_one_of_each_group(spark):
     long = edge.words(31, 40)
     near = list(long)
