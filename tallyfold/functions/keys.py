@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their base letters, and apostrophes.
-ACCENTED = "àáâãäåāăąçćĉċčďèéêëēĕėęěĝğġģĥìíîïĩīĭįĵķĺļľñńņňòóôõöōŏőŕŗřśŝşšţťùúûüũūŭůűųŵýÿŷźżž"
-PLAIN = "aaaaaaaaacccccdeeeeeeeeegggghiiiiiiiijklllnnnnoooooooorrrssssttuuuuuuuuuuwyyyzzz"
+#: Lower-case Latin letters that decompose to a letter from a to z and marks.
+_DECOMPOSED = [(chr(i), d[0]) for i in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if len(d := unicodedata.normalize("NFD", chr(i))) > 1 and "a" <= d[0] <= "z" and all(unicodedata.category(c) == "Mn" for c in d[1:])]
+ACCENTED = "".join(c for c, _ in _DECOMPOSED)
+PLAIN = "".join(p for _, p in _DECOMPOSED)
 APOSTROPHES = "’‘"
 
 

@@ -1,0 +1,40 @@
+"""Tables of phrases over folded text, compiled to one regular expression each.
+
+A phrase is a row of slots; a slot lists the words that may stand there, joined
+by ``|``.  ``ferm*`` is any word with that beginning, ``#`` a number, and a slot
+that ends in ``?`` may be missing.  Words are parted by spaces, hyphens or
+apostrophes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+
+GAP = r"[-\s'’]+"
+
+
+def _word(w: str) -> str:
+    return r"\d+" if w == "#" else w[:-1] + r"\w*" if w.endswith("*") else w
+
+
+def phrase(text: str) -> str:
+    """The expression of one phrase, without its bounds."""
+    out, first = "", True
+    for slot in text.split():
+        optional, words = slot.endswith("?"), "|".join(map(_word, slot.removesuffix("?").split("|")))
+        if first and optional:
+            out += f"(?:(?:{words}){GAP})?"
+            continue
+        lead = "" if first else GAP
+        out += f"(?:{lead}(?:{words}))?" if optional else f"{lead}(?:{words})"
+        first = False
+    return out
+
+
+def pattern(phrases: list[str]) -> str:
+    return r"\b(?:" + "|".join(map(phrase, phrases)) + r")\b"
+
+
+def says(c: Column, phrases: list[str]) -> Column:
+    """Folded text holds one of the phrases."""
+    return c.rlike(pattern(phrases))

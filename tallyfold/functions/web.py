@@ -12,7 +12,9 @@ TIER_A = ["credit-agricole.fr", "sg.fr", "labanquepostale.fr", "caisse-epargne.f
 TIER_B = ["ouest-france.fr", "sudouest.fr", "ladepeche.fr", "lavoixdunord.fr", "lanouvellerepublique.fr", "ledauphine.com", "estrepublicain.fr", "republicain-lorrain.fr", "paris-normandie.fr", "lamontagne.fr", "leprogres.fr", "letelegramme.fr", "nicematin.com", "midilibre.fr", "lindependant.fr", "leparisien.fr", "lyoncapitale.fr", "lyonmag.com", "lunion.fr", "lejsl.com", "courrier-picard.fr", "voixdunord.fr", "lalsace.fr", "dna.fr", "bienpublic.com", "lepays.fr", "lopinion.fr", "latribune.fr", "lesechos.fr", "lefigaro.fr", "lemonde.fr", "liberation.fr"]
 TIER_C = ["francetvinfo.fr", "france3-regions.francetvinfo.fr", "france3.fr", "ici.fr", "francebleu.fr", "actu.fr", "bfmtv.com", "rfi.fr", "rtl.fr", "europe1.fr", "20minutes.fr"]
 TIER_E = ["facebook.com", "twitter.com", "x.com", "instagram.com", "linkedin.com", "youtube.com", "pagesjaunes.fr", "tiktok.com", "snapchat.com", "reddit.com", "tripadvisor.fr", "tripadvisor.com", "yelp.fr", "yelp.com", "avis-verifies.com", "trustpilot.com"]
-A_PATTERN = r"(^|\.)gouv\.fr$|^mairie-|^ville-"
+A_PATTERN = r"(^|\.)gouv\.fr$|mairie|bnpparibas"
+#: Of the search engine only maps and reviews are of the last tier, told by the host or the path; its news pages are not.
+E_URL = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?(?:www\.)?(?:maps\.google\.[^/?#]*|(?!news\.google\.com(?:[:/?#]|$))[^/?#]*google\.[^/?#]*/[^?#]*(?:maps|avis|reviews|business))"
 TIERS = [("A", TIER_A, A_PATTERN), ("B", TIER_B, None), ("C", TIER_C, None), ("E", TIER_E, None)]
 
 # Character references that titles hold.
@@ -31,13 +33,15 @@ def suffixes(h: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def source_tier(url: Column | str, tiers: list[tuple[str, list[str], str | None]] = TIERS, default: str = "D") -> Column:
-    """First tier that has the host, a domain above it, or a host like its pattern."""
+def source_tier(url: Column | str, tiers: list[tuple[str, list[str], str | None]] = TIERS, default: str = "D", last: tuple[str, str] | None = ("E", E_URL)) -> Column:
+    """First tier that has the host, a domain above it, or a host like its pattern; else the tier of ``last`` if the URL is like that."""
     h = host(url)
     out = F.when(F.coalesce(h, F.lit("")) == "", F.lit(default))
     for name, hosts, pattern in tiers:
         hit = F.exists(suffixes(h), lambda s: s.isin(hosts))  # noqa: B023
         out = out.when(hit | h.rlike(pattern) if pattern else hit, F.lit(name))
+    if last is not None:
+        out = out.when(text(url).rlike(last[1]), F.lit(last[0]))
     return out.otherwise(default)
 
 

@@ -64,6 +64,22 @@ def override(rows: DataFrame, key: str, source: str, rules: DataFrame, fields: d
     return rows.join(picked, key, "left").select(*kept, *[F.coalesce(*old(f), f"_{f}", F.lit(d)).alias(f) for f, d in fields.items()])
 
 
+def override_rows(rows: DataFrame, key: str, rules: DataFrame, fields: list[str]) -> DataFrame:
+    """``rows`` (with bank_key, place_key, label_key) with fields set by row rules of the same bank and place, and label where the rule has one: the last rule that sets a field.
+
+    Fields that no rule sets stay; ``rules`` is a hand-written list joined on its keys.
+    """
+    renamed = rules.select("bank_key", "place_key", F.col("label_key").alias("_label"), "rule_pos", *[F.col(f).alias(f"_{f}") for f in fields])
+    met = rows.select(key, "bank_key", "place_key", "label_key").join(renamed.hint("merge"), ["bank_key", "place_key"]).filter("coalesce(_label, '') = '' or _label = label_key")
+    picked = met.groupBy(key).agg(*[F.max_by(f"_{f}", F.when(F.col(f"_{f}").isNotNull(), F.col("rule_pos"))).alias(f"_{f}") for f in fields])
+    return rows.join(picked, key, "left").select(*[c for c in rows.columns if c not in fields], *[F.coalesce(f"_{f}", f).alias(f) for f in fields])
+
+
+def default_reliability(reliability: Column, url: Column) -> Column:
+    """What rules set, else medium for a row with a URL and low for one without."""
+    return F.coalesce(reliability, F.when(F.trim(F.coalesce(url, F.lit(""))) != "", "medium").otherwise("low"))
+
+
 def summary(rows: DataFrame, statuses: DataFrame) -> DataFrame:
     """(status, n, share) for every status of the dimension, 0 where none has it; share in percent of all rows."""
     counts = rows.groupBy("status").agg(F.count(F.lit(1)).alias("_n"))

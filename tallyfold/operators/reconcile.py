@@ -78,3 +78,22 @@ def within_budget(calls: DataFrame, key: str, seq: list[str], cost: str, budget:
     """``calls`` with the running cost of their key and whether it is within the budget."""
     w = Window.partitionBy(key).orderBy(*seq).rowsBetween(Window.unboundedPreceding, 0)
     return calls.withColumn("running_cost", F.sum(cost).over(w)).withColumn("admitted", F.col("running_cost") <= budget)
+
+
+# What the postal backlog's texts hold.
+POSTAL_TERMS = ["bureau de poste", "banque postale"]
+
+
+def postal_backlog(signals: DataFrame, brand: str) -> DataFrame:
+    """Unresolved review records (resolved, bank, title, text, ...) of the postal brand or whose text speaks of it, as articles."""
+    said = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))))
+    hit = F.col("bank") == brand
+    for t in POSTAL_TERMS:
+        hit = hit | said.contains(t)
+    return signals.filter(F.col("resolved").isNull() & F.coalesce(hit, F.lit(False))).withColumns({"title": F.coalesce("title", F.lit("")), "text": F.coalesce("text", F.lit(""))})
+
+
+def run_summary(before: DataFrame, after: DataFrame, in_window: Column, *by: str) -> DataFrame:
+    """Per brand (or other columns): events that the run added, events in the window, and all."""
+    old = before.select("event_id").distinct().withColumn("_old", F.lit(True))
+    return after.join(old, "event_id", "left").groupBy(*by).agg(F.count_if(F.col("_old").isNull()).alias("new_this_run"), F.count_if(in_window).alias("total_in_window"), F.count(F.lit(1)).alias("total_all"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import canonical, place_key
 
 
-def resolve(requests: DataFrame, gazetteer: DataFrame, request: str = "request_id", name: str = "name", department: str = "department") -> DataFrame:
+def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", department: str = "department") -> DataFrame:
     """``requests`` with resolved_code, resolved_department, ambiguous and candidates.
 
     With a department the first ranked feature in it counts.  Without one, the
@@ -16,21 +16,17 @@ def resolve(requests: DataFrame, gazetteer: DataFrame, request: str = "request_i
     the request is ambiguous, with the codes as candidates, and resolves to
     nothing.  Features of one name and rank are told apart by code.
     """
-    feature = F.struct("rank", "code", F.col("department").alias("department"))
-    features = gazetteer.select(place_key("name").alias("_key"), feature.alias("_f"))
-    asked = requests.withColumn("_key", place_key(name))
-    met = asked.join(features, "_key", "left")
-    wanted = F.coalesce(F.col(department), F.lit(""))
-    inside = (wanted == "") | (F.col("_f.department") == wanted)
-    rest = [c for c in requests.columns if c != request]
-    out = met.groupBy(request).agg(
-        *[F.first(c).alias(c) for c in rest],
-        F.min(F.when(inside, F.col("_f"))).alias("_hit"),
-        F.sort_array(F.collect_set(F.when(F.col("_f.code") != "", F.col("_f.code")))).alias("_codes"),
-    )
-    vague = (F.coalesce(F.col(department), F.lit("")) == "") & (F.size("_codes") > 1)
+    features = gazetteer.select(place_key("name").alias("_key"), F.struct("rank", "code", F.col("department").alias("department")).alias("_f"))
+    # the gazetteer is folded first, so that requests stay one row each however many namesakes there are
+    codes = F.sort_array(F.collect_set(F.when(F.col("_f.code") != "", F.col("_f.code"))))
+    of_name = features.groupBy("_key").agg(F.min("_f").alias("_any"), codes.alias("_codes"))
+    of_both = features.groupBy("_key", F.col("_f.department").alias("_wanted")).agg(F.min("_f").alias("_own"))
+    asked = requests.withColumn("_key", place_key(name)).withColumn("_wanted", F.coalesce(F.col(department), F.lit("")))
+    out = asked.join(of_name, "_key", "left").join(of_both, ["_key", "_wanted"], "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<string>")))
+    out = out.withColumn("_hit", F.when(F.col("_wanted") == "", F.col("_any")).otherwise(F.col("_own")))
+    vague = (F.col("_wanted") == "") & (F.size("_codes") > 1)
     pick = lambda f: F.when(~vague, F.col(f"_hit.{f}"))
-    return out.select(request, *rest, pick("code").alias("resolved_code"), pick("department").alias("resolved_department"), vague.alias("ambiguous"), F.when(vague, F.col("_codes")).otherwise(F.array().cast("array<string>")).alias("candidates"))
+    return out.select(*requests.columns, pick("code").alias("resolved_code"), pick("department").alias("resolved_department"), vague.alias("ambiguous"), F.when(vague, F.col("_codes")).otherwise(F.array().cast("array<string>")).alias("candidates"))
 
 
 def variants(name: Column) -> Column:
@@ -45,7 +41,7 @@ def resolve_variants(requests: DataFrame, gazetteer: DataFrame, request: str = "
     """As :func:`resolve` with the variants of a name in turn: the name itself if found or ambiguous, else the first variant with a code."""
     rows = requests.select("*", F.posexplode(variants(F.col(name))).alias("_pos", "_variant"))
     asked = rows.select(F.struct(request, "_pos").alias("_id"), F.col("_variant").alias("name"), F.col(department).alias("department"))
-    hits = resolve(asked, gazetteer, "_id", "name", "department").filter("resolved_code is not null or (_id._pos = 0 and ambiguous)")
+    hits = resolve(asked, gazetteer, "name", "department").filter("resolved_code is not null or (_id._pos = 0 and ambiguous)")
     best = hits.groupBy(F.col(f"_id.{request}").alias(request)).agg(F.min_by(F.struct(F.col("name").alias("matched_name"), "resolved_code", "resolved_department", "ambiguous"), "_id._pos").alias("_b"))
     return requests.join(best, request, "left").select(*requests.columns, "_b.matched_name", "_b.resolved_code", "_b.resolved_department", F.coalesce("_b.ambiguous", F.lit(False)).alias("ambiguous"))
 

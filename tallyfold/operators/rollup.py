@@ -119,3 +119,18 @@ def completeness(*known: Column) -> Column:
     for c in known:
         total = total + F.coalesce(c.cast("int"), F.lit(0))
     return total
+
+
+def per_department(branches: DataFrame, department: str = "department") -> DataFrame:
+    """(department, n_branches) of a reference list; branches without a department do not count."""
+    return branches.filter(F.col(department).isNotNull()).groupBy(department).agg(F.count(F.lit(1)).alias("n_branches"))
+
+
+def with_control(events: DataFrame, controls: DataFrame, key: str = "event_id") -> DataFrame:
+    """Events with the control row that there is for them, if any, as one struct; of several the smallest."""
+    one = controls.groupBy(key).agg(F.min(F.struct("status", "register_id", "source")).alias("control"))
+    return events.join(one, key, "left")
+
+
+def first_and_last(events: DataFrame, day: str, *by: str) -> DataFrame:
+    return events.groupBy(*by).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))

@@ -58,3 +58,12 @@ def feature(lon: Column, lat: Column, properties: Column) -> Column:
     """GeoJSON of a point, null where a coordinate is missing."""
     point = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"), properties.alias("properties"))
     return F.when(lon.isNotNull() & lat.isNotNull(), F.to_json(point))
+
+
+def missing_point(points: DataFrame, revision: Column, brand: str, page: str, score: int = 5) -> DataFrame:
+    """Review records of points (point_id, label, department) that a revision no longer has."""
+    quoted = F.replace(F.url_encode(F.coalesce("point_id", F.lit(""))), F.lit("+"), F.lit("%20"))
+    return points.select(
+        content_id(F.lit("laposte-missing"), "point_id", revision).alias("id"), F.lit(brand).alias("bank"), "department", F.concat(F.lit("Disparition à confirmer du bureau de poste "), "label").alias("title"),
+        F.concat(F.lit(page + "?point="), quoted).alias("url"), F.substring(revision, 1, 10).alias("date"), F.lit(score).alias("score"),
+    )

@@ -112,18 +112,22 @@ def best_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {_O}, p as (select n_name as department, count(*) filter (where o_orderstatus = 'F')::bigint as n_precise from o where o_orderstatus <> 'O' group by 1),
-u as (select n_name as department, c_mktsegment as b, o_orderpriority as pl from o where o_orderkey % 1000 = 1), un as (select department, count(*)::bigint as n_unlocated from u group by 1),
-an as (select n_name as department, sum(o_orderkey % 4)::bigint as n_announced from o where o_orderkey % 50 = 2 group by 1),
-s as (select n_name as department, c_mktsegment as b, o_orderpriority as pl, o_orderkey as seq from o where o_orderkey % 7 = 3),
+u as (select n_name as department, c_mktsegment as b, c_name as pl from o where o_orderstatus = 'O' and o_orderpriority = '1-URGENT'), un as (select department, count(*)::bigint as n_unlocated from u group by 1),
+an as (select n_name as department, sum(month(o_orderdate))::bigint as n_announced from o where o_orderstatus = 'O' and o_orderpriority = '5-LOW' group by 1),
+s as (select n_name as department, c_mktsegment as b, c_name as pl, o_orderkey as seq from o where o_orderstatus = 'O' and o_orderpriority not in ('1-URGENT', '5-LOW')),
 lone as (select b, pl, arg_min(department, seq) as department from s where not exists (select 1 from u where u.b = s.b and u.pl = s.pl) group by 1, 2), ln as (select department, count(*)::bigint as n_signals from lone group by 1),
 k as (select department from p union select department from un union select department from an union select department from ln)
 select department, coalesce(n_precise, 0) as n_precise, coalesce(n_unlocated, 0) as n_unlocated, coalesce(n_announced, 0) as n_announced, coalesce(n_signals, 0) as n_signals, coalesce(n_precise, 0) + coalesce(n_unlocated, 0) + coalesce(n_announced, 0) + coalesce(n_signals, 0) as estimate
 from k left join p using (department) left join un using (department) left join an using (department) left join ln using (department)""")
 def tiered_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = orders_as_events(spark, sf_dir).select(F.col("n_name").alias("department"), F.col("c_mktsegment").alias("bank_key"), F.col("o_orderpriority").alias("place_key"), "o_orderkey", "o_orderstatus")
+    """Every order has a tier: settled ones are located or not, open ones by their priority."""
+    e = orders_as_events(spark, sf_dir).select(F.col("n_name").alias("department"), F.col("c_mktsegment").alias("bank_key"), F.col("c_name").alias("place_key"), "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     located = F.when(F.col("o_orderstatus") == "F", F.lit(1.0))
     precise = e.filter("o_orderstatus <> 'O'").select("department", located.alias("lat"), located.alias("lon"))
-    return rollup.department_estimate(precise, e.filter("o_orderkey % 1000 = 1"), e.filter("o_orderkey % 50 = 2").select("department", (F.col("o_orderkey") % 4).alias("n")), e.filter("o_orderkey % 7 = 3").withColumn("seq", F.col("o_orderkey")))
+    open_ = e.filter("o_orderstatus = 'O'")
+    announced = open_.filter("o_orderpriority = '5-LOW'").select("department", F.month("o_orderdate").alias("n"))
+    signals = open_.filter("o_orderpriority not in ('1-URGENT', '5-LOW')").withColumn("seq", F.col("o_orderkey"))
+    return rollup.department_estimate(precise, open_.filter("o_orderpriority = '1-URGENT'"), announced, signals)
 
 
 def events_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,15 +199,15 @@ def review_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.review_queue(due.withColumn("priority", p), 25, F.desc("priority"), F.desc("ts"), F.col("event_id")).select("event_id", "user_id", "priority")
 
 
-@query(f"""with {_O}, ev as (select o_orderkey as event_id, c_mktsegment as bank, o_orderpriority as kind, lower(c_name) as p1, lower(c_mktsegment) as p2, n_name as dep, (o_totalprice / 100000)::int as rel, o_orderdate as created from o where c_acctbal > 0 and o_orderkey % 3 = 0),
+@query(f"""with {_O}, ev as (select o_orderkey as event_id, c_mktsegment as bank, o_orderpriority as kind, lower(c_name) as p1, lower(c_mktsegment) as p2, n_name as dep, (o_totalprice / 100000)::int as rel, o_orderdate as created from o where c_acctbal > 0 and o_orderstatus = 'F'),
 lo as (select event_id, bank, kind, p1 as pl, dep, rel, created from ev union all select event_id, bank, kind, p2, dep, rel, created from ev where p1 <> p2),
-qr as (select o_orderkey as id, c_mktsegment as bank, o_orderpriority as kind, lower(c_name) as pl, case when o_orderkey % 2 = 0 then n_name end as dep from o where o_orderkey % 5 = 1),
+qr as (select o_orderkey as id, c_mktsegment as bank, o_orderpriority as kind, lower(c_name) as pl, case when o_totalprice > 100000 then n_name end as dep from o where o_orderstatus <> 'F'),
 j as (select id, event_id, row_number() over (partition by id order by rel desc, created, event_id) as rn from qr join lo on qr.bank = lo.bank and qr.kind = lo.kind and trim(regexp_replace(qr.pl, '[^a-z0-9]+', ' ', 'g')) = trim(regexp_replace(lo.pl, '[^a-z0-9]+', ' ', 'g')) where qr.dep is null or lo.dep is null or qr.dep = lo.dep)
 select id, event_id from j where rn = 1""")
 def reconcile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = orders_as_events(spark, sf_dir)
-    events = e.filter("c_acctbal > 0 and o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("event_id"), F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("kind"), F.col("c_name").alias("place"), F.lit(None).cast("string").alias("original_place"), F.col("c_mktsegment").alias("branch"), F.col("n_name").alias("department"), F.lit(1.0).alias("lat"), F.lit(1.0).alias("lon"), F.lit("x").alias("code"), F.round(F.col("o_totalprice") / 100000).cast("int").alias("reliability"), F.col("o_orderdate").alias("created_at"))
-    rows = e.filter("o_orderkey % 5 = 1").select(F.col("o_orderkey").alias("id"), F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("kind"), F.col("c_name").alias("place"), F.when(F.col("o_orderkey") % 2 == 0, F.col("n_name")).alias("department"), F.lit(None).cast("string").alias("resolved"))
+    events = e.filter("c_acctbal > 0 and o_orderstatus = 'F'").select(F.col("o_orderkey").alias("event_id"), F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("kind"), F.col("c_name").alias("place"), F.lit(None).cast("string").alias("original_place"), F.col("c_mktsegment").alias("branch"), F.col("n_name").alias("department"), F.lit(1.0).alias("lat"), F.lit(1.0).alias("lon"), F.lit("x").alias("code"), F.round(F.col("o_totalprice") / 100000).cast("int").alias("reliability"), F.col("o_orderdate").alias("created_at"))
+    rows = e.filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id"), F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("kind"), F.col("c_name").alias("place"), F.when(F.col("o_totalprice") > 100000, F.col("n_name")).alias("department"), F.lit(None).cast("string").alias("resolved"))
     return reconcile.resolved_quarantine(rows, events)
 
 

@@ -33,10 +33,10 @@ def publish(events: DataFrame, articles: DataFrame, gazetteer: DataFrame, depart
     df = events.join(source, "url", "left")
     claimed = resolve.fill_department(F.col("department"), F.coalesce("_supported", F.array().cast("array<string>")), guard.valid_department(F.col("department"), departments))
     df = df.withColumn("department", claimed).withColumn("_lead", guard.leading_place(F.coalesce("_title", F.lit(""))))
-    asked = df.select(F.struct("event_id", "url").alias("id"), F.col("place").alias("name"), "department")
+    asked = df.select(F.struct("event_id", "url").alias("id"), F.col("place").alias("name"), "department").dropDuplicates(["id"])
     scoped = resolve.resolve_variants(asked, gazetteer, "id").select("id", "resolved_code", "resolved_department", "ambiguous")
-    open_ = resolve.resolve(asked.withColumn("department", F.lit("")), gazetteer, "id").select("id", F.col("ambiguous").alias("_open"))
-    lead = resolve.resolve(df.select(F.struct("event_id", "url").alias("id"), F.coalesce("_lead", F.lit("")).alias("name"), F.lit("").alias("department")), gazetteer, "id").select("id", F.col("resolved_code").alias("_lead_code"))
+    open_ = resolve.resolve(asked.withColumn("department", F.lit("")), gazetteer).select("id", F.col("ambiguous").alias("_open"))
+    lead = resolve.resolve(df.select(F.struct("event_id", "url").alias("id"), F.coalesce("_lead", F.lit("")).alias("name"), F.lit("").alias("department")).dropDuplicates(["id"]), gazetteer).select("id", F.col("resolved_code").alias("_lead_code"))
     df = df.withColumn("id", F.struct("event_id", "url")).join(scoped, "id", "left").join(open_, "id", "left").join(lead, "id", "left")
     from ..functions.lexicon import POSTAL_BRAND
 
@@ -68,7 +68,7 @@ def review(records: DataFrame, reviews: DataFrame, results: DataFrame, gazetteer
     due = reconcile.due_for_review(records, reviews, today, cooldown_days)
     t = fold(F.coalesce("title", F.lit("")))
     flag = lambda c: F.coalesce(c, F.lit(False))
-    p = reconcile.priority(F.col("score"), local=web.source_tier("url") == "B", legal=F.lit(False), closure=flag(titles.closure_of_branch(t, lex or Lexicon())), plan=flag(triage.plan_of_several(t, lex or Lexicon())), place=F.size(triage.places_of(F.coalesce("title", F.lit("")))) > 0)
+    p = reconcile.priority(F.col("score"), local=web.source_tier("url") == "B", legal=F.lit(False), closure=flag(titles.closure_of_branch(t, lex or Lexicon())), plan=flag(triage.plan_of_several(t)), place=F.size(triage.places_of(F.coalesce("title", F.lit("")))) > 0)
     queue = reconcile.review_queue(due.withColumn("priority", p), k, F.desc("priority"), F.desc("score"), F.desc("date"), F.col("id"))
     answers = results.join(queue.select("id"), "id", "left_semi")
     events = titles.events_of_titles(answers, gazetteer, lex)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import select, snapshot
@@ -10,14 +10,15 @@ from .common import query, table
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The users' state in the first and in the second half of January."""
+    """The state of buyers and new users on the first day of the log and after it."""
     e = table(spark, sf_dir, "events")
     state = lambda df: df.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type")).alias("s"), F.round(F.avg("value"), 0).alias("level")).select("user_id", F.col("s.event_type").alias("kind"), "level")
-    return state(e.filter("ts < '2024-01-16' and user_id % 17 <> 0")), state(e.filter("ts >= '2024-01-16' and user_id % 13 <> 0"))
+    told = e.filter("event_type in ('purchase', 'signup')")
+    return state(told.filter("ts < '2024-01-02'")), state(told.filter("ts >= '2024-01-02'"))
 
 
-_H = """b as (select user_id, arg_max(event_type, {'t': ts, 'e': event_id}) as kind, round(avg(value), 0) as level from events where ts < timestamp '2024-01-16' and user_id % 17 <> 0 group by 1),
-a as (select user_id, arg_max(event_type, {'t': ts, 'e': event_id}) as kind, round(avg(value), 0) as level from events where ts >= timestamp '2024-01-16' and user_id % 13 <> 0 group by 1)"""
+_H = """b as (select user_id, arg_max(event_type, {'t': ts, 'e': event_id}) as kind, round(avg(value), 0) as level from events where ts < timestamp '2024-01-02' and event_type in ('purchase', 'signup') group by 1),
+a as (select user_id, arg_max(event_type, {'t': ts, 'e': event_id}) as kind, round(avg(value), 0) as level from events where ts >= timestamp '2024-01-02' and event_type in ('purchase', 'signup') group by 1)"""
 
 
 @query(f"""with {_H} select coalesce(a.user_id, b.user_id) as user_id, case when b.user_id is null then 'inserted' when a.user_id is null then 'missing' when a.kind is distinct from b.kind or a.level is distinct from b.level then 'changed' else 'same' end as change from b full join a using (user_id)""")
@@ -64,23 +65,31 @@ def service_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.service_cutoff(presence(spark, sf_dir), "user_id", "day", "present", 3).withColumn("cutoff", F.col("cutoff").cast("string"))
 
 
-@query("""with m as (select s_suppkey as id, s_nationkey as code, s_name as place from supplier), c as (select c_custkey as id, c_nationkey as code, case when c_custkey % 9 = 0 then 'Supplier#' || lpad(c_custkey::varchar, 9, '0') end as place from customer where c_custkey % 61 = 0),
+#: Nation and balance to the hundred: what a supplier and a customer can have in common.
+_AREA = "{0}_nationkey::varchar || '/' || floor({0}_acctbal / 100)::int::varchar"
+
+
+def area(prefix: str) -> Column:
+    return F.concat_ws("/", F.col(f"{prefix}_nationkey").cast("string"), F.floor(F.col(f"{prefix}_acctbal") / 100).cast("int").cast("string"))
+
+
+@query(f"""with m as (select s_suppkey as id, {_AREA.format('s')} as code, substr(s_name, 9) as place from supplier), c as (select c_custkey as id, {_AREA.format('c')} as code, case when c_mktsegment = 'BUILDING' then substr(c_name, 9) end as place from customer),
 j as (select m.id, c.id as new from m join c on m.code = c.code union select m.id, c.id from m join c on m.place = c.place)
 select id, min(new) as replaced_by from j group by id having count(*) = 1""")
 def replacement_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("id"), F.col("s_nationkey").alias("code"), F.col("s_name").alias("place"))
-    made = F.when(F.col("c_custkey") % 9 == 0, F.concat(F.lit("Supplier#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")))
-    new = table(spark, sf_dir, "customer").filter("c_custkey % 61 = 0").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("code"), made.alias("place"))
+    gone = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("id"), area("s").alias("code"), F.substr(F.col("s_name"), F.lit(9)).alias("place"))
+    place = F.when(F.col("c_mktsegment") == "BUILDING", F.substr(F.col("c_name"), F.lit(9)))
+    new = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), area("c").alias("code"), place.alias("place"))
     return snapshot.replacement(gone, new, "id", ["code", "place"])
 
 
-_UP = "p as (select c_nationkey as code, count(*) filter (where c_acctbal > 9000) as f, min(c_custkey) filter (where c_acctbal > 9000) as fid, count(*) filter (where c_acctbal <= 9000) as n, min(c_custkey) filter (where c_acctbal <= 9000) as pid from customer where c_custkey % 23 = 0 group by 1)"
+_UP = f"p as (select {_AREA.format('c')} as code, count(*) filter (where c_mktsegment = 'BUILDING') as f, min(c_custkey) filter (where c_mktsegment = 'BUILDING') as fid, count(*) filter (where c_mktsegment <> 'BUILDING') as n, min(c_custkey) filter (where c_mktsegment <> 'BUILDING') as pid from customer group by 1)"
 
 
-@query(f"""with {_UP} select s_suppkey, case when f = 1 then fid when n = 1 and s_acctbal > 0 then pid end as point_id from supplier left join p on code = s_nationkey""")
+@query(f"""with {_UP} select s_suppkey, case when f = 1 then fid when n = 1 and s_acctbal > 0 then pid end as point_id from supplier left join p on code = {_AREA.format('s')}""")
 def unique_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = table(spark, sf_dir, "customer").filter("c_custkey % 23 = 0").select(F.col("c_nationkey").alias("code"), F.col("c_custkey").alias("point_id"), (F.col("c_acctbal") > 9000).alias("full"))
-    events = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("code"), "s_acctbal")
+    points = table(spark, sf_dir, "customer").select(area("c").alias("code"), F.col("c_custkey").alias("point_id"), (F.col("c_mktsegment") == "BUILDING").alias("full"))
+    events = table(spark, sf_dir, "supplier").select("s_suppkey", area("s").alias("code"), "s_acctbal")
     return snapshot.unique_point(events, points, "code", "point_id", "full", F.col("s_acctbal") > 0).select("s_suppkey", "point_id")
 
 
@@ -91,9 +100,9 @@ def even_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.evenly_spaced(days, [F.desc("day")], 7).withColumn("day", F.col("day").cast("string"))
 
 
-@query("""with n as (select count(*) as n from nation) select n_nationkey, n_name from nation, n where ((n_nationkey - (7 * 107259) % n) % n + n) % n < 7""")
+@query("""with n as (select count(*) as n from customer) select c_custkey, c_name from customer, n where ((c_custkey - (7 * 107259) % n) % n + n) % n < 7""")
 def rotating_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.rotating_batch(table(spark, sf_dir, "nation"), "n_nationkey", 7, select.week_turn(2023, 40)).select("n_nationkey", "n_name")
+    return select.rotating_batch(table(spark, sf_dir, "customer"), "c_custkey", 7, select.week_turn(2023, 40)).select("c_custkey", "c_name")
 
 
 @query("""with h as (select page_id, regexp_extract(url, '^https?://([^/]+)', 1) as host from pages), r as (select *, row_number() over (partition by host order by page_id desc) as rn from h) select host, page_id from r where rn <= 3""")

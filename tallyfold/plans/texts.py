@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import dates, keys, names, numbers, terms, web
 from ..functions.lexicon import Lexicon
 from ..operators import coverage, guard, reconcile, select, signals, triage
-from .common import query, quote, table
+from ..sources.landing import written
+from .common import among, query, quote, table
 
 #: Vocabulary of the invented prose: its frequent tokens stand for brands, closures and so on.
 PROSE = Lexicon(
@@ -86,17 +87,29 @@ def triage_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEY = "trim(regexp_replace(strip_accents(lower(replace(replace({}, '’', ''''), '‘', ''''))), '[\\s]+', ' ', 'g'))"
 
 
-@query(f"""select doc_id, substr(sha256({_KEY.format("substring(text, 1, 200)")}), 1, 16) as key_hash, substr(sha256({_KEY.format("source")} || '|' || {_KEY.format("lang")} || '|closure'), 1, 16) as event_id from documents""")
+@query(f"""select doc_id, substr(sha256({_KEY.format("text")}), 1, 16) as key_hash, substr(sha256({_KEY.format("source")} || '|' || {_KEY.format("lang")} || '|closure'), 1, 16) as event_id from documents""")
 def canonical_key_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", keys.text_hash(keys.canonical("text")).alias("key_hash"), keys.event_id("source", "lang", F.lit("closure")).alias("event_id"))
 
 
-@query("""with h as (select page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '^\\.*(?:www\\.)?', '') as host from pages)
-select page_id, host, case when host = '' then 'D' when regexp_matches(host, '(^|\\.)example\\.org$') then 'A' when regexp_matches(host, '(^|\\.)(tionsh|thand)\\.example\\.net$') then 'B' when regexp_matches(host, '(^|\\.)example\\.net$') then 'C' else 'D' end as tier from h""")
+def _one_of(host: str, names: list[str]) -> str:
+    return f"regexp_matches({host}, {quote('(^|[.])(' + '|'.join(n.replace('.', '[.]') for n in names) + ')$')})"
+
+
+_HOSTS = [*web.TIER_A, *web.TIER_B, *web.TIER_C, *web.TIER_E, "prefet69.gouv.fr", "mairie-lyon.fr", "lamairie.org", "ma.bnpparibas.net", "www.google.com/maps", "maps.google.fr", "news.google.com", "unjournalinconnu.fr"]
+
+
+@query(f"""with p as (select page_id, url from pages union all select -1 - page_id, 'https://' || {_HOSTS}[1 + page_id % {len(_HOSTS)}] || '/' || page_id from pages),
+h as (select page_id, url, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)', 1)), '^\\.*(?:www\\.)?', '') as host, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) as path from p)
+select page_id, host, case when host = '' then 'D' when {_one_of("host", [*web.TIER_A, "gouv.fr"])} or contains(host, 'mairie') or contains(host, 'bnpparibas') then 'A' when {_one_of("host", web.TIER_B)} then 'B' when {_one_of("host", web.TIER_C)} then 'C' when {_one_of("host", web.TIER_E)} then 'E'
+  when starts_with(host, 'maps.google.') or (contains(host, 'google.') and host <> 'news.google.com' and regexp_matches(path, 'maps|avis|reviews|business')) then 'E' else 'D' end as tier from h""")
 def url_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiers = [("A", ["example.org"], None), ("B", ["tionsh.example.net", "thand.example.net"], None), ("C", ["example.net"], None)]
-    return table(spark, sf_dir, "pages").select("page_id", web.host("url").alias("host"), web.source_tier("url", tiers).alias("tier"))
+    """Tiers of the pages' URLs, and of one URL more for each page, at a host that a tier or a rule has."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host = F.get(F.array(*[F.lit(h) for h in _HOSTS]), (F.col("page_id") % len(_HOSTS)).cast("int"))
+    more = pages.select((-1 - F.col("page_id")).alias("page_id"), F.concat(F.lit("https://"), host, F.lit("/"), F.col("page_id").cast("string")).alias("url"))
+    return pages.unionByName(more).select("page_id", web.host("url").alias("host"), web.source_tier("url").alias("tier"))
 
 
 _UNESC = "{}"
@@ -130,9 +143,9 @@ def regex_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with p as (select doc_id, lang, text, list_filter(string_split(text, chr(10)), lambda z: {m(folded("z"), PROSE.closure)}) as kept from documents),
 c as (select doc_id, lang || chr(10) || (case when len(kept) > 0 then array_to_string(kept, chr(10)) else text end) as t from p),
-h as (select doc_id, t, left(t, 800) as head from c),
+h as (select doc_id, t, left(t, 8000) as head from c),
 x as (select doc_id, t, head, regexp_extract(head, '(?s)^(.*[.\\n])', 1) as upto from h)
-select doc_id, case when length(t) <= 800 then t when upto <> '' then upto else head end as context from x""")
+select doc_id, case when length(t) <= 8000 then t when upto <> '' then upto else head end as context from x""")
 def compact_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     paragraphs = F.filter(F.split("text", "\n"), lambda p: terms.has_any(keys.fold(p), PROSE.closure))
     chosen = F.when(F.size(paragraphs) > 0, F.array_join(paragraphs, "\n")).otherwise(F.col("text"))
@@ -164,17 +177,17 @@ def result_cache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.withColumn("again", reconcile.retry_after(now, F.col("doc_id") % 4 + 1))
 
 
-@query("""with u as (select url from pages union all select 'https://tionsh.example.net/' || lang || '/' || doc_id from documents), s as (select distinct url from pages where page_id % 3 <> 0)
+@query("""with u as (select url from pages union all select 'https://tionsh.example.net/' || lang || '/' || doc_id from documents), s as (select distinct url from pages where url like 'https%')
 select distinct u.url from u join s using (url)""")
 def requeue_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     made = table(spark, sf_dir, "documents").select(F.concat(F.lit("https://tionsh.example.net/"), "lang", F.lit("/"), F.col("doc_id").cast("string")).alias("url"))
-    return reconcile.requeue(pages.filter("page_id % 3 <> 0").select("url"), pages.select("url"), made)[0]
+    return reconcile.requeue(pages.filter("url like 'https%'").select("url"), pages.select("url"), made)[0]
 
 
 @query("""with w as (select item_id, list_distinct(list_filter(string_split(strip_accents(lower(text)), ' '), lambda z: length(z) > 3)) as tokens from benchmark),
 p as (select page_id, strip_accents(lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1))) as t from pages),
-j as (select item_id, page_id, len(list_filter(tokens, lambda z: contains(t, z))) / len(tokens)::double as share from w join p on len(tokens) > 0 and len(list_intersect(tokens, string_split(t, ' '))) > 0),
+j as (select item_id, page_id, len(list_filter(tokens, lambda z: contains(t, z))) / len(tokens)::double as share from w join p on len(tokens) > 0),
 r as (select *, row_number() over (partition by item_id order by share desc, page_id) as rn from j where share >= 0.1)
 select item_id, page_id, round(share, 6) as share from r where rn <= 5""")
 def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +253,7 @@ def title_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", dates.text_date("whole").cast("string").alias("whole_day"), t["day"].cast("string").alias("title_day"), t["inferred"].alias("inferred"))
 
 
-@query(f"""with b as (select item_id, {_KEY.format("substring(text, 1, 60)")} as k from benchmark), d as (select doc_id, {_KEY.format("text")} as t from documents),
+@query(f"""with b as (select item_id, {_KEY.format("text")} as k from benchmark), d as (select doc_id, {_KEY.format("text")} as t from documents),
 hit as (select distinct item_id from b join d on contains(d.t, b.k)), first3 as (select distinct item_id from b join (select distinct word from (select unnest(string_split(t, ' ')) as word from d)) w on w.word = string_split(b.k, ' ')[1])
 select item_id, case when item_id in (select item_id from hit) then 'mentioned' when item_id in (select item_id from first3) then 'word_known' else 'absent' end as status from b""")
 def coverage_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,12 +269,13 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = items.withColumn("first", F.get("w", 0)).withColumn("second", F.concat_ws(" ", F.get("w", 1), F.get("w", 2)))
     docs = table(spark, sf_dir, "documents").select("doc_id", keys.canonical("text").alias("t"))
     words = F.split("t", " ")
-    grams = docs.select("doc_id", F.explode(F.array_distinct(F.zip_with(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)))).alias("second"))
-    wanted = items.select("item_id", "k", "second")
-    pairs = grams.join(wanted.hint("merge"), "second").select("doc_id", "item_id", "k").distinct()
-    hit = pairs.join(docs.hint("merge"), "doc_id").filter("contains(t, k)")
-    vocabulary = docs.select(F.explode(F.array_distinct(words)).alias("first")).distinct()
-    known = items.join(vocabulary.hint("merge"), "first", "left_semi")
+    grams = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda x, y: F.concat_ws(" ", x, y))
+    said = docs.select("doc_id", F.explode(F.array_distinct(F.concat(words, grams))).alias("token"))
+    wanted = items.select(F.explode(F.array("first", "second")).alias("token"))
+    found = written(among(said, "token", wanted).distinct(), "coverage-tokens")
+    pairs = found.join(items.select("item_id", "k", F.col("second").alias("token")).hint("merge"), "token").select("doc_id", "item_id", "k")
+    hit = among(docs, "doc_id", pairs).join(pairs.hint("merge"), "doc_id").filter("contains(t, k)")
+    known = items.join(found.select(F.col("token").alias("first")).distinct().hint("merge"), "first", "left_semi")
     return coverage.first_rule(items, "item_id", (hit, "mentioned"), (known, "word_known"))
 
 
@@ -275,15 +289,38 @@ def coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from .common import SQL  # noqa: E402
 
-SQL["coverage_summary"] = f"with b as (select item_id, {_KEY.format('substring(text, 1, 60)')} as k from benchmark), d as (select doc_id, {_KEY.format('text')} as t from documents), " + SQL["coverage_summary"].removeprefix("with ")
+SQL["coverage_summary"] = f"with b as (select item_id, {_KEY.format('text')} as k from benchmark), d as (select doc_id, {_KEY.format('text')} as t from documents), " + SQL["coverage_summary"].removeprefix("with ")
+
+
+#: Sentences that stand for what articles say of a closure; each document gets one, by its id, before its own text.
+SAID = [
+    "Poitiers : fermeture temporaire du bureau de poste pour travaux", "Le bureau de poste de Poitiers ne fermera pas", "Poitiers : fermé définitivement, le bureau ne rouvrira pas", "Le bureau de poste de Poitiers est menacé de fermeture", "Poitiers : le bureau de poste ferme en août",
+    "Le bureau de poste de Vierzon-Poitiers va fermer", "Le bureau de poste de Poitiers-Sud fermera en mars", "Poitiers : la direction renonce à fermeture et agences", "Poitiers : maintien des bureaux", "Poitiers : fermé depuis trois semaines", "Poitiers : fermé pour plus de deux mois", "Poitiers : fermé depuis janvier",
+    "À Saumur, le bureau de poste de Poitiers va fermer", "Saumur : le bureau de Poitiers ferme", "Poitiers : ferme le lundi", "Poitiers, raisons de sécurité, le bureau ferme", "Poitiers (86) : fermeture en mars", "Poitiers (17) : fermeture en mars", "Poitiers : tout l'été le bureau ferme", "Poitiers : fermeture le 17 mars",
+]
+_PASSING_SQL = "|".join(rf"\b(?:{x})\b" for x in [
+    r"fermeture\s+(?:temporaire|exceptionnelle)", r"temporairement\s+ferm\w*", r"ferm\w*\s+temporairement", "provisoire|provisoirement", "travaux|renovation|modernisation|reparation|demenagement|demenager", "infiltration|inondation|cambriolage|agression|incivilites?|radon|sinistre", r"raisons?\s+de\s+securite", r"jusqu[-\s']+(?:a|au)", r"duree\s+indeterminee", r"tout[-\s']+l[-\s']+ete",
+    r"(?:(?:pour|pendant|durant|depuis)(?:[-\s']+plus)?(?:[-\s']+(?:de|d))?|plus[-\s']+(?:de|d))[-\s']+(?:\d+|un|une|deux|trois|quatre|cinq|six|plusieurs)[-\s']+(?:jours?|semaines?|mois)", rf"ferm\w*[-\s']+depuis[-\s']+(?:{'|'.join(dates.MONTHS)})", r"ferme[-\s']+(?:ce|le|chaque)[-\s']+(?:lundi|mardi|mercredi|jeudi|vendredi|samedi|dimanche)",
+])
+_DENIED_SQL = r"\b(?:(?:ne|n)[-\s']+(?:ferme|ferment|fermera|fermeront)[-\s']+pas|fermeture[-\s']+(?:annulee|ecartee|abandonnee)|renonce[-\s']+a[-\s']+(?:la[-\s']+)?fermeture|maintien[-\s']+(?:du|des)[-\s']+(?:bureau|bureaux|agence|agences))\b"
 
 
-@query(f"""with d as (select doc_id, {_KEY.format("text")} as t, {_KEY.format("source")} as s from documents)
-select doc_id, case when regexp_matches(t, 'heitver|tionre') then 'denied' when regexp_matches(t, 'the of|der die') then 'temporary' when not regexp_matches(t, '(^|[^a-z0-9_-])of[- '']+the([^a-z0-9_]|$)') then 'not mentioned' else null end as reason from d""")
+@query(f"""with d as (select doc_id, [{', '.join(map(quote, SAID))}][1 + doc_id % {len(SAID)}] as s, lang, text from documents),
+t as (select doc_id, s, lang, {_KEY.format("s || ' ' || lang")} as src from d),
+x as (select *, regexp_extract(src, '\\((\\d\\d)\\)', 1) as dep, list_position({_MONTHS_SQL}, regexp_extract(src, '\\b(?:fermeture|ferme|fermera|fermeront|fermee|fermees)\\b[^.!?]{{0,55}}?\\b(?:en|au|le)\\s+(?:\\d{{1,2}}(?:er)?\\s+)?({'|'.join(dates.MONTHS)})\\b', 1)) as mo,
+  coalesce(nullif(regexp_extract(s, '^[ÀA]\\s+(\\p{{Lu}}[\\p{{L}}''’-]+(?:\\s+\\p{{Lu}}[\\p{{L}}''’-]+){{0,3}})\\s*[, :]', 1), ''), nullif(regexp_extract(s, '^(\\p{{Lu}}[\\p{{L}}''’-]+(?:\\s+\\p{{Lu}}[\\p{{L}}''’-]+){{0,3}})\\s*:', 1), '')) as lead from t)
+select doc_id, case when regexp_matches(src, {quote(_DENIED_SQL)}) then 'closure denied' when regexp_matches(src, {quote(_PASSING_SQL)}) then 'temporary closure' when dep <> '' and dep <> '86' then 'department contradicts the source'
+  when dep = '' and lang = 'fr' then 'namesake without support' when not regexp_matches(src, '(^|[^a-z0-9_-])poitiers([^a-z0-9_]|$)') then 'place not mentioned' when lead is not null and lead <> 'Poitiers' then 'the title leads with another place' when mo is not null and mo <> 8 then 'month differs' end as reason from x""")
 def guard_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = keys.canonical("text")
-    reason = guard.first_reason((guard.any_of(t, ["heitver", "tionre"]), "denied"), (guard.any_of(t, ["the of", "der die"]), "temporary"), (~guard.mentioned(F.lit("Of-The"), t), "not mentioned"))
-    return table(spark, sf_dir, "documents").select("doc_id", reason.alias("reason"))
+    """The guard over a sentence for each document, its language as metadata; documents in French stand for names that have namesakes."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.get(F.array(*[F.lit(x) for x in SAID]), (F.col("doc_id") % len(SAID)).cast("int")).alias("s"))
+    d = d.withColumn("src", keys.canonical(F.concat_ws(" ", "s", "lang"))).withColumn("lead", guard.leading_place(F.col("s")))
+    dep = F.regexp_extract("src", r"\((\d\d)\)", 1)
+    reason = guard.guard_reason(
+        source=F.col("src"), place=F.lit("Poitiers"), label=F.lit(""), ambiguous=F.lit(False), brand_is_postal=F.lit(True), source_departments=F.when(dep != "", F.array(dep)).otherwise(F.array().cast("array<string>")), resolved_department=F.lit("86"), unscoped_ambiguous=F.col("lang") == "fr",
+        leading_code=F.col("lead"), resolved_code=F.lit("Poitiers"), approximate=F.lit(True), day=F.lit("2026-08-01").cast("date"),
+    )
+    return d.select("doc_id", reason.alias("reason"))
 
 
 @query("""with e as (select event_id, user_id, (json_extract_string(props, '$.k'))::int as k, substr(sha256(coalesce(user_id::varchar, '') || '|' || coalesce(event_id::varchar, '')), 1, 16) as id from events)
@@ -296,9 +333,11 @@ def json_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with d as (select doc_id, {folded("text")} as t from documents)
 select doc_id, array_to_string(list_filter(['North', 'South', 'West', 'Post'], lambda b: (b = 'North' and {m("t", PROSE.brands["North"])}) or (b = 'South' and {m("t", PROSE.brands["South"])}) or (b = 'West' and {m("t", PROSE.brands["West"])}) or (b = 'Post' and {sql_postal("t")})), ',') as brands from d""")
 def brands_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = triage.brands_of(keys.fold("text"), PROSE)
-    order = F.filter(F.array(*[F.lit(b) for b in ("North", "South", "West", "Post")]), lambda b: F.array_contains(found, b))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(order, ",").alias("brands"))
+    # read many times by brands_of, so that the optimizer leaves the fold a column of its own
+    d = table(spark, sf_dir, "documents").withColumn("_fold", keys.fold("text"))
+    d = d.select("doc_id", triage.brands_of(F.col("_fold"), PROSE).alias("found"))
+    order = F.array_intersect(F.array(*[F.lit(b) for b in ("North", "South", "West", "Post")]), "found")
+    return d.select("doc_id", F.array_join(order, ",").alias("brands"))
 
 
 @query(f"""with d as (select doc_id, {folded("text")} as t from documents)

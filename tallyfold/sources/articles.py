@@ -1,4 +1,7 @@
-"""Landed files to articles (title, text, url, date, source, department)."""
+"""Landed files to articles (title, text, url, date, source, department).
+
+JSON answers are one a file, or one a line with ``whole_files=False``, which lets large files be split.
+"""
 
 from __future__ import annotations
 
@@ -38,32 +41,32 @@ def sitemap(spark: SparkSession, path: str) -> DataFrame:
     return both.select(F.trim(F.coalesce("loc", "link")).alias("url"), "title", F.coalesce("lastmod", "pubDate").alias("date")).filter("url <> ''")
 
 
-def news_list(spark: SparkSession, path: str) -> DataFrame:
+def news_list(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """A list ``articles`` of title, url, seendate (20260112T080000Z) and domain; the text is empty."""
-    df = spark.read.schema("articles array<struct<title:string, url:string, seendate:string, domain:string>>").json(path, multiLine=True).select(F.inline("articles"))
+    df = spark.read.schema("articles array<struct<title:string, url:string, seendate:string, domain:string>>").json(path, multiLine=whole_files).select(F.inline("articles"))
     day = F.regexp_replace("seendate", r"^(\d{4})(\d{2})(\d{2}).*$", "$1-$2-$3")
     return as_articles(df, title=F.col("title"), text=F.lit(""), url=F.col("url"), date=day, source=F.col("domain"))
 
 
-def registry_list(spark: SparkSession, path: str) -> DataFrame:
+def registry_list(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """``articles.results`` with title, body, url, date and publisher; results without a URL go."""
     schema = "articles struct<results: array<struct<title:string, body:string, url:string, dateTime:string, date:string, source:struct<title:string, uri:string>>>>"
-    df = spark.read.schema(schema).json(path, multiLine=True).select(F.inline("articles.results")).filter("trim(url) <> ''")
+    df = spark.read.schema(schema).json(path, multiLine=whole_files).select(F.inline("articles.results")).filter("trim(url) <> ''")
     return as_articles(df, title=F.col("title"), text=F.col("body"), url=F.col("url"), date=F.coalesce("dateTime", "date"), source=F.coalesce("source.title", "source.uri"))
 
 
-def stories(spark: SparkSession, path: str) -> DataFrame:
+def stories(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     schema = "title string, name string, text string, url string, guid string, publish_date string, indexed_date string, media_name string, media_url string"
-    df = spark.read.schema(schema).json(path, multiLine=True)
+    df = spark.read.schema(schema).json(path, multiLine=whole_files)
     url = F.coalesce("url", "guid")
     return as_articles(df, title=F.coalesce("title", "name"), text=F.coalesce("text", F.lit("")), url=url, date=F.coalesce("publish_date", "indexed_date"), source=F.coalesce("media_name", "media_url")).filter("trim(url) <> ''")
 
 
-def legal_results(spark: SparkSession, path: str, url_prefix: str) -> DataFrame:
+def legal_results(spark: SparkSession, path: str, url_prefix: str, whole_files: bool = True) -> DataFrame:
     """Legal search results in their several shapes; text from whichever fields there are, without tags."""
     schema = """results array<struct<id:string, title:string, url:string, date:string, publicationDate:string, text:string, content:string, resume:string,
       titles:array<struct<id:string, title:string>>, sections:array<struct<extracts:array<struct<values:array<string>>>>>>>"""
-    df = spark.read.schema(schema).json(path, multiLine=True).select(F.inline("results"))
+    df = spark.read.schema(schema).json(path, multiLine=whole_files).select(F.inline("results"))
     extracts = F.array_join(F.flatten(F.flatten(F.transform("sections", lambda s: F.transform(s["extracts"], lambda e: e["values"])))), " ")
     text = F.trim(F.regexp_replace(F.regexp_replace(F.concat_ws(" ", "text", "content", "resume", extracts), r"<[^>]+>", " "), r"\s+", " "))
     title = F.coalesce(F.get("titles", 0)["title"], F.col("title"))

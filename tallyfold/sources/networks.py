@@ -14,10 +14,10 @@ BRANCH_HEADINGS = {"branch_id": ["identifiant", "id", "code"], "name": ["libelle
 DELIMITERS = [";", "\t", ","]
 
 
-def osm_branches(spark: SparkSession, path: str, excluded: list[str] = []) -> DataFrame:  # noqa: B006
+def osm_branches(spark: SparkSession, path: str, excluded: list[str] = [], whole_files: bool = True) -> DataFrame:  # noqa: B006
     """Branches of an OSM extract; ways have their centre's coordinates."""
     schema = "elements array<struct<type:string, id:bigint, lat:double, lon:double, center:struct<lat:double, lon:double>, tags:map<string,string>>>"
-    e = spark.read.schema(schema).json(path, multiLine=True).select(F.inline("elements"))
+    e = spark.read.schema(schema).json(path, multiLine=whole_files).select(F.inline("elements"))
     tag = lambda k: F.nullif(F.trim(F.try_element_at("tags", F.lit(k))), F.lit(""))
     df = e.select(F.concat_ws("/", "type", "id").alias("branch_id"), F.coalesce(tag("operator"), tag("brand"), tag("name")).alias("bank"), tag("name").alias("name"), F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street")).alias("address"), tag("addr:postcode").alias("postal_code"), tag("addr:city").alias("place"), F.coalesce("lat", "center.lat").alias("lat"), F.coalesce("lon", "center.lon").alias("lon"))
     out = df.withColumn("department", department_code(None, "postal_code")).filter("bank is not null")
@@ -60,9 +60,9 @@ def calendar(spark: SparkSession, path: str, wanted: DataFrame | None = None) ->
     return out if wanted is None else out.join(wanted.select("point_id").distinct(), "point_id", "left_semi")
 
 
-def locator(spark: SparkSession, path: str) -> DataFrame:
+def locator(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """Events of a locator crawl that have a place and a date; the message gives both the date and where customers go."""
-    df = spark.read.schema("id string, name string, city string, postal_code string, address string, message string").json(path, multiLine=True)
+    df = spark.read.schema("id string, name string, city string, postal_code string, address string, message string").json(path, multiLine=whole_files)
     day = F.try_to_date(F.regexp_extract("message", r"(\d{2}/\d{2}/\d{4})", 1), "dd/MM/yyyy")
     to = F.nullif(F.regexp_extract("message", r"(?i)agence\s+(?:de\s+)?([^.,;]+)", 1), F.lit(""))
     out = df.select(F.col("id").alias("branch_id"), "name", F.col("city").alias("place"), "address", day.alias("closed_on"), F.trim(to).alias("destination"), department_code(None, "postal_code").alias("department"))
@@ -85,10 +85,10 @@ def override_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return numbered("sources"), numbered("rows")
 
 
-def polygons(spark: SparkSession, path: str) -> DataFrame:
+def polygons(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """(code, name, geometry as JSON) of a GeoJSON collection."""
     schema = "features array<struct<properties:struct<code:string, nom:string>, geometry:struct<type:string, coordinates:string>>>"
-    f = spark.read.schema(schema).json(path, multiLine=True).select(F.inline("features"))
+    f = spark.read.schema(schema).json(path, multiLine=whole_files).select(F.inline("features"))
     return f.select(F.col("properties.code").alias("code"), F.col("properties.nom").alias("name"), F.to_json("geometry").alias("geometry"))
 
 
