@@ -86,11 +86,37 @@ def best(nodes: DataFrame, steps: DataFrame, top: int | None = None) -> DataFram
     """
     scored = steps.join(nodes.select("tree", "node", "score").hint("merge"), ["tree", "node"])
     branches = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("size"))
+    if top == 1:  # combined before the shuffle, so that a tree of very many branches is no task of its own
+        first = branches.groupBy("tree").agg(F.min(F.struct((-F.col("score")).alias("s"), (-F.col("size")).alias("n"), "leaf")).alias("b"))
+        return first.select("tree", "b.leaf", (-F.col("b.s")).alias("score"), (-F.col("b.n")).alias("size"), F.lit(1).alias("rank"))
     w = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("size"), "leaf")
     out = branches.withColumn("rank", F.row_number().over(w))
     return out if top is None else out.filter(F.col("rank") <= top)
 
 
+#: Messages that a conversation has at most, so that its number and a message's make one.
+MOST_TURNS = 1_000_000
+
+
+def shared_roots(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Conversations that open with the same text as one reply tree: that text is the root, each conversation a branch.
+
+    (tree, node, parent, role, text, score): ``tree`` is the smallest conversation's number, the score a text's length.
+    Conversations without a number are left out.
+    """
+    scratch = Scratch(rows.sparkSession, "shared-roots")
+    c = scratch.write(chains(rows.filter(F.col(conv).isNotNull()), conv, turn))
+    roots = c.filter("node = 1").select(F.col("tree").alias("conv"), F.sha2("text", 256).alias("key"), "role", "text")
+    first = scratch.write(roots.groupBy("key").agg(F.min(F.struct("conv", "role", "text")).alias("f")).select("key", F.col("f.conv").alias("tree"), F.col("f.role").alias("role"), F.col("f.text").alias("text")))
+    of = roots.select("conv", "key").join(first.select("key", "tree").hint("merge"), "key").select("conv", "tree")
+    number = lambda conv, k: F.col(conv) * MOST_TURNS + k
+    later = c.filter("node > 1").select(F.col("tree").alias("conv"), "node", "role", "text").join(of.hint("merge"), "conv")
+    parent = F.when(F.col("node") == 2, number("tree", F.lit(1))).otherwise(number("conv", F.col("node") - 1))
+    score = F.length("text").cast("double").alias("score")
+    later = later.select("tree", number("conv", F.col("node")).alias("node"), parent.alias("parent"), "role", "text", score)
+    return scratch.write(first.select("tree", number("tree", F.lit(1)).alias("node"), F.lit(None).cast("long").alias("parent"), "role", "text", score).unionByName(later))
+
+
 def turn_text(role: Column, text: Column) -> Column:
     r = escape_role(role)
     return F.concat(F.lit("["), r, F.lit("] "), escape(text), F.lit(" [/"), r, F.lit("]"), F.when(role == LOSS_ROLE, F.lit("</s>")).otherwise(F.lit("")))

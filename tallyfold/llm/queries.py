@@ -55,7 +55,7 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+    return sharding.placed_files(table(spark, sf_dir, "documents"), SHARDS).select("doc_id", "slot", "shard")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +76,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy rejects, from the ledger of all documents."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")))
+
+
+def ranked_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with one opening as branches of a tree; of each tree the best branch, formatted."""
+    nodes = chat.shared_roots(table(spark, sf_dir, "conversations"))
+    steps = chat.paths(nodes)
+    chosen = chat.best(nodes, steps, top=1)
+    out = chat.format_paths(nodes, steps, chosen).join(chosen.select("tree", "leaf", "score", "size").hint("merge"), ["tree", "leaf"])
+    return out.select("tree", "leaf", F.round("score", 6).alias("score"), F.col("size").alias("n_turns"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_packing, op3_chat_formatting, op4_quality_rules, op5_suffix_array_dedup, op6_sharding, op7_line_dedup, op8_ngram_jaccard_join, op9_byte_bpe, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_packing, op3_chat_formatting, op4_quality_rules, op5_suffix_array_dedup, op6_sharding, op7_line_dedup, op8_ngram_jaccard_join, op9_byte_bpe, op10_exact_dedup, quality_ablations, ranked_branches)}
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -121,6 +135,22 @@ b as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (bits & 3) <> 0 as base_failed, bits = 0 as kept, bits::int as bits from b
 """
 
+SQL_ABLATIONS = f"""
+with led as ({SQL_OP4}), r as (select unnest({list(quality.RULES)!r}) as rule, unnest({list(quality.BITS.values())!r}) as bit), p as (select unnest({list(quality.POLICIES)!r}) as policy, unnest({list(quality.POLICIES.values())!r}) as mask)
+select policy, rule, count(*) filter (where bits & mask <> 0)::bigint as rejected, count(*) filter (where bits & bit <> 0)::bigint as failing, count(*) filter (where bits & mask = bit)::bigint as alone from led, r, p where mask & bit <> 0 group by policy, rule
+"""
+
+SQL_BRANCHES = r"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn, role, text) as i from conversations where conv_id is not null),
+f as (select text as opening, min(conv_id) as tree, arg_min(role, conv_id) as role from t where i = 1 group by 1),
+m as (select t.conv_id, f.tree, t.i, case when t.i = 1 then f.role else t.role end as role, t.text from t join t as o on o.conv_id = t.conv_id and o.i = 1 join f on f.opening = o.text),
+z as (select *, length(replace(replace(replace(text, '\', '\b'), '[', '\l'), '<', '\g')) + 2 * length(replace(replace(replace(replace(replace(role, '\', '\b'), '[', '\l'), '<', '\g'), ']', '\r'), '/', '\s')) + 7 + case when role = 'assistant' then 4 else 0 end as c from m),
+b as (select tree, conv_id, count(*)::bigint as n_turns, avg(length(text)) as score, sum(c)::bigint as formatted_chars from z group by 1, 2),
+k as (select *, case when n_turns = 1 then tree else conv_id end * 1000000 + n_turns as leaf, max(n_turns) over (partition by tree) as most from b),
+r as (select *, row_number() over (partition by tree order by score desc, n_turns desc, leaf) as rn from k where n_turns > 1 or most = 1)
+select tree, leaf, round(score, 6) as score, n_turns, formatted_chars from r where rn = 1
+"""
+
 SQL_OP6 = f"""
 select doc_id, slot, ['{"', '".join(SHARDS)}'][{[x + 1 for x in sharding.fill(SHARDS)]}[slot + 1]] as shard
 from (select doc_id, (('0x' || substr(sha256(doc_id::varchar), 1, 15))::bigint % {sharding.SLOTS})::int as slot from documents)
@@ -134,4 +164,4 @@ select doc_id, min(doc_id) over (partition by text_sha256) as keep_id, count(*)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": SQL_OP3, "op4_quality_rules": SQL_OP4, "op6_sharding": SQL_OP6, "op10_exact_dedup": SQL_OP10}
+    return {"op3_chat_formatting": SQL_OP3, "op4_quality_rules": SQL_OP4, "op6_sharding": SQL_OP6, "op10_exact_dedup": SQL_OP10, "quality_ablations": SQL_ABLATIONS, "ranked_branches": SQL_BRANCHES}

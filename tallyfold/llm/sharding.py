@@ -14,10 +14,13 @@ named ``slot`` or ``shard``, which are replaced.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import shared_dir
+
 #: Default table size, a prime; at most MAX_SLOTS, so that the broadcast stays below a few MB.
 SLOTS = 1009
 MAX_SLOTS = 655_373
@@ -64,6 +67,16 @@ def place(df: DataFrame, shards: list[str], key: str = "doc_id", slots: int = SL
 
 
 def write(placed: DataFrame, path: str, files_per_shard: int = 4) -> None:
-    """One folder per shard, each written by ``files_per_shard`` tasks."""
+    """One folder per shard, each written by ``files_per_shard`` tasks, among which its rows are spread by their hash."""
     spread = F.pmod(F.xxhash64(*[c for c in placed.columns if c != "shard"]), F.lit(files_per_shard))
     placed.repartition("shard", spread).write.partitionBy("shard").parquet(path)
+
+
+def placed_files(docs: DataFrame, shards: list[str], key: str = "doc_id", slots: int = SLOTS) -> DataFrame:
+    """Places and writes ``docs`` and reads them back, the shard from the folder's name; as many tasks write as the session shuffles to."""
+    spark = docs.sparkSession
+    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = place(docs, shards, key, slots)
+    write(placed, path, max(1, -(-tasks // len(shards))))
+    return spark.read.schema(placed.schema).parquet(path)
