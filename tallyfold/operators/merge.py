@@ -6,6 +6,8 @@ a key totally; where ties are possible pass a struct of all columns.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,29 +66,42 @@ def best_per_key(rows: DataFrame, key: list[str], *order: Column) -> DataFrame:
 
 
 class VersionedTable:
-    """A table as numbered folders with a pointer, for writers without MERGE.
+    """A table as folders with a pointer, for writers without MERGE.
 
-    A new version is written beside the one that is read, then the pointer, a
-    one-row table of its own, is replaced; readers never see half a version.
+    A new version is written beside the one that is read, under a name of its
+    own, then a pointer to it is added; readers never see half a version.  Of
+    two writers that started from one version the first by name wins, and the
+    other gets an error, so nothing is lost in silence.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def version(self) -> int:
+    def pointers(self) -> DataFrame | None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current")
         if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return 0
-        return self.spark.read.schema("version long").json(f"{self.path}/current").agg(F.max("version")).first()[0] or 0
+            return None
+        return self.spark.read.schema("version long, folder string").json(f"{self.path}/current")
+
+    def current(self) -> tuple[int, str | None]:
+        found = self.pointers()
+        best = found.groupBy("version").agg(F.min("folder").alias("folder")).orderBy(F.desc("version")).first() if found is not None else None
+        return (best.version, best.folder) if best else (0, None)
+
+    def version(self) -> int:
+        return self.current()[0]
 
     def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(f"{self.path}/v{v}") if v else None
+        folder = self.current()[1]
+        return self.spark.read.parquet(f"{self.path}/{folder}") if folder else None
 
     def write(self, df: DataFrame, partition_by: list[str] = []) -> int:  # noqa: B006
         v = self.version() + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/v{v}")
-        self.spark.range(1).select(F.lit(v).cast("long").alias("version")).coalesce(1).write.mode("append").json(f"{self.path}/current")
+        folder = f"v{v}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
+        self.spark.range(1).select(F.lit(v).cast("long").alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").json(f"{self.path}/current")
+        if self.pointers().filter(F.col("version") == v).agg(F.min("folder")).first()[0] != folder:
+            raise RuntimeError(f"another writer made version {v} of {self.path} first")
         return v
 
 

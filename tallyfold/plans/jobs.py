@@ -139,6 +139,34 @@ def export_sections(events: DataFrame, event_sources: DataFrame, quarantine: Dat
     return {"events": full, "quarantine": open_rows, "signals": signals, "departments": estimate, "regions": rollup.by_region(full, "region", "department", "kind", "n_sources", ["closure", "project", "fusion"])}
 
 
+def export_payload(*, events: DataFrame, event_sources: DataFrame, controls: DataFrame, quarantine: DataFrame, signals: DataFrame, department_signals: DataFrame, vague_signals: DataFrame, plans: DataFrame, branches: DataFrame, departments: DataFrame, brands: list[str], now: Column) -> dict[str, DataFrame]:
+    """The eleven sections of the export, each a table.
+
+    ``departments`` (department, name, region) is a dimension; sections of open
+    records come best or newest first.
+    """
+    spark = events.sparkSession
+    regions = departments.select("department", "region")
+    base = export_sections(events, event_sources, quarantine, signals, regions)
+    full = rollup.with_control(base["events"], controls)
+    counted = events.groupBy("department").agg(F.count(F.lit(1)).alias("n_events"))
+    dim = departments.join(counted, "department", "left").join(rollup.per_department(branches), "department", "left").join(base["departments"].select("department", "n_precise", "n_unlocated", "estimate"), "department", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return {
+        "generated_at": spark.range(1).select(now.alias("generated_at")),
+        "brands": spark.createDataFrame([(b,) for b in sorted(set(brands))], "brand string"),
+        "departments": dim.select("department", "name", "region", *[zero(c) for c in ("n_events", "n_branches", "n_precise", "n_unlocated", "estimate")]),
+        "department_estimates": base["departments"],
+        "regions": base["regions"],
+        "events": full,
+        "quarantine": base["quarantine"].orderBy(F.desc("created_at"), "id"),
+        "department_signals": department_signals.orderBy(F.desc("date"), "id"),
+        "vague_signals": vague_signals.orderBy(F.desc("date"), "id"),
+        "signals": signals.orderBy(F.desc("score"), F.desc("date"), "id"),
+        "plans": plans,
+    }
+
+
 def coverage_report(expected: DataFrame, events: DataFrame, signals: DataFrame, statuses: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = coverage.expected_status(expected, events, signals)
     return found, coverage.summary(found, statuses)

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import triage
-from ..operators.merge import VersionedTable
 
 
 def once_per_url(stream: DataFrame, time: str, delay: str, url: str = "url") -> DataFrame:
@@ -18,38 +17,63 @@ def once_per_url(stream: DataFrame, time: str, delay: str, url: str = "url") ->
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([url])
 
 
-def unseen_to(table: VersionedTable, url: str = "url") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that adds the articles with URLs that the table lacks, exactly.
+class BatchLog:
+    """An append-only table whose rows come in numbered batches; a batch that is written again replaces itself alone."""
 
-    A batch that is run again adds nothing, as its URLs are then there.
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The rows, with ``batch``, of all batches or of those before one."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return None
+        rows = self.spark.read.parquet(self.path)
+        return rows if before is None else rows.filter(F.col("batch") < before)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.drop("batch").write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
+def unseen_to(log: BatchLog, url: str = "url") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds the articles with URLs that earlier batches lack; those without a URL are added too.
+
+    Only new rows are written, and a batch that is run again comes out the same.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        old = table.read()
+        old = log.read(batch_id)
         rows = triage.union_first([batch], url).drop("source_rank")
-        if old is not None:
-            rows = old.unionByName(triage.unseen(rows.filter(F.trim(F.coalesce(F.col(url), F.lit(""))) != ""), old, url), allowMissingColumns=True)
-        table.write(rows)
+        log.write(rows if old is None else triage.unseen(rows, old, url), batch_id)
 
     return add
 
 
-def merge_to(table: VersionedTable, merge: Callable[[DataFrame], DataFrame], rows: VersionedTable, distinct: list[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps all observations and the events merged from them.
+def merge_to(events: BatchLog, merge: Callable[[DataFrame], DataFrame], rows: BatchLog, key: list[str], distinct: list[str]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that logs observations and, of the keys that a batch has, the events merged anew.
 
     The merge is over all observations of a key, so batches may come in any
-    order; ``distinct`` are the columns that tell observations apart.
+    order; ``distinct`` are the columns that tell observations apart.  What is
+    written grows with the batch, not with the history; :func:`latest` reads
+    the events.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        old = rows.read()
-        both = batch if old is None else old.unionByName(batch)
-        rows.write(both.dropDuplicates(distinct))
-        table.write(merge(rows.read()))
+        rows.write(batch.dropDuplicates(distinct), batch_id)
+        touched = batch.select(*key).distinct()
+        known = rows.read(batch_id + 1).drop("batch").join(touched, key, "left_semi").dropDuplicates(distinct)
+        events.write(merge(known), batch_id)
 
     return add
 
 
+def latest(events: BatchLog, key: list[str]) -> DataFrame:
+    """Of each key the row of the last batch that has it."""
+    rows = events.read()
+    rest = [c for c in rows.columns if c not in (*key, "batch")]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*key, "_r.*")
+
+
 def run_once(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = stream.writeStream.foreachBatch(function).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

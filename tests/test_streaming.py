@@ -17,7 +17,7 @@ def test_each_url_once_equals_batch(spark, tmp_path):
     schema = "url string, title string"
     src = f"file://{tmp_path}/in"
     files(spark, rows, schema, src, 3)
-    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    table = incremental.BatchLog(spark, f"file://{tmp_path}/t")
     incremental.run_once(incremental.read_files(spark, src, schema), incremental.unseen_to(table), f"file://{tmp_path}/cp")
     batch = triage.union_first([spark.read.parquet(src)])
     assert {r.url for r in table.read().collect()} == {r.url for r in batch.collect()} and table.read().count() == 7
@@ -30,9 +30,28 @@ def test_merge_equals_batch(spark, tmp_path):
     src = f"file://{tmp_path}/in"
     files(spark, rows, schema, src, 4)
     fold = lambda df: merge.signal_merge(df, ["k"], "seq", last_known=["v"], last=[], highest=[])
-    table, kept = VersionedTable(spark, f"file://{tmp_path}/t"), VersionedTable(spark, f"file://{tmp_path}/rows")
-    incremental.run_once(incremental.read_files(spark, src, schema), incremental.merge_to(table, fold, kept, ["k", "seq"]), f"file://{tmp_path}/cp")
-    assert {tuple(r) for r in table.read().collect()} == {tuple(r) for r in fold(spark.read.parquet(src)).collect()}
+    events, kept = incremental.BatchLog(spark, f"file://{tmp_path}/t"), incremental.BatchLog(spark, f"file://{tmp_path}/rows")
+    add = incremental.merge_to(events, fold, kept, ["k"], ["k", "seq"])
+    incremental.run_once(incremental.read_files(spark, src, schema), add, f"file://{tmp_path}/cp")
+    add(spark.createDataFrame(rows[3::4], schema), 3)  # a batch that is run again
+    assert {tuple(r) for r in incremental.latest(events, ["k"]).collect()} == {tuple(r) for r in fold(spark.read.parquet(src)).collect()}
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
+    import pytest
+
+    t = VersionedTable(spark, f"file://{tmp_path}/v")
+    assert t.read() is None and t.write(spark.range(3)) == 1 and t.write(spark.range(5)) == 2 and t.read().count() == 5
+    late = VersionedTable(spark, f"file://{tmp_path}/v")
+    late.version = lambda: 1  # it read the first version before the second was there
+    try:
+        late.write(spark.range(7))
+        assert t.read().count() == 7
+    except RuntimeError:
+        assert t.read().count() == 5
+    with pytest.raises(RuntimeError):
+        for _ in range(40):
+            late.write(spark.range(1))
 
 
 def test_missing_counter_equals_batch(spark, tmp_path):
