@@ -24,13 +24,15 @@ def expected_status(expected: DataFrame, events: DataFrame, signals: DataFrame)
     decides by its date_status.  Then a label that is an event's place, a plan
     in the bank's signals, a mention in a signal's text, and nothing.
     """
-    banked = events.select("bank_key", "event_seq", "date_status", F.col("place_key").alias("_p"), F.col("label_key").alias("_l"))
-    by_place = expected.join(banked, "bank_key").filter("_p = place_key").select("expected_id", "event_seq", F.lit(0).alias("how"), "date_status")
-    by_label = expected.join(banked, "bank_key").filter("_l = label_key and label_key <> ''").select("expected_id", "event_seq", F.lit(1).alias("how"), "date_status")
+    # each rule is an equi-join on bank and name, so that a bank with very many rows is no task of its own
+    known = lambda theirs, ours: events.select("bank_key", "event_seq", "date_status", F.col(theirs).alias(ours))
+    labelled = expected.filter("label_key <> ''")
+    by_place = expected.join(known("place_key", "place_key"), ["bank_key", "place_key"]).select("expected_id", "event_seq", F.lit(0).alias("how"), "date_status")
+    by_label = labelled.join(known("label_key", "label_key"), ["bank_key", "label_key"]).select("expected_id", "event_seq", F.lit(1).alias("how"), "date_status")
     direct = by_place.union(by_label).groupBy("expected_id").agg(F.min(F.struct("event_seq", "how", "date_status")).alias("_d"))
-    as_place = expected.join(banked, "bank_key").filter("_p = label_key and label_key <> ''").select("expected_id")
-    texts = signals.select("bank_key", "text_key", "plan_like")
-    plan = expected.filter("is_plan").join(texts.filter("plan_like"), "bank_key", "left_semi").select("expected_id")
+    as_place = labelled.join(known("place_key", "label_key"), ["bank_key", "label_key"], "left_semi").select("expected_id")
+    texts = signals.select("bank_key", "text_key", "plan_like").distinct()
+    plan = expected.filter("is_plan").join(texts.filter("plan_like").select("bank_key").distinct(), "bank_key", "left_semi").select("expected_id")
     said = expected.join(texts, "bank_key").filter("(place_key <> '' and contains(text_key, place_key)) or (label_key <> '' and contains(text_key, label_key))").select("expected_id")
     rest = first_rule(expected, "expected_id", (as_place, "label_as_place"), (plan, "plan"), (said, "mentioned"))
     return rest.join(direct, "expected_id", "left").select("expected_id", F.coalesce("_d.date_status", "status").alias("status"))

@@ -18,7 +18,7 @@ def resolved_quarantine(quarantine: DataFrame, events: DataFrame) -> DataFrame:
     rows = quarantine.filter("resolved is null").select("id", loose_key("bank").alias("_bank"), F.coalesce("kind", F.lit("closure")).alias("_kind"), loose_key("place").alias("_place"), F.nullif("department", F.lit("")).alias("_d"))
     places = F.array_distinct(F.filter(F.array(*[loose_key(F.coalesce(F.col(c), F.lit(""))) for c in ("place", "original_place", "branch")]), lambda x: x != ""))
     found = events.filter("lat is not null and lon is not null and code is not null").select("event_id", loose_key("bank").alias("_bank"), F.coalesce("kind", F.lit("closure")).alias("_kind"), F.explode(places).alias("_place"), F.nullif("department", F.lit("")).alias("_e"), "reliability", "created_at")
-    met = rows.join(found, ["_bank", "_kind", "_place"]).filter("_d is null or _e is null or _d = _e")
+    met = rows.join(found.hint("merge"), ["_bank", "_kind", "_place"]).filter("_d is null or _e is null or _d = _e")
     best = met.groupBy("id").agg(F.min(F.struct((-F.col("reliability")).alias("r"), "created_at", "event_id")).alias("_b"))
     return best.select("id", F.col("_b.event_id").alias("event_id"))
 

@@ -56,7 +56,7 @@ def valid_candidates(rows: DataFrame, gazetteer: DataFrame, row: str, names: str
     """(row, places): the candidate names that are in the gazetteer, distinct and in order, ``most`` at most."""
     items = rows.select(row, F.posexplode(names).alias("_pos", "_name")).withColumn("_key", place_key("_name"))
     known = gazetteer.select(place_key("name").alias("_key")).distinct()
-    found = items.join(known, "_key", "left_semi").groupBy(row, "_key").agg(F.min(F.struct("_pos", "_name")).alias("_f"))
+    found = items.join(known.hint("merge"), "_key", "left_semi").groupBy(row, "_key").agg(F.min(F.struct("_pos", "_name")).alias("_f"))
     ranked = found.withColumn("_rn", F.row_number().over(Window.partitionBy(row).orderBy("_f._pos"))).filter(F.col("_rn") <= most)
     return ranked.groupBy(row).agg(F.transform(F.sort_array(F.collect_list("_f")), lambda x: x["_name"]).alias("places"))
 

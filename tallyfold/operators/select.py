@@ -64,7 +64,7 @@ def search(queries: DataFrame, entries: DataFrame, least: float, k: int) -> Data
     cut = lambda n: F.when(F.length("w") >= n, F.transform(F.sequence(F.lit(1), F.length("w") - n + 1), lambda i: F.substr("w", i, n))).otherwise(F.array().cast("array<string>"))
     parts = words.select("w").distinct().crossJoin(F.broadcast(sizes))  # one row
     parts = parts.select("w", F.explode(F.array_distinct(F.flatten(F.transform("_sizes", cut)))).alias("token"))
-    held = parts.join(tokens.select("token").distinct(), "token")
-    met = tokens.join(held, "token").join(words, "w").select("query_id", "url", "title_key").distinct()
-    scored = met.join(queries.select("query_id", "tokens"), "query_id").withColumn("share", overlap(F.col("tokens"), F.col("title_key"))).filter(F.col("share") >= least)
+    held = parts.join(tokens.select("token").distinct().hint("merge"), "token")
+    met = tokens.join(held.hint("merge"), "token").join(words.hint("merge"), "w").select("query_id", "url", "title_key").distinct()
+    scored = met.join(queries.select("query_id", "tokens").hint("merge"), "query_id").withColumn("share", overlap(F.col("tokens"), F.col("title_key"))).filter(F.col("share") >= least)
     return cap(scored.select("query_id", "url", "share").distinct(), ["query_id"], [F.desc("share"), F.col("url")], k)

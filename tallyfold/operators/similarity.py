@@ -31,15 +31,15 @@ def candidates(names: DataFrame, key: str, ratio: float = RATIO) -> DataFrame:
     """
     grams = bigrams(names, key)
     df = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    listed = grams.join(df, "gram").groupBy(key, "size").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    listed = grams.join(df.hint("merge"), "gram").groupBy(key, "size").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
     share = ratio / 2 - (1 - ratio)  # of |a| + |b|, in common bigrams
     least_other = ratio / (2 - ratio)  # shorter to longer at least
     needed = F.greatest(F.lit(1), F.ceil(F.lit(share * (1 + least_other)) * F.col("size") - 1).cast("int"))
     prefix = listed.select(key, "size", F.explode(F.slice("g", F.lit(1), F.greatest(F.lit(1), F.size("g") - needed + 1))).alias("x")).select(key, "size", "x.gram")
     right = prefix.select(F.col(key).alias("b"), F.col("size").alias("sb"), "gram")
-    near = prefix.select(F.col(key).alias("a"), F.col("size").alias("sa"), "gram").join(right, "gram").filter(f"a < b and least(sa, sb) >= {least_other} * greatest(sa, sb) - 1e-9").select("a", "b")
+    near = prefix.select(F.col(key).alias("a"), F.col("size").alias("sa"), "gram").join(right.hint("merge"), "gram").filter(f"a < b and least(sa, sb) >= {least_other} * greatest(sa, sb) - 1e-9").select("a", "b")
     rarest = listed.select(F.col(key).alias("short"), F.col("size").alias("ss"), F.get("g", 0)["gram"].alias("gram"))
-    inside = rarest.join(grams.select(F.col(key).alias("long"), F.col("size").alias("sl"), "gram"), "gram").filter("sl > ss and contains(long, short)").select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
+    inside = rarest.join(grams.select(F.col(key).alias("long"), F.col("size").alias("sl"), "gram").hint("merge"), "gram").filter("sl > ss and contains(long, short)").select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"))
     return near.union(inside).distinct()
 
 

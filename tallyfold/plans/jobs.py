@@ -120,9 +120,9 @@ def audit(events: DataFrame, today: Column, terms: list[str], old_days: int = 12
     c = finding(events.filter(F.col("closed_on").isNull() & (F.datediff(today, F.col("created_at")) >= old_days)), "low", "missing_date", F.lit("no date"))
     keyed = events.withColumn("_k", loose_key("place"))
     pairs = similarity.near_names(keyed.select("_k"), "_k")
-    left = pairs.join(keyed.select("event_id", "bank", "department", F.col("_k").alias("a")), "a")
+    left = pairs.join(keyed.select("event_id", "bank", "department", F.col("_k").alias("a")).hint("merge"), "a")
     right = keyed.select(F.col("bank").alias("_bank"), F.col("department").alias("_dep"), F.col("_k").alias("b")).distinct()
-    near = left.join(right, "b").filter("bank = _bank and department = _dep")
+    near = left.join(right.hint("merge"), "b").filter("bank = _bank and department = _dep")
     d = finding(near, "low", "near_name", F.concat_ws(" ~ ", "a", "b"))
     return a.unionByName(b).unionByName(c).unionByName(d)
 
