@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..sources import sinks
-from ..sources.landing import fresh, land
+from ..sources.landing import fresh, land, written
 from ..streaming import incremental
 from . import jobs
 from .common import query, table
@@ -55,7 +55,8 @@ def audit_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payload(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Finished orders are events, urgent open ones not located (settled where the customer has an event), the other open ones signals."""
-    o = orders(spark, sf_dir).withColumns({"id": F.col("o_orderkey"), "bank": F.col("c_mktsegment"), "place": F.col("c_name"), "department": F.col("n_name"), "kind": F.lit("closure"), "created_at": F.col("o_orderdate"), "date": F.date_format("o_orderdate", "yyyy-MM-dd")})
+    o = orders(spark, sf_dir).select(F.col("o_orderkey").alias("id"), F.col("c_mktsegment").alias("bank"), F.col("c_name").alias("place"), F.col("n_name").alias("department"), F.lit("closure").alias("kind"), F.col("o_orderdate").alias("created_at"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), "o_orderstatus", "o_orderpriority")
+    o = written(o, "payload-orders")  # most sections read it
     one = F.lit(1.0)
     open_ = o.filter("o_orderstatus = 'O'")
     none = F.lit(None).cast("string")
