@@ -27,11 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import PieceCache, shared
+from .pieces import PieceCache, shared, slices
 from .shipping import ship
 
-#: Texts encoded at a time.
-SLICE = 2048
 #: Words up to so many bytes are folded by plain scans, longer ones with a heap.
 SHORT = 48
 
@@ -113,8 +111,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         cache = shared(("bpe", ranks_path, pattern), lambda: piece_cache(ranks, pattern))
         piece = {i: p for p, i in ranks.items()}.__getitem__
         for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                part = b.slice(at, SLICE)
+            for part in slices(b, 1):
                 flat, sizes = cache.encode([t or "" for t in part.column(1).to_pylist()])
                 ids = np.split(flat, np.cumsum(sizes)[:-1])
                 decoded = [hashlib.sha256(b"".join(map(piece, x.tolist()))).hexdigest() for x in ids]

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .pieces import PieceCache, shared
+from .pieces import PieceCache, shared, slices
 from .shipping import ship
 
 CAPACITY = 2048
@@ -34,7 +34,6 @@ CAPACITY = 2048
 AT_DOCUMENT, AT_SENTENCE, AT_CLAUSE, ELSEWHERE = 0, 2, 6, 16
 MAX_GAP = 64
 BLOCK = 1 << 19
-SLICE = 2048
 #: Words that the tokenizer gets as one text.
 TOGETHER = 64
 END = 1
@@ -191,8 +190,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, block:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
         for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                part = b.slice(at, SLICE)
+            for part in slices(b, 1):
                 ids, sizes = cache.encode([t or "" for t in part.column(1).to_pylist()])
                 stops = np.cumsum(sizes)
                 for doc_id, a, b_ in zip(part.column(0).to_pylist(), (stops - sizes).tolist(), stops.tolist(), strict=True):

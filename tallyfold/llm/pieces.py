@@ -10,17 +10,30 @@ encoded, up to a bound.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_CACHED = 1_600_000
+MAX_CACHED = 800_000
+#: Texts are encoded together up to so many, and up to so many bytes if they are more than one.
+SLICE, SLICE_BYTES = 2048, 6 << 20
 #: A space with white space after it: such a text is encoded whole.
 UNSAFE = re.compile(r" \s")
 
 
+def slices(b: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that hold SLICE rows and SLICE_BYTES bytes of its text column at most, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < b.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, min(at + SLICE, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))))
+        yield b.slice(at, stop - at)
+        at = stop
+
+
 class PieceCache:
     """``encode_many`` maps texts to their ids as little-endian unsigned 32-bit bytes; ``encode_words``, if given, does so for words without a space, each to be read after one.
 

@@ -244,7 +244,20 @@ def test_cache_generations_change_nothing(ranks):
     texts = odd_texts(400)
     small = pieces.PieceCache(bpe.piece_cache(ranks, P.PATTERN).encode_many, most=8)
     big = bpe.piece_cache(ranks, P.PATTERN)
-    assert [small.encode([t])[0] for t in texts] == big.encode(texts)
+    one_by_one = [small.encode([t]) for t in texts]
+    ids, sizes = big.encode(texts)
+    assert np.concatenate([x for x, _ in one_by_one]).tolist() == ids.tolist() and [n.tolist() for _, n in one_by_one] == [[n] for n in sizes.tolist()]
+
+
+def test_slices_hold_every_row_once(ranks):
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (0, 5, 7 << 20, 3, 3 << 20, 3 << 20, 1)] + [None] + ["y"] * 5000
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["i", "t"])
+    parts = list(pieces.slices(b, 1))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or p.num_rows <= pieces.SLICE and sum(len(t or "") for t in p.column(1).to_pylist()) <= pieces.SLICE_BYTES for p in parts)
+    assert list(pieces.slices(b.slice(0, 0), 1)) == []
 
 
 def cheapest(at, penalty, capacity):
