@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .keyed import Conflict, create_once, file_system
+
 
 def first_value(c: str, seq: str) -> Column:
     """First non-null value in order of ``seq``."""
@@ -66,42 +68,40 @@ def best_per_key(rows: DataFrame, key: list[str], *order: Column) -> DataFrame:
 
 
 class VersionedTable:
-    """A table as folders with a pointer, for writers without MERGE.
+    """A table as folders with a pointer, for writers that replace all of it.
 
     A new version is written beside the one that is read, under a name of its
-    own, then a pointer to it is added; readers never see half a version.  Of
-    two writers that started from one version the first by name wins, and the
-    other gets an error, so nothing is lost in silence.
+    own; then the pointer of that version is created, which only one writer
+    can do.  The other gets an error, so nothing is lost in silence, and
+    readers never see half a version.  :class:`tallyfold.operators.keyed.KeyedTable`
+    has writes by key.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def pointers(self) -> DataFrame | None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/current")
-        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return None
-        return self.spark.read.schema("version long, folder string").json(f"{self.path}/current")
-
-    def current(self) -> tuple[int, str | None]:
-        found = self.pointers()
-        best = found.groupBy("version").agg(F.min("folder").alias("folder")).orderBy(F.desc("version")).first() if found is not None else None
-        return (best.version, best.folder) if best else (0, None)
+    def versions(self) -> list[int]:
+        fs, where = file_system(self.spark, f"{self.path}/current")
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(where) if s.getPath().getName().isdigit()) if fs.exists(where) else []
 
     def version(self) -> int:
-        return self.current()[0]
+        return max(self.versions(), default=0)
 
     def read(self) -> DataFrame | None:
-        folder = self.current()[1]
-        return self.spark.read.parquet(f"{self.path}/{folder}") if folder else None
+        v = max(self.versions(), default=0)
+        if not v:
+            return None
+        folder = self.spark.read.text(f"{self.path}/current/{v:012d}").first()[0]
+        return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def write(self, df: DataFrame, partition_by: list[str] = []) -> int:  # noqa: B006
         v = self.version() + 1
         folder = f"v{v}-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
-        self.spark.range(1).select(F.lit(v).cast("long").alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").json(f"{self.path}/current")
-        if self.pointers().filter(F.col("version") == v).agg(F.min("folder")).first()[0] != folder:
-            raise RuntimeError(f"another writer made version {v} of {self.path} first")
+        fs, where = file_system(self.spark, f"{self.path}/current")
+        fs.mkdirs(where)
+        if not create_once(self.spark, f"{self.path}/current/{v:012d}", folder):
+            raise Conflict(f"another writer made version {v} of {self.path} first")
         return v
 
 

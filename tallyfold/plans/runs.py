@@ -18,7 +18,8 @@ def stream_once_per_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages come in three files; each address is logged once."""
     p = table(spark, sf_dir, "pages").select(F.regexp_replace("url", "^https?://", "").alias("url"), "page_id")
     log = incremental.BatchLog(spark, fresh(spark, "seen"))
-    incremental.run_once(incremental.read_files(spark, land(p.repartition(3), "parquet", "pages"), p.schema.simpleString()[7:-1].replace(":", " ")), incremental.unseen_to(log), fresh(spark, "cp"))
+    stream = incremental.read_files(spark, land(p.repartition(3), "parquet", "pages"), p.schema.simpleString()[7:-1].replace(":", " "))
+    incremental.run_once(incremental.first_seen(stream), incremental.log_to(log), fresh(spark, "cp"))
     return log.read().select("url")
 
 
@@ -30,10 +31,10 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fold(df: DataFrame) -> DataFrame:
         return merge.signal_merge(df.withColumn("seq", F.struct("ts", "event_id")), ["user_id"], "seq", last_known=["bank"], last=["text"], highest=["score"])
 
-    events, rows = incremental.BatchLog(spark, fresh(spark, "events")), incremental.BatchLog(spark, fresh(spark, "rows"))
+    events = incremental.BatchLog(spark, fresh(spark, "events"))
     path = land(e.repartition(3), "parquet", "log")
     schema = "user_id long, bank string, text string, score double, ts timestamp_ntz, event_id long" if dict(e.dtypes)["ts"] == "timestamp_ntz" else "user_id long, bank string, text string, score double, ts timestamp, event_id long"
-    incremental.run_once(incremental.read_files(spark, path, schema), incremental.merge_to(events, fold, rows, ["user_id"], ["event_id"]), fresh(spark, "cp"))
+    incremental.merge_to(incremental.read_files(spark, path, schema), fold, events, fresh(spark, "cp"))
     return incremental.latest(events, ["user_id"]).select("user_id", "bank", "text", "score")
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import triage
-
 
 def once_per_url(stream: DataFrame, time: str, delay: str, url: str = "url") -> DataFrame:
     """Each URL once among those within ``delay`` of each other; state is dropped after it."""
@@ -35,36 +33,30 @@ class BatchLog:
         df.drop("batch").write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
 
-def unseen_to(log: BatchLog, url: str = "url") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that adds the articles with URLs that earlier batches lack; those without a URL are added too.
+def first_seen(stream: DataFrame, url: str = "url") -> DataFrame:
+    """Each URL once over the whole stream, and every row without one.
 
-    Only new rows are written, and a batch that is run again comes out the same.
+    The URLs that were seen are the query's state, kept by their hash's
+    partition, so a batch costs what it brings and no history is read.
+    :func:`once_per_url` forgets them after a delay.
     """
+    blank = F.trim(F.coalesce(F.col(url), F.lit(""))) == ""
+    return stream.filter(~blank).dropDuplicates([url]).unionByName(stream.filter(blank))
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        old = log.read(batch_id)
-        rows = triage.union_first([batch], url).drop("source_rank")
-        log.write(rows if old is None else triage.unseen(rows, old, url), batch_id)
 
-    return add
+def log_to(log: BatchLog) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that logs each batch under its number."""
+    return log.write
 
 
-def merge_to(events: BatchLog, merge: Callable[[DataFrame], DataFrame], rows: BatchLog, key: list[str], distinct: list[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that logs observations and, of the keys that a batch has, the events merged anew.
+def merge_to(stream: DataFrame, merge: Callable[[DataFrame], DataFrame], events: BatchLog, checkpoint: str) -> StreamingQuery:
+    """Logs, batch by batch, the events that new observations change, merged over all observations so far.
 
-    The merge is over all observations of a key, so batches may come in any
-    order; ``distinct`` are the columns that tell observations apart.  What is
-    written grows with the batch, not with the history; :func:`latest` reads
-    the events.
+    ``merge`` is an aggregation by key that does not depend on the order of its
+    rows and takes a repeated row once; its partial results are the query's
+    state, so a batch costs what it brings.  :func:`latest` reads the events.
     """
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        rows.write(batch.dropDuplicates(distinct), batch_id)
-        touched = batch.select(*key).distinct()
-        known = rows.read(batch_id + 1).drop("batch").join(touched, key, "left_semi").dropDuplicates(distinct)
-        events.write(merge(known), batch_id)
-
-    return add
+    return run_once(merge(stream), log_to(events), checkpoint, "update")
 
 
 def latest(events: BatchLog, key: list[str]) -> DataFrame:
@@ -74,8 +66,8 @@ def latest(events: BatchLog, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*key, "_r.*")
 
 
-def run_once(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    query = stream.writeStream.foreachBatch(function).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_once(stream: DataFrame, function: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+    query = stream.writeStream.outputMode(mode).foreachBatch(function).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

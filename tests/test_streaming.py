@@ -3,8 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from tallyfold.operators import merge, snapshot, triage
-from tallyfold.operators.merge import VersionedTable
-from tallyfold.streaming import incremental
+from tallyfold.streaming import incremental, revisions
 
 
 def files(spark, rows, schema, path, n):
@@ -18,9 +17,13 @@ def test_each_url_once_equals_batch(spark, tmp_path):
     src = f"file://{tmp_path}/in"
     files(spark, rows, schema, src, 3)
     table = incremental.BatchLog(spark, f"file://{tmp_path}/t")
-    incremental.run_once(incremental.read_files(spark, src, schema), incremental.unseen_to(table), f"file://{tmp_path}/cp")
-    batch = triage.union_first([spark.read.parquet(src)])
-    assert {r.url for r in table.read().collect()} == {r.url for r in batch.collect()} and table.read().count() == 7
+    incremental.run_once(incremental.first_seen(incremental.read_files(spark, src, schema)), incremental.log_to(table), f"file://{tmp_path}/cp")
+    files(spark, [("u1", "again"), ("", "a"), (None, "b"), ("u8", "new"), ("", "a")], schema, src, 2)
+    incremental.run_once(incremental.first_seen(incremental.read_files(spark, src, schema)), incremental.log_to(table), f"file://{tmp_path}/cp")
+    assert sorted(r.url or "-" for r in table.read().filter("batch > 2").collect()) == ["-", "-", "-", "u8"]
+    table = spark.createDataFrame(table.read().filter("url <> ''").collect())
+    batch = triage.union_first([spark.read.parquet(src).filter("url <> ''")])
+    assert {r.url for r in table.collect()} == {r.url for r in batch.collect()} and table.count() == 8
 
 
 def test_merge_equals_batch(spark, tmp_path):
@@ -30,30 +33,15 @@ def test_merge_equals_batch(spark, tmp_path):
     src = f"file://{tmp_path}/in"
     files(spark, rows, schema, src, 4)
     fold = lambda df: merge.signal_merge(df, ["k"], "seq", last_known=["v"], last=[], highest=[])
-    events, kept = incremental.BatchLog(spark, f"file://{tmp_path}/t"), incremental.BatchLog(spark, f"file://{tmp_path}/rows")
-    add = incremental.merge_to(events, fold, kept, ["k"], ["k", "seq"])
-    incremental.run_once(incremental.read_files(spark, src, schema), add, f"file://{tmp_path}/cp")
-    add(spark.createDataFrame(rows[3::4], schema), 3)  # a batch that is run again
+    events = incremental.BatchLog(spark, f"file://{tmp_path}/t")
+    incremental.merge_to(incremental.read_files(spark, src, schema), fold, events, f"file://{tmp_path}/cp")
+    files(spark, rows[::5], schema, src, 1)  # rows that come again, after a restart
+    incremental.merge_to(incremental.read_files(spark, src, schema), fold, events, f"file://{tmp_path}/cp")
+    touched = {r.k for r in events.read().filter("batch = 4").collect()}
+    assert touched == {r[0] for r in rows[::5]}  # a batch writes its own keys
     assert {tuple(r) for r in incremental.latest(events, ["k"]).collect()} == {tuple(r) for r in fold(spark.read.parquet(src)).collect()}
 
 
-def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
-    import pytest
-
-    t = VersionedTable(spark, f"file://{tmp_path}/v")
-    assert t.read() is None and t.write(spark.range(3)) == 1 and t.write(spark.range(5)) == 2 and t.read().count() == 5
-    late = VersionedTable(spark, f"file://{tmp_path}/v")
-    late.version = lambda: 1  # it read the first version before the second was there
-    try:
-        late.write(spark.range(7))
-        assert t.read().count() == 7
-    except RuntimeError:
-        assert t.read().count() == 5
-    with pytest.raises(RuntimeError):
-        for _ in range(40):
-            late.write(spark.range(1))
-
-
 def test_missing_counter_equals_batch(spark, tmp_path):
     rnd = random.Random(8)
     schema = "p int, r int, there boolean"
@@ -69,3 +57,35 @@ def test_missing_counter_equals_batch(spark, tmp_path):
     got = {(x.p, x.r): x.missing for x in spark.table("streaks").collect()}
     want = {(x.p, x.r): x.missing for x in snapshot.missing_streak(spark.createDataFrame(everything, schema), "p", "r", "there").select("p", "r", F.col("missing")).collect()}
     assert got == want
+
+
+def days_of(spark, rows, path):
+    import datetime
+
+    start = datetime.datetime(2026, 1, 1)
+    made = [(p, start + datetime.timedelta(days=d, hours=h)) for p, d, h in rows]
+    spark.createDataFrame(made, "p string, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_revision_state_with_timers_and_a_restart(spark, tmp_path):
+    rnd = random.Random(2)
+    seen = {(p, d) for p in "abcdefgh" for d in range(20) if rnd.random() < 0.5} | {("once", 0), ("late", 11), ("clock", 19)} | {("clock", d) for d in range(0, 20, 3)}
+    rows = [(p, d, h) for p, d in sorted(seen) for h in ((1, 13) if d % 2 else (7,))]
+    rnd.shuffle(rows)
+    src, cp = f"file://{tmp_path}/in", f"file://{tmp_path}/cp"
+    log = incremental.BatchLog(spark, f"file://{tmp_path}/log")
+    for low, high in ((0, 6), (6, 11), (11, 20)):  # a run each, from the checkpoint of the one before
+        days_of(spark, [r for r in rows if low <= r[1] < high], src)
+        revisions.run(incremental.read_files(spark, src, "p string, ts timestamp"), "p", "ts", log, cp)
+    got = {(r.p, r.day.toordinal()): (r.missing, r.change) for r in log.read().collect()}
+    base = __import__("datetime").date(2026, 1, 1).toordinal()
+    want = {}
+    for p in {p for p, _ in seen}:
+        missing = 0
+        first = min(d for q, d in seen if q == p)
+        for d in range(first, 19):  # the last day has not ended
+            there = (p, d) in seen
+            change = "new" if d == first else ("returned" if missing else "seen") if there else ("missing" if missing == 0 else "confirmed" if missing == 1 else "gone")
+            missing = 0 if there else missing + 1
+            want[p, base + d] = (missing, change)
+    assert got == want and log.read().count() == len(want)
