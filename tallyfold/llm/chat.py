@@ -12,7 +12,8 @@ back exactly.
 
 Defined cases: a null text counts as empty and a null role as the empty role;
 rows of one turn are ordered by role, then text, and each is a turn of its
-own; a message whose parent is missing is a root; an empty table gives no
+own; rows without a conversation's number are one conversation, without a
+number as well; a message whose parent is missing is a root; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -51,8 +52,11 @@ def chains(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFr
 
 
 def nodes_table(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """:func:`chains`, written out once, as node numbers and texts are read by separate joins."""
-    return Scratch(rows.sparkSession, "chat-nodes").write(chains(rows, conv, turn))
+    """:func:`chains`, written out once, as node numbers and texts are read by separate joins.
+
+    ``tree`` is the conversation's number as text, ``null`` for rows without one, which no number reads as, so that joins meet it.
+    """
+    return Scratch(rows.sparkSession, "chat-nodes").write(chains(rows, conv, turn).withColumn("tree", F.coalesce(F.col("tree").cast("string"), F.lit("null"))))
 
 
 def paths(nodes: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), chat.unescape(t["raw"]), F.lit("\n")))
     loss = F.transform("loss_spans", lambda s: chat.unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
     out = out.withColumn("_loss", F.array_join(loss, ""))
-    return out.select(F.col("tree").alias("conv_id"), F.size("_turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"), F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return out.select(F.col("tree").try_cast("long").alias("conv_id"), F.size("_turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"), F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

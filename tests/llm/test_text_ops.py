@@ -164,7 +164,7 @@ def conversations(rows):
     by = defaultdict(list)
     for c, t, r, x in rows:
         by[c].append((t, r or "", x or ""))
-    return {c: sorted(v) for c, v in by.items()}
+    return {c: sorted(v, key=lambda x: (x[0] is not None, x[0] or 0, *x[1:])) for c, v in by.items()}
 
 
 def test_formatting_is_reversible(spark):
@@ -173,10 +173,12 @@ def test_formatting_is_reversible(spark):
     said = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12)))
     rows = [(c, t, rnd.choice(["user", "assistant", "system", "to[ol]"]), said()) for c in range(40) for t in range(rnd.randint(1, 9))]
     rows += [(50, t, "user" if t % 2 else "assistant", said()) for t in range(200)] + [(51, 0, None, None), (51, 0, "user", "tie"), (51, 0, "user", "tie")]
+    rows += [(None, 1, "assistant", "b"), (None, 0, "user", "a"), (None, None, "system", "first")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("node", F.lit(1)).repartition(5)
     nodes = chat.nodes_table(df)
     steps = chat.paths(nodes)
     out = chat.format_paths(nodes, steps, chat.best(nodes, steps, top=1)).withColumn("turns", chat.parsed(F.col("formatted")))
+    out = out.withColumn("tree", F.col("tree").try_cast("long"))
     got = {r.tree: r for r in out.select("tree", "formatted", "loss_spans", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), chat.unescape(t["raw"]).alias("text"))).alias("turns")).collect()}
     want = conversations(rows)
     assert set(got) == set(want)
