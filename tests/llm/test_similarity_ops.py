@@ -127,6 +127,19 @@ def test_lines_keep_one_of_each_group(spark):
     assert line_dedup.groups(spark, df.filter("doc_id > 9")).count() == 0
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_lines_of_rows_without_an_id_link_as_others(spark, exact):
+    base = edge.words(41, 40)
+    near = list(base)
+    near[5] = "other"
+    rows = [(None, "lone line of no document\n" + " ".join(base)), (1, "x y\n" + " ".join(base)), (2, " ".join(near)), (None, "lone line of no document"), (None, " ".join(near))]
+    got = [(r.doc_id, r.line_no, r.keep_doc_id, r.keep_line_no, r.kept) for r in line_dedup.groups(spark, spark.createDataFrame(rows, "doc_id long, text string"), exact=exact).collect()]
+    shown = lambda x: tuple(-1 if v is None else v for v in x)
+    linked = [(-1, 1, 1, 1, False), (1, 1, 1, 1, True), (2, 0, 1, 1, False), (-1, 0, 1, 1, False)]
+    alone = [(1, 0, 1, 0, True), (-1, 0, -1, 0, True), (-1, 0, -1, 0, True)]
+    assert exact and sorted(map(shown, got)) == sorted(linked + alone) or not exact and len(got) == 7
+
+
 def test_fuzzy_lines_equal_brute_force(spark):
     rnd = random.Random(6)
     rows = []
