@@ -1,8 +1,10 @@
 """From raw documents to packed sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before
-it kept; all but the last return the columns of ``documents``.  Documents are
-dropped by id: rows that share one count as one document.
+it kept; all but the last return the columns of ``documents``.  Quality rules
+and exact dedup judge row by row, whatever the rows' ids: of equal texts one
+row stays.  Near copies and passages go by id: rows that share one count as one
+document, and rows without an id are kept there.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,15 +17,17 @@ from tallyfold.llm.scratch import Scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current policy of the rule ledger keeps; the ledger is stored, then the policy applied to it."""
-    led = Scratch(spark, "pipeline-ledger").write(quality.ledger(docs))
-    return without(docs, "doc_id", quality.verdict(led).filter("not kept").select("doc_id"))
+    """Rows that the current policy of the rule ledger keeps; the ledger is stored, then the policy applied to it."""
+    rows = exact_dedup.numbered(docs, "_row")
+    led = Scratch(spark, "pipeline-ledger").write(quality.ledger(rows, keep=["_row"]))
+    return without(rows, "_row", quality.verdict(led).filter("not kept").select("_row")).drop("_row")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
-    gone = Scratch(spark, "pipeline-exact").write(exact_dedup.dedup(spark, docs).filter("not (doc_id <=> keep_id)").select("doc_id"))
-    return without(docs, "doc_id", gone)
+    """Of equal texts the row with the smallest id; of rows with one id and text, or without an id, one."""
+    rows = exact_dedup.numbered(docs, "_row")
+    gone = Scratch(spark, "pipeline-exact").write(exact_dedup.dedup(spark, rows, row_col="_row").filter("not kept").select("_row"))
+    return without(rows, "_row", gone).drop("_row")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

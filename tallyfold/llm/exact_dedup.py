@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,22 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, text_sha256); ``row`` tells rows of one id apart and holds once the table is written."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that tells rows apart and is the same each time it is read: the row's place in its file.
+
+    Rows that come from no file are written out first.
+    """
+    place = lambda df: df.withColumn(name, F.concat_ws(":", "_metadata.file_path", "_metadata.row_index"))
+    try:
+        return place(docs)
+    except AnalysisException:
+        return place(Scratch(docs.sparkSession, "numbered").write(docs))
+
+
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(doc_id, row, text_sha256); ``row`` tells rows of one id apart: ``row_col`` if given, else a number that holds once the table is written."""
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"))
 
 
 def append_new(spark: SparkSession, load: DataFrame, table: str, buckets: int = BUCKETS) -> None:
@@ -55,15 +69,15 @@ def loads_of(rows: DataFrame, loads: int) -> list[DataFrame]:
     return [rows.filter(part == k) for k in range(loads)]
 
 
-def dedup(spark: SparkSession, docs: DataFrame, table: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, loads: int = LOADS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+def dedup(spark: SparkSession, docs: DataFrame, table: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, loads: int = LOADS, row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and ``row_col`` if given (see :func:`numbered`).
 
     keep_id is the smallest id of the digest in the first load that had it;
     group_size counts rows of ``docs``.  Without ``table`` the index is
     made for this call and dropped.
     """
     scratch = Scratch(spark, "exact-dedup")
-    rows = scratch.write(digests(docs, id_col, text_col))
+    rows = scratch.write(digests(docs, id_col, text_col, row_col))
     index_name = table or f"digest_index_{uuid.uuid4().hex}"
     first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "row")).alias("first")
     for part in loads_of(rows, loads):
@@ -81,4 +95,5 @@ def dedup(spark: SparkSession, docs: DataFrame, table: str | None = None, id_col
     marked = rows.join(F.broadcast(hot), "text_sha256", "left")
     cold = marked.filter("hot is null").select("doc_id", "row", "text_sha256").join(groups.select("text_sha256", group.alias("g")).hint("merge"), "text_sha256")
     both = marked.filter("hot is not null").select("doc_id", "row", "text_sha256", F.col("hot").alias("g")).unionByName(cold)
-    return both.select("doc_id", "g.keep_id", "g.group_size", F.coalesce(F.col("row") == F.col("g.keep_row"), F.lit(False)).alias("kept"), "text_sha256")
+    rest = [F.col("row").alias(row_col)] if row_col else []
+    return both.select("doc_id", "g.keep_id", "g.group_size", F.coalesce(F.col("row") == F.col("g.keep_row"), F.lit(False)).alias("kept"), "text_sha256", *rest)

@@ -72,6 +72,18 @@ def test_stages_stand_edge_cases(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 0
 
 
+def test_quality_and_exact_stages_go_row_by_row(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, text), (7, text), (9, text), (None, text + " end"), (None, text + " end"), (None, "two words"), (4, text + "\n\n end"), (8, text + " other")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), True, 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, kept boolean, bits int")
+    for df in (docs, Scratch(spark, "rows").write(docs.repartition(3))):
+        good = corpus_pipeline.quality_rules(spark, df, SF)
+        assert good.columns == docs.columns and sorted(r.text for r in good.collect()) == sorted(t for _, t in rows if t != "two words")
+        once = corpus_pipeline.exact_copies(spark, Scratch(spark, "good").write(good), SF)
+        assert once.columns == docs.columns
+        assert sorted((r.doc_id or -1, r.text) for r in once.collect()) == sorted([(7, text), (4, text + "\n\n end"), (8, text + " other")])
+
+
 def test_entry_imports_without_this_subpackage(tmp_path):
     import shutil
     import subprocess
