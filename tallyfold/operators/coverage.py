@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import distance_m
+
 
 def first_rule(rows: DataFrame, key: str, *matches: tuple[DataFrame, str]) -> DataFrame:
     """(key, status): of the rules (rows of ``key``, status) in order the first that has the row, else ``absent``."""
@@ -38,15 +40,53 @@ def expected_status(expected: DataFrame, events: DataFrame, signals: DataFrame)
     return rest.join(direct, "expected_id", "left").select("expected_id", F.coalesce("_d.date_status", "status").alias("status"))
 
 
-def on_map(listed: DataFrame, events: DataFrame, distance: Column, exact_m: float = 500, containment: int = 8) -> DataFrame:
-    """(listed_id, event_seq, status): the first event of the bank at the place, by name equal or contained with ``containment`` characters."""
-    contained = lambda a, b: f"(length({b}) >= {containment} and contains({a}, {b}))"
-    same = " or ".join(f"({k} <> '' and (place_key = {k} or {contained(k, 'place_key')} or {contained('place_key', k)}))" for k in ("e_place", "e_original", "e_label"))
-    met = listed.join(events.select("bank_key", "event_seq", "e_place", "e_original", "e_label", "e_lat", "e_lon"), "bank_key").filter(f"place_key <> '' and ({same})")
-    near = met.withColumn("_m", distance)
-    status = F.when(F.col("e_lat").isNull(), "present_unlocated").when(F.col("_m") < exact_m, "exact").otherwise("present_on_map")
-    first = near.withColumn("status", status).groupBy("listed_id").agg(F.min(F.struct("event_seq", "status")).alias("_f"))
-    return listed.select("listed_id").join(first, "listed_id", "left").select("listed_id", F.col("_f.event_seq").alias("event_seq"), F.coalesce("_f.status", F.lit("needs_research")).alias("status"))
+def _grams(c: Column, n: Column | int) -> Column:
+    """Distinct pieces of ``n`` characters."""
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.when(F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(c, i, n)))).otherwise(F.array().cast("array<string>"))
+
+
+def held_labels(listed: DataFrame, events: DataFrame, least: int) -> DataFrame:
+    """(listed_id, event_seq, e_lat, e_lon) where one label of the bank holds the other and the event's has ``least`` characters.
+
+    The label that is held begins with a piece that the other has: of
+    ``least`` characters, or the whole of it if it is shorter.  So labels meet by
+    bank and piece, and a bank with very many rows is no task of its own.
+    """
+    ours = listed.filter("label_key <> ''").select("listed_id", "bank_key", "label_key")
+    theirs = events.filter(F.length("e_label") >= least).select("event_seq", "bank_key", "e_label", "e_lat", "e_lon")
+    inside = ours.select("*", F.explode(_grams(F.col("label_key"), least)).alias("piece")).join(theirs.withColumn("piece", F.substring("e_label", 1, least)).hint("merge"), ["bank_key", "piece"]).filter("contains(label_key, e_label)")
+    sizes = F.transform(F.sequence(F.lit(1), F.lit(least)), lambda n: _grams(F.col("e_label"), n))
+    around = theirs.select("*", F.explode(F.flatten(sizes)).alias("piece")).join(ours.withColumn("piece", F.substring("label_key", 1, least)).hint("merge"), ["bank_key", "piece"]).filter("contains(e_label, label_key)")
+    columns = ["listed_id", "event_seq", "e_lat", "e_lon"]
+    return inside.select(*columns).union(around.select(*columns)).distinct()
+
+
+def on_map(listed: DataFrame, events: DataFrame, signals: DataFrame | None = None, exact_m: float = 500, containment: int = 8) -> DataFrame:
+    """(listed_id, event_seq, status) of listed rows (listed_id, bank_key, place_key, label_key, department, lat, lon).
+
+    The first event (event_seq, bank_key, e_place, e_original, e_label, e_lat,
+    e_lon) of the bank that has the place as its own or original one, or a
+    label that equals or holds the row's or is held by it (``containment``
+    characters at least), makes it present: ``exact`` within ``exact_m``
+    metres, ``present_on_map``, or ``present_unlocated`` without coordinates.
+    Else a signal (bank_key, department) makes it ``present_department``, and
+    nothing ``needs_research``.  Blank names match nothing.
+    """
+    columns = ["listed_id", "event_seq", "e_lat", "e_lon"]
+    by = lambda ours, theirs: listed.filter(f"{ours} <> ''").join(events.withColumn(ours, F.col(theirs)).drop("e_place", "e_original", "e_label").hint("merge"), ["bank_key", ours]).select(*columns)
+    met = by("place_key", "e_place").union(by("place_key", "e_original")).union(by("label_key", "e_label")).union(held_labels(listed, events, containment))
+    first = met.groupBy("listed_id").agg(F.min(F.struct("event_seq", "e_lat", "e_lon")).alias("_f"))
+    found = listed.join(first.hint("merge"), "listed_id", "left")
+    apart = distance_m("lat", "lon", "_f.e_lat", "_f.e_lon")
+    status = F.when(F.col("_f").isNull(), None).when(F.col("_f.e_lat").isNull() | F.col("_f.e_lon").isNull(), "present_unlocated").when(apart < exact_m, "exact").otherwise("present_on_map")
+    out = found.select("listed_id", "bank_key", "department", F.col("_f.event_seq").alias("event_seq"), status.alias("_status"))
+    if signals is not None:
+        some = signals.select("bank_key", "department").distinct().withColumn("_signal", F.lit("present_department"))
+        out = out.join(some.hint("merge"), ["bank_key", "department"], "left")
+    else:
+        out = out.withColumn("_signal", F.lit(None).cast("string"))
+    return out.select("listed_id", "event_seq", F.coalesce("_status", "_signal", F.lit("needs_research")).alias("status"))
 
 
 def has_evidence(rows: DataFrame, signals: DataFrame, on: list[str]) -> DataFrame:

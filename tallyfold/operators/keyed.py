@@ -138,7 +138,7 @@ class KeyedTable:
     # ---- writing
 
     def upsert(self, rows: DataFrame, seq: str, keep_first: list[str] = [], **commit) -> int:  # noqa: B006
-        """Of each key the row with the largest ``seq``, of those there and those that come; columns of ``keep_first`` are the first's.
+        """Of each key the row with the largest ``seq``, of those there and those that come; columns of ``keep_first`` stay as they came first.
 
         ``seq`` is a column of the table, so batches may come in any order.  A
         deleted key comes back if a row comes that is newer than its last.
@@ -148,7 +148,7 @@ class KeyedTable:
             rest = [c for c in new.columns if c not in self.key and c not in keep_first and c != GONE]
             both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
             # of rows with one seq the one that is there stays, and is not taken for a newer one
-            aggs = [F.max_by(F.struct(*rest, GONE), F.struct(F.col(seq), (-F.col("_new")).alias("old"))).alias("_r"), *[F.min_by(c, F.struct(F.col(seq), F.col("_new"))).alias(c) for c in keep_first]]
+            aggs = [F.max_by(F.struct(*rest, GONE), F.struct(F.col(seq), (-F.col("_new")).alias("old"))).alias("_r"), *[F.min_by(c, F.struct(F.col("_new"), F.col(seq))).alias(c) for c in keep_first]]
             return both.groupBy(*self.key).agg(*aggs).select(*self.key, *keep_first, "_r.*")
 
         return self.commit(rows, combine, **commit)

@@ -5,33 +5,82 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import loose_key
+from ..functions.keys import loose_key, text
+from ..functions.lexicon import DEPARTMENTS
+from ..functions.names import canonical_name
+from ..functions.terms import folded
 
 
-def resolved_quarantine(quarantine: DataFrame, events: DataFrame) -> DataFrame:
+def plain_key(name: str) -> str:
+    """:func:`loose_key` of a fixed name."""
+    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in folded(name)).split())
+
+
+LOCATIONS = ("place", "original_place", "branch")
+
+
+def department_key(c: Column | str, departments: dict[str, str] = DEPARTMENTS) -> Column:
+    """Code of a department given by code or name, its loose key if neither is known, null if it is blank."""
+    given = F.trim(F.coalesce(text(c), F.lit("")))
+    names = F.create_map(*[F.lit(x) for code, name in departments.items() for x in (plain_key(name), code)]) if departments else F.create_map(F.lit(""), F.lit(""))
+    return F.when(F.upper(given).isin(list(departments)), F.upper(given)).otherwise(F.coalesce(F.try_element_at(names, loose_key(given)), F.nullif(loose_key(given), F.lit(""))))
+
+
+def keyed(rows: DataFrame, aliases: DataFrame | None, departments: dict[str, str]) -> DataFrame:
+    """``rows`` with _bank, by the vocabulary of brands if given, and _department."""
+    named = rows.withColumn("_name", F.col("bank")) if aliases is None else canonical_name(rows, "bank", aliases, "_name")
+    return named.withColumn("_bank", loose_key(F.coalesce("_name", F.lit("")))).withColumn("_department", department_key("department", departments)).drop("_name")
+
+
+def located(events: DataFrame, aliases: DataFrame | None, departments: dict[str, str]) -> DataFrame:
+    """(event_id, _bank, _e, _kind, _place, reliability, created_at) for each distinct location of each event that is on the map."""
+    places = F.array_distinct(F.filter(F.array(*[loose_key(F.coalesce(F.col(c), F.lit(""))) for c in LOCATIONS]), lambda x: x != ""))
+    there = keyed(events.filter("lat is not null and lon is not null and code is not null"), aliases, departments)
+    return there.select("event_id", "_bank", F.col("_department").alias("_e"), F.coalesce("kind", F.lit("closure")).alias("_kind"), F.explode(places).alias("_place"), "reliability", "created_at")
+
+
+def best_event(met: DataFrame) -> DataFrame:
+    """(id, event_id): the most reliable event, the oldest of equals, then the smallest id."""
+    best = met.groupBy("id").agg(F.min(F.struct((-F.col("reliability")).alias("r"), "created_at", "event_id")).alias("_b"))
+    return best.select("id", F.col("_b.event_id").alias("event_id"))
+
+
+def resolved_quarantine(quarantine: DataFrame, events: DataFrame, aliases: DataFrame | None = None, departments: dict[str, str] = DEPARTMENTS) -> DataFrame:
     """(id, event_id) of unresolved rows that an event settles.
 
     Brand, type and one of the event's locations (place, original place,
-    branch) agree, and so do the departments where both are known.  The most
-    reliable event counts, the oldest of equals, then the smallest id.
+    branch) agree, and so do the departments where both are known, each given
+    by code or name.  ``aliases`` (alias, canonical) is the vocabulary of brands.
     """
-    rows = quarantine.filter("resolved is null").select("id", loose_key("bank").alias("_bank"), F.coalesce("kind", F.lit("closure")).alias("_kind"), loose_key("place").alias("_place"), F.nullif("department", F.lit("")).alias("_d"))
-    places = F.array_distinct(F.filter(F.array(*[loose_key(F.coalesce(F.col(c), F.lit(""))) for c in ("place", "original_place", "branch")]), lambda x: x != ""))
-    found = events.filter("lat is not null and lon is not null and code is not null").select("event_id", loose_key("bank").alias("_bank"), F.coalesce("kind", F.lit("closure")).alias("_kind"), F.explode(places).alias("_place"), F.nullif("department", F.lit("")).alias("_e"), "reliability", "created_at")
-    met = rows.join(found.hint("merge"), ["_bank", "_kind", "_place"]).filter("_d is null or _e is null or _d = _e")
-    best = met.groupBy("id").agg(F.min(F.struct((-F.col("reliability")).alias("r"), "created_at", "event_id")).alias("_b"))
-    return best.select("id", F.col("_b.event_id").alias("event_id"))
+    rows = keyed(quarantine.filter("resolved is null"), aliases, departments).select("id", "_bank", F.coalesce("kind", F.lit("closure")).alias("_kind"), loose_key(F.coalesce("place", F.lit(""))).alias("_place"), F.col("_department").alias("_d"))
+    met = rows.join(located(events, aliases, departments).hint("merge"), ["_bank", "_kind", "_place"]).filter("_d is null or _e is null or _d = _e")
+    return best_event(met)
 
 
-def resolved_signals(signals: DataFrame, events: DataFrame) -> DataFrame:
-    """(id, event_id) of review records that an event with the same brand and source settles and whose place their text names."""
-    url = lambda c: F.rtrim(F.col(c), F.lit("/"))
-    padded = lambda c: F.concat(F.lit(" "), loose_key(c), F.lit(" "))
-    rows = signals.select("id", loose_key("bank").alias("_bank"), url("url").alias("_url"), padded("text").alias("_text"))
-    found = events.select("event_id", loose_key("bank").alias("_bank"), url("url").alias("_url"), padded("place").alias("_place"), "reliability", "created_at")
-    met = rows.join(found, ["_bank", "_url"]).filter(F.contains("_text", "_place") & (F.trim("_place") != ""))
-    best = met.groupBy("id").agg(F.min(F.struct((-F.col("reliability")).alias("r"), "created_at", "event_id")).alias("_b"))
-    return best.select("id", F.col("_b.event_id").alias("event_id"))
+def source_url(c: Column | str) -> Column:
+    return F.rtrim(F.trim(F.coalesce(text(c), F.lit(""))), F.lit("/"))
+
+
+def resolved_signals(signals: DataFrame, events: DataFrame, sources: DataFrame, aliases: DataFrame | None = None, departments: dict[str, str] = DEPARTMENTS) -> DataFrame:
+    """(id, event_id) of unresolved review records (id, bank, department, title, excerpt, reason, url) that an event on the map settles.
+
+    The record's URL is one of the event's ``sources`` (event_id, url), brands
+    agree, departments do where both are known, and the record's text names a
+    location of the event as a run of whole words.  Runs meet by equality: a
+    location by its first two words, or its only one, with brand and URL; the
+    rest of a longer location is then compared in place.
+    """
+    words = F.split(loose_key(F.concat_ws(" ", "title", "excerpt", "reason")), " ")
+    rows = keyed(signals.filter("resolved is null"), aliases, departments).select("id", "_bank", F.col("_department").alias("_d"), source_url("url").alias("_url"), words.alias("_words")).filter("_url <> ''")
+    n = F.size("_words")
+    pairs = F.when(n > 1, F.zip_with(F.slice("_words", F.lit(1), n - 1), F.slice("_words", F.lit(2), n - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
+    text_of = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")).alias("_text")
+    runs = rows.select("id", "_bank", "_d", "_url", text_of, F.explode(F.array_distinct(F.concat("_words", pairs))).alias("_head"))
+    by_url = sources.select("event_id", source_url("url").alias("_url")).filter("_url <> ''").distinct()
+    found = located(events, aliases, departments).join(by_url.hint("merge"), "event_id")
+    found = found.select("event_id", "_bank", "_e", "_url", F.concat(F.lit(" "), "_place", F.lit(" ")).alias("_run"), F.substring_index("_place", " ", 2).alias("_head"), "reliability", "created_at")
+    met = runs.join(found.hint("merge"), ["_bank", "_url", "_head"]).filter("(_d is null or _e is null or _d = _e) and contains(_text, _run)")
+    return best_event(met)
 
 
 def due_for_review(records: DataFrame, reviews: DataFrame, today: Column, cooldown_days: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, numbers
-from ..operators import coverage, guard, merge, reconcile, resolve, rollup, select, similarity, triage
+from ..operators import coverage, geo, guard, merge, reconcile, resolve, rollup, select, similarity, triage
 from .common import query, table
 
 
@@ -217,8 +217,8 @@ select c_custkey, count(*)::bigint as n_near, round(min(m), 3) as nearest_m from
 def geo_distance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 80).alias("lat1"), (F.col("c_custkey") % 170).alias("lon1"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("k"), (F.col("s_suppkey") % 80).alias("lat2"), (F.col("s_suppkey") % 170).alias("lon2"))
-    m = c.join(s, "k").withColumn("m", numbers.distance_m("lat1", "lon1", "lat2", "lon2"))
-    return m.filter("m < 3000000").groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n_near"), F.round(F.min("m"), 3).alias("nearest_m"))
+    m = geo.near_points(c, s, 3_000_000, ("lat1", "lon1"), ("lat2", "lon2"), on=["k"], out="m")
+    return m.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n_near"), F.round(F.min("m"), 3).alias("nearest_m"))
 
 
 @query()
