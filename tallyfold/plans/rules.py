@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import display, keys, phrases
+from ..functions import dates, display, keys, names, wordrules
 from ..operators import coverage, guard, reconcile, rollup, signals, titles, triage
 from ..sources import sinks
-from .common import query, quote, table
-
-#: Titles as local papers write them; each document gets one, by its id.
-TITLES = [
-    "Poitiers : l'agence du Crédit Agricole va fermer", "LCL ferme son agence de Tulle", "Fermeture de l'agence LCL de Brest", "LCL à Vannes va fermer", "Vierzon. Le bureau de poste de Bourgneuf a fermé", "Le bureau de poste de Reuilly ferme trois semaines", "Crédit Agricole : plusieurs agences menacées dans le Cher",
-    "Fermeture temporaire de l'agence LCL de Brest", "Grève à l'agence de Nantes", "La liste des agences qui ferment", "L'agence de Colmar est fermée", "Une vingtaine d'agences fermeront en Bretagne", "Réorganisation du réseau bancaire", "Plan de fermeture : sept agences", "L'agence de Dinan fermera en mars", "À Saumur, le bureau de poste de Bagneux va fermer",
-    "La banque ferme 1 agences de Tulle", "Distributeur automatique supprimé à Metz", "La fermeture est prévue à Lens", "Ils ont fermé l'agence d'Albi",
-]
+from .common import query, quote, sql_rule, sql_says, sql_words, table
+
 PLACES = ["Poitiers", "Tulle", "Brest", "Vannes", "Bourgneuf", "Reuilly", "Bourges", "Brest", "Nantes", "Paris", "Colmar", "Rennes", "Lille", "Lyon", "Dinan", "Bagneux", "Tulle", "Metz", "Lens", "Albi"]
 
 
@@ -27,30 +21,61 @@ def sql_pick(values: list[str], key: str) -> str:
     return f"[{', '.join(map(quote, values))}][1 + {key} % {len(values)}]"
 
 
-_CANON = "trim(regexp_replace(strip_accents(lower(replace(replace({}, '’', ''''), '‘', ''''))), '[\\s]+', ' ', 'g'))"
-_EXCLUDED = phrases.pattern([p for kind in titles.EXCLUDED.values() for p in kind])
+# Titles as local papers write them, put together from what each order is: who (segment), what (priority), when (status and day), where (nation and customer).
+WHO = {"AUTOMOBILE": "l'agence LCL", "BUILDING": "le bureau de poste", "FURNITURE": "trois agences LCL", "HOUSEHOLD": "le guichet automatique", "MACHINERY": "la banque LCL"}
+WHAT = {"1-URGENT": "va fermer", "2-HIGH": "est fermée", "3-MEDIUM": "ne fermera pas", "4-NOT SPECIFIED": "ferme temporairement", "5-LOW": "annonce un plan de fermeture"}
+_CASE = lambda c, table: f"case {c} " + " ".join(f"when {quote(k)} then {quote(v)}" for k, v in table.items()) + " end"
+_MONTH_LIST = f"[{', '.join(map(quote, dates.MONTHS))}]"
+TITLED = f"""titled as (select *, {sql_pick(PLACES, "n_nationkey")} as p1, {sql_pick(PLACES, "c_custkey")} as p2, o_orderdate::date as day from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey),
+told as (select *, p1 || case when o_orderstatus = 'P' then '. ' else ' : ' end || {_CASE("c_mktsegment", WHO)} || case when o_totalprice > 200000 then ' de ' || p2 else '' end || ' ' || {_CASE("o_orderpriority", WHAT)} || case o_orderstatus when 'F' then ' pour travaux' when 'O' then ' le ' || day(day) || ' ' || {_MONTH_LIST}[month(day)] else ' pendant deux semaines' end as title from titled),
+folded as (select *, strip_accents(lower(title)) as f, {sql_words("strip_accents(lower(title))")} as w from told)"""
+
 
+def order_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with customer and nation, two places, the day and the title that is put together from them."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))  # 25 nations
+    o = o.withColumns({"p1": pick(PLACES, "n_nationkey"), "p2": pick(PLACES, "c_custkey"), "day": F.to_date("o_orderdate")})
+    month = F.get(F.array(*[F.lit(m) for m in dates.MONTHS]), F.month("day") - 1)
+    when = F.when(F.col("o_orderstatus") == "F", F.lit(" pour travaux")).when(F.col("o_orderstatus") == "O", F.concat(F.lit(" le "), F.day("day").cast("string"), F.lit(" "), month)).otherwise(F.lit(" pendant deux semaines"))
+    said = lambda c, words: names.lookup(F.col(c), words)
+    title = F.concat("p1", F.when(F.col("o_orderstatus") == "P", ". ").otherwise(" : "), said("c_mktsegment", WHO), F.when(F.col("o_totalprice") > 200000, F.concat(F.lit(" de "), "p2")).otherwise(F.lit("")), F.lit(" "), said("o_orderpriority", WHAT), when)
+    return o.withColumn("title", title)
 
-@query(f"""with d as (select doc_id, {sql_pick(TITLES, "doc_id")} as title, {sql_pick(PLACES, "doc_id")} as place from documents),
-t as (select *, {_CANON.format("title")} as t, {_CANON.format("place")} as p from d),
-r as (select *, regexp_matches(t, {quote(_EXCLUDED)}) as excluded from t)
-select doc_id, excluded, regexp_matches(t, {quote(phrases.pattern(titles.FUTURE))}) as future, regexp_matches(t, {quote(phrases.pattern(titles.PAST))}) as past, not excluded and contains(t, p) and (regexp_matches(t, '\\bagence\\s+.{{0,80}}' || p) or regexp_matches(t, p || '.{{0,100}}\\bagence\\b.{{0,80}}\\bferme')
-  or regexp_matches(t, '\\bfermeture\\b.{{0,80}}\\bagence\\b.{{0,100}}' || p) or regexp_matches(t, '\\blcl\\b.{{0,80}}\\bferme\\b.{{0,80}}\\bagence\\b.{{0,80}}' || p) or regexp_matches(t, '\\blcl\\b.{{0,40}}\\b(?:de |d''|a )\\s*' || p || '.{{0,60}}\\b(?:va\\s+)?fermer\\b')) as one_branch from r""")
+
+@query(f"""with {TITLED}, m as (select *, {sql_says("w", titles.EXCLUDED, titles.WORDS)} as excluded, replace(replace(w, ' ' || lower(p1) || ' ', ' @place '), ' lcl ', ' @brand ') as marked from folded)
+select o_orderkey, excluded, {sql_says("w", titles.FUTURE, titles.WORDS)} as future, {sql_says("w", titles.PAST, titles.WORDS)} as past, not excluded and {sql_says("marked", titles.ONE_BRANCH, titles.WORDS)} as one_branch from m""")
 def title_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", pick(TITLES, "doc_id").alias("title"), pick(PLACES, "doc_id").alias("place"))
+    """What the title of each order tells: an exclusion, a future or past closure, one branch."""
     t = keys.fold("title")
-    return d.select("doc_id", titles.excluded(t).alias("excluded"), phrases.says(t, titles.FUTURE).alias("future"), phrases.says(t, titles.PAST).alias("past"), titles.names_one_branch(F.col("title"), F.lit("LCL"), F.col("place")).alias("one_branch"))
+    says = lambda rules: wordrules.says(t, rules, titles.WORDS)
+    return order_titles(spark, sf_dir).select("o_orderkey", titles.excluded(t).alias("excluded"), says(titles.FUTURE).alias("future"), says(titles.PAST).alias("past"), titles.names_one_branch(F.col("title"), F.lit("LCL"), F.col("p1")).alias("one_branch"))
 
 
-@query(f"""with d as (select doc_id, {sql_pick(TITLES, "doc_id")} as title, lang from documents),
-h as (select *, regexp_extract(title, '^([^.:!?]{{2,60}})[.:]', 1) as head, regexp_extract(title, '[Bb]ureaux?\\s+de\\s+poste\\s+(?:de\\s+|d[''’]\\s*|des\\s+|[àa]\\s+).*?(\\p{{Lu}}[\\p{{L}}''’]+)', 1) as office from d),
-c as (select *, list_filter({PLACES!r}, lambda x: contains(title, x)) as found, list_filter({PLACES!r}, lambda x: head <> '' and contains(head, x)) as ahead from h)
-select doc_id, array_to_string(case when len(ahead) > 0 then ahead when list_contains(found, office) then list_filter(found, lambda x: x = office) else found end, ',') as places, regexp_matches(strip_accents(lower(title)), '(?:[2-9]|\\d{{2,}}|{triage.SEVERAL}|une\\s+(?:vingtaine|dizaine)).{{0,40}}agences|plan de fermeture|reorganisation du reseau|reorganisation territoriale') as is_plan from c""")
+@query(f"""with {TITLED}, h as (select *, regexp_extract(title, '^([^.:!?]{{2,60}})[.:]', 1) as head, case when o_totalprice > 200000 and c_mktsegment = 'BUILDING' then p2 end as office, list_distinct({sorted(set(PLACES))!r}) as places from folded),
+c as (select *, list_filter(places, lambda x: contains(title, x)) as found, list_filter(places, lambda x: contains(lower(head), lower(x))) as ahead from h)
+select o_orderkey, array_to_string(list_sort(case when len(ahead) > 0 then ahead when list_contains(found, office) then [office] else found end), ',') as places, {sql_says("w", triage.PLANS, triage.PLAN_WORDS)} as is_plan from c""")
 def title_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of the places in a title it is about, and whether it tells of a plan for several branches."""
-    d = table(spark, sf_dir, "documents").select("doc_id", pick(TITLES, "doc_id").alias("title"))
-    found = F.filter(F.array(*[F.lit(p) for p in PLACES]), lambda x: F.contains(F.col("title"), x))
-    return d.select("doc_id", F.array_join(titles.preferred_places(F.col("title"), found), ",").alias("places"), triage.plan_of_several(keys.fold("title")).alias("is_plan"))
+    """Which of the places in each order's title it is about, and whether it tells of a plan for several branches."""
+    d = order_titles(spark, sf_dir)
+    found = F.filter(F.array(*[F.lit(p) for p in sorted(set(PLACES))]), lambda x: F.contains(F.col("title"), x))
+    return d.select("o_orderkey", F.array_join(F.sort_array(titles.preferred_places(F.col("title"), found)), ",").alias("places"), triage.plan_of_several(keys.fold("title")).alias("is_plan"))
+
+
+@query(f"""with {TITLED}, s as (select *, w || case when o_orderstatus = 'P' then '(' || case when n_nationkey % 2 = 0 then '86' else '17' end || ')' else '' end as src, case when o_totalprice < 60000 then p2 else p1 end as place, case when o_orderstatus = 'P' then case when n_nationkey % 2 = 0 then '86' else '17' end else '' end as dep,
+  list_position({_MONTH_LIST}, regexp_extract(w, {quote(sql_rule(guard.CLOSING_MONTH, guard.WORDS))}, 1)) as mo, case when o_orderstatus <> 'P' then p1 end as lead from folded)
+select o_orderkey, case when {sql_says("w", guard.DENIALS, guard.WORDS)} then 'closure denied' when c_mktsegment = 'BUILDING' and {sql_says("w", guard.PASSING, guard.WORDS)} then 'temporary closure' when dep <> '' and dep <> '86' then 'department contradicts the source'
+  when dep = '' and c_acctbal < 0 then 'namesake without support' when not regexp_matches(f, '(^|[^a-z0-9_-])' || lower(place) || '([^a-z0-9_]|$)') then 'place not mentioned' when lead <> place then 'the title leads with another place' when mo > 0 and mo <> month(case when c_acctbal > 5000 then day + interval 1 month else day end) then 'month differs' end as reason from s""")
+def guard_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guard over the title of each order; customers in debt stand for names that have namesakes."""
+    d = order_titles(spark, sf_dir)
+    place, dep = F.when(F.col("o_totalprice") < 60000, F.col("p2")).otherwise(F.col("p1")), F.when(F.col("n_nationkey") % 2 == 0, "86").otherwise("17")
+    d = d.withColumns({"place": place, "dep": dep, "lead": guard.leading_place(F.col("title"))}).withColumn("src", keys.canonical(F.concat("title", F.when(F.col("o_orderstatus") == "P", F.concat(F.lit(" ("), "dep", F.lit(")"))).otherwise(F.lit("")))))
+    day = F.when(F.col("c_acctbal") > 5000, F.add_months("day", 1)).otherwise(F.col("day"))
+    reason = guard.guard_reason(
+        source=F.col("src"), place=F.col("place"), label=F.lit(""), ambiguous=F.lit(False), brand_is_postal=F.col("c_mktsegment") == "BUILDING", source_departments=F.when(F.col("o_orderstatus") == "P", F.array("dep")).otherwise(F.array().cast("array<string>")), resolved_department=F.lit("86"),
+        unscoped_ambiguous=F.col("c_acctbal") < 0, leading_code=F.col("lead"), resolved_code=F.col("place"), approximate=F.lit(True), day=day,
+    )
+    return d.select("o_orderkey", reason.alias("reason"))
 
 
 NEWS = ["Ouest-France", "Légifrance", "Google News", "Le Progrès", "Le Bien Public", "blog", "Journal officiel", "La Dépêche", "L'Est Républicain", ""]

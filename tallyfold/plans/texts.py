@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, keys, names, numbers, terms, web
 from ..functions.lexicon import Lexicon
-from ..operators import coverage, guard, reconcile, select, signals, triage
+from ..operators import coverage, reconcile, select, signals, triage
 from ..sources.landing import written
 from .common import among, query, quote, table
 
@@ -292,37 +292,6 @@ from .common import SQL  # noqa: E402
 SQL["coverage_summary"] = f"with b as (select item_id, {_KEY.format('text')} as k from benchmark), d as (select doc_id, {_KEY.format('text')} as t from documents), " + SQL["coverage_summary"].removeprefix("with ")
 
 
-#: Sentences that stand for what articles say of a closure; each document gets one, by its id, before its own text.
-SAID = [
-    "Poitiers : fermeture temporaire du bureau de poste pour travaux", "Le bureau de poste de Poitiers ne fermera pas", "Poitiers : fermé définitivement, le bureau ne rouvrira pas", "Le bureau de poste de Poitiers est menacé de fermeture", "Poitiers : le bureau de poste ferme en août",
-    "Le bureau de poste de Vierzon-Poitiers va fermer", "Le bureau de poste de Poitiers-Sud fermera en mars", "Poitiers : la direction renonce à fermeture et agences", "Poitiers : maintien des bureaux", "Poitiers : fermé depuis trois semaines", "Poitiers : fermé pour plus de deux mois", "Poitiers : fermé depuis janvier",
-    "À Saumur, le bureau de poste de Poitiers va fermer", "Saumur : le bureau de Poitiers ferme", "Poitiers : ferme le lundi", "Poitiers, raisons de sécurité, le bureau ferme", "Poitiers (86) : fermeture en mars", "Poitiers (17) : fermeture en mars", "Poitiers : tout l'été le bureau ferme", "Poitiers : fermeture le 17 mars",
-]
-_PASSING_SQL = "|".join(rf"\b(?:{x})\b" for x in [
-    r"fermeture\s+(?:temporaire|exceptionnelle)", r"temporairement\s+ferm\w*", r"ferm\w*\s+temporairement", "provisoire|provisoirement", "travaux|renovation|modernisation|reparation|demenagement|demenager", "infiltration|inondation|cambriolage|agression|incivilites?|radon|sinistre", r"raisons?\s+de\s+securite", r"jusqu[-\s']+(?:a|au)", r"duree\s+indeterminee", r"tout[-\s']+l[-\s']+ete",
-    r"(?:(?:pour|pendant|durant|depuis)(?:[-\s']+plus)?(?:[-\s']+(?:de|d))?|plus[-\s']+(?:de|d))[-\s']+(?:\d+|un|une|deux|trois|quatre|cinq|six|plusieurs)[-\s']+(?:jours?|semaines?|mois)", rf"ferm\w*[-\s']+depuis[-\s']+(?:{'|'.join(dates.MONTHS)})", r"ferme[-\s']+(?:ce|le|chaque)[-\s']+(?:lundi|mardi|mercredi|jeudi|vendredi|samedi|dimanche)",
-])
-_DENIED_SQL = r"\b(?:(?:ne|n)[-\s']+(?:ferme|ferment|fermera|fermeront)[-\s']+pas|fermeture[-\s']+(?:annulee|ecartee|abandonnee)|renonce[-\s']+a[-\s']+(?:la[-\s']+)?fermeture|maintien[-\s']+(?:du|des)[-\s']+(?:bureau|bureaux|agence|agences))\b"
-
-
-@query(f"""with d as (select doc_id, [{', '.join(map(quote, SAID))}][1 + doc_id % {len(SAID)}] as s, lang, text from documents),
-t as (select doc_id, s, lang, {_KEY.format("s || ' ' || lang")} as src from d),
-x as (select *, regexp_extract(src, '\\((\\d\\d)\\)', 1) as dep, list_position({_MONTHS_SQL}, regexp_extract(src, '\\b(?:fermeture|ferme|fermera|fermeront|fermee|fermees)\\b[^.!?]{{0,55}}?\\b(?:en|au|le)\\s+(?:\\d{{1,2}}(?:er)?\\s+)?({'|'.join(dates.MONTHS)})\\b', 1)) as mo,
-  coalesce(nullif(regexp_extract(s, '^[ÀA]\\s+(\\p{{Lu}}[\\p{{L}}''’-]+(?:\\s+\\p{{Lu}}[\\p{{L}}''’-]+){{0,3}})\\s*[, :]', 1), ''), nullif(regexp_extract(s, '^(\\p{{Lu}}[\\p{{L}}''’-]+(?:\\s+\\p{{Lu}}[\\p{{L}}''’-]+){{0,3}})\\s*:', 1), '')) as lead from t)
-select doc_id, case when regexp_matches(src, {quote(_DENIED_SQL)}) then 'closure denied' when regexp_matches(src, {quote(_PASSING_SQL)}) then 'temporary closure' when dep <> '' and dep <> '86' then 'department contradicts the source'
-  when dep = '' and lang = 'fr' then 'namesake without support' when not regexp_matches(src, '(^|[^a-z0-9_-])poitiers([^a-z0-9_]|$)') then 'place not mentioned' when lead is not null and lead <> 'Poitiers' then 'the title leads with another place' when mo is not null and mo <> 8 then 'month differs' end as reason from x""")
-def guard_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The guard over a sentence for each document, its language as metadata; documents in French stand for names that have namesakes."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.get(F.array(*[F.lit(x) for x in SAID]), (F.col("doc_id") % len(SAID)).cast("int")).alias("s"))
-    d = d.withColumn("src", keys.canonical(F.concat_ws(" ", "s", "lang"))).withColumn("lead", guard.leading_place(F.col("s")))
-    dep = F.regexp_extract("src", r"\((\d\d)\)", 1)
-    reason = guard.guard_reason(
-        source=F.col("src"), place=F.lit("Poitiers"), label=F.lit(""), ambiguous=F.lit(False), brand_is_postal=F.lit(True), source_departments=F.when(dep != "", F.array(dep)).otherwise(F.array().cast("array<string>")), resolved_department=F.lit("86"), unscoped_ambiguous=F.col("lang") == "fr",
-        leading_code=F.col("lead"), resolved_code=F.lit("Poitiers"), approximate=F.lit(True), day=F.lit("2026-08-01").cast("date"),
-    )
-    return d.select("doc_id", reason.alias("reason"))
-
-
 @query("""with e as (select event_id, user_id, (json_extract_string(props, '$.k'))::int as k, substr(sha256(coalesce(user_id::varchar, '') || '|' || coalesce(event_id::varchar, '')), 1, 16) as id from events)
 select user_id, count(*) filter (where k between 0 and 49)::bigint as n_valid, count(*) filter (where not (k between 0 and 49))::bigint as n_invalid, sum(k)::bigint as total, min(id) as first_id from e group by user_id""")
 def json_signals(spark: SparkSession, sf_dir: str) -> DataFrame:

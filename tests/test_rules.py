@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.functions import display, phrases, web
+from tallyfold.functions import display, web, wordrules
 from tallyfold.functions.keys import canonical, fold
 from tallyfold.operators import coverage, guard, titles, triage
 
@@ -16,9 +16,24 @@ def judged(spark, cases, column):
         assert got[i] == c[-1], (c, got[i])
 
 
-def test_phrases_have_optional_slots_stems_and_numbers(spark):
-    cases = [("il renonce a la fermeture", True), ("il renonce a fermeture", True), ("il renonce a une fermeture", False), ("fermes depuis 12 jours", True), ("depuis douze jours", False), ("l'ete", False)]
-    judged(spark, cases, lambda c: phrases.says(c, ["renonce a la? fermeture", "ferm* depuis # jours"]))
+def test_word_rules_go_by_order_and_distance(spark):
+    words = {"a": ["ferm*"], "b": ["#"], "c": ["jours", "mois"], "d": ["##"]}
+    cases = [("fermes depuis 12 jours", True), ("ferme 12 mois", True), ("12 jours ferme", False), ("ferme. 12 jours", False), ("ferme a b c d 12 jours", False), ("", False), (None, False), ("fermeture-de-12-jours", True), ("ferme 3 ferme a b 4 jours", True)]
+    judged(spark, cases, lambda c: wordrules.says(c, [[("a", 0), ("b", 3), ("c", 1)]], words))
+    judged(spark, [("1 mois", False), ("2 mois", True), ("10 mois", True)], lambda c: wordrules.says(c, [[("d", 0), ("c", 1)]], words))
+    judged(spark, [("l'agence d'ille-et-vilaine! ille et vilaine", " l agence d @x | @x ")], lambda c: wordrules.put(c, F.lit("ille et-vilaine"), "@x"))
+
+
+def test_candidate_places_after_cues(spark):
+    cases = [
+        ("les agences de Bessines, Ambazac et Nieul ferment", ["Bessines", "Ambazac", "Nieul"]), ("fermeture à Tulle, Brive-la-Gaillarde et La Rochelle. Et à Paris", ["Tulle", "Brive-la-Gaillarde", "La Rochelle", "Paris"]),
+        ("les communes de Saint-Junien, 12 Rochechouart et Le Dorat ; ailleurs Limoges", ["Saint-Junien", "Le Dorat"]), ("les sites de Mont sous Vaudrey et l'autre", ["Mont sous Vaudrey"]), ("à Tulle et à Tulle", ["Tulle"]), ("rien ici", []), (None, None), ("", []),
+        ("agence de " + "x " * 120 + ", Lens", []), ("agence de " + "x " * 120 + ", Lens.", ["Lens"]),
+    ]
+    judged(spark, cases, triage.candidate_places)
+    many = ", ".join("V" + chr(97 + i) + "lle" for i in range(26))
+    got = spark.createDataFrame([(f"à {many}.",)], "s string").select(F.size(triage.candidate_places("s")).alias("a"), F.size(triage.candidate_places("s", most=None)).alias("b")).first()
+    assert (got.a, got.b) == (triage.MOST_PLACES, 26)
 
 
 def test_guard_tells_denials_and_passing_closures(spark):
@@ -30,7 +45,7 @@ def test_guard_tells_denials_and_passing_closures(spark):
 
 
 def test_plans_of_several_branches(spark):
-    yes = ["va fermer sept agences en Haute-Vienne", "la fermeture d'une vingtaine d'agences", "un plan de fermeture massif", "Réorganisation du réseau bancaire", "une réorganisation territoriale", "fermer plusieurs agences", "Une dizaine d'agences", "DEUX AGENCES"]
+    yes = ["va fermer sept agences en Haute-Vienne", "la fermeture d'une vingtaine d'agences", "un plan de fermeture massif", "Réorganisation du réseau bancaire", "une réorganisation territoriale", "fermer plusieurs agences", "Une dizaine d'agences", "DEUX AGENCES", "PLAN DE FERMETURE DES AGENCES.", "ferme 12 agences"]
     no = ["La banque ferme 1 agences de Tulle", "ferme son agence de Tulle", "rénove son agence principale"]
     judged(spark, [(s, True) for s in yes] + [(s, False) for s in no], lambda c: triage.plan_of_several(fold(c)))
 
@@ -40,6 +55,14 @@ def test_tiers(spark):
     judged(spark, cases, web.source_tier)
 
 
+def test_titles_that_are_no_lasting_closure(spark):
+    out = ["Moret : le bureau de poste ferme trois semaines pour se moderniser", "un bureau de poste fermé depuis des mois pour des raisons de sécurité", "fermé jusqu'à nouvel ordre", "Un risque d'effondrement contraint le bureau de poste à fermer", "ne rouvrira pas et va déménager", "liste des agences", "agence immobilière", "distributeur automatique"]
+    stay = ["Dun-sur-Auron. L'agence Caisse d'épargne ferme définitivement", "Orléans : le bureau de poste fermera définitivement le 31 octobre", "Le bureau de poste de Vire va fermer"]
+    judged(spark, [(s, True) for s in out] + [(s, False) for s in stay], lambda c: titles.excluded(fold(c)))
+    state = lambda c: titles.state(c, F.lit("2026-05-04").cast("date"))["temporal_status"]
+    judged(spark, [("L'agence va définitivement fermer", "upcoming"), ("La fermeture est prévue", "upcoming"), ("Le bureau de poste fermé", "closed"), ("Il n'accueille plus", "closed"), ("ferme ses portes", "closed"), ("L'agence de Lens", "unknown")], state)
+
+
 def test_titles_of_one_branch(spark):
     cases = [("Poitiers : l'agence du CIC va fermer", "Poitiers", True), ("LCL ferme son agence de Tulle", "Tulle", True), ("LCL à Vannes va fermer", "Vannes", True), ("Fermeture temporaire de l'agence de Brest", "Brest", False), ("L'agence de Brest ferme", "Nantes", False), ("Le bureau de Brest", "Brest", False)]
     df = spark.createDataFrame(cases, "t string, p string, w boolean")
