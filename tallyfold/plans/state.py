@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import coverage, frontier, reconcile
+from ..operators import coverage, frontier, reconcile, signals
 from ..operators.keyed import KeyedTable
 from ..sources.landing import fresh, land, written
 from ..streaming import incremental, revisions
@@ -115,3 +115,21 @@ def reconcile_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     department = F.when(F.col("o_totalprice") < 150000, F.when(F.col("n_nationkey") == 2, "2a").otherwise(F.col("n_name")))
     signals = open_.select(F.col("o_orderkey").alias("id"), bank.alias("bank"), department.alias("department"), F.concat(F.lit("Fermeture: "), "c_name").alias("title"), F.concat(F.lit(", l'Agence "), "c_mktsegment", F.lit(" "), number).alias("excerpt"), F.col("o_orderpriority").alias("reason"), F.concat("url", F.lit("/")).alias("url"), F.lit(None).cast("long").alias("resolved"))
     return reconcile.resolved_signals(signals, events, done.select("event_id", "url"), aliases, _DEPARTMENTS)
+
+
+@query("""with l as (select l_orderkey, l_discount, (l_linenumber = 6)::int as r1, (l_returnflag = 'R')::int as r2, (l_discount * 11 > 1)::int as r3 from lineitem),
+n as (select l_orderkey, count(*) filter (where r1 + r2 + r3 = 0) as good, coalesce(sum(l_discount * 11) filter (where r1 + r2 + r3 = 0), 0) as conf, count(*) filter (where r1 + r2 + r3 > 0) as bad, sum(r1 + r2 + r3) as reasons from l group by 1)
+select o_orderkey, (o_orderstatus <> 'P' and o_orderpriority <> '5-LOW' and o_totalprice <= 400000) as valid, o_orderstatus = 'P' as corrupt, case when o_orderstatus = 'P' then 0 else good end::bigint as n_closures, round(case when o_orderstatus = 'P' then 0 else conf end, 4) as confidence, case when o_orderstatus = 'P' then 0 else bad end::bigint as n_rejected,
+  case when o_orderstatus = 'P' then 1 else reasons + (o_orderpriority = '5-LOW')::int + (o_totalprice > 400000)::int end::bigint as n_reasons from orders join n on l_orderkey = o_orderkey""")
+def validated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as extraction results in JSON, their lines as closures: what each keeps, rejects and why; pending orders are cut off and no JSON."""
+    line = F.struct(F.when(F.col("l_linenumber") != 6, F.concat(F.lit("B"), F.col("l_suppkey").cast("string"))).alias("bank"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("commune"), names.lookup(F.col("l_returnflag"), {"A": "announced", "N": "confirmed", "R": "gone"}).alias("status"), names.lookup(F.col("l_linestatus"), {"F": "closure", "O": "transfer"}).alias("closure_type"), (F.col("l_discount") * 11).alias("confidence"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("closures"))  # a handful of lines an order
+    o = table(spark, sf_dir, "orders").join(lines.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    whole = F.to_json(F.struct(F.when(F.col("o_orderpriority") == "5-LOW", "other").otherwise("list_closures").alias("article_type"), (F.col("o_totalprice") / 400000).alias("confidence"), "closures"))
+    o = o.withColumn("result", F.when(F.col("o_orderstatus") == "P", F.substr(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole))
+    checked = signals.validated(o.select("o_orderkey", "result"), "result")
+    rejected = F.size(F.filter("rejected", lambda x: x["field"].isNotNull())).cast("long")
+    reasons = F.aggregate("rejected", F.lit(0).cast("long"), lambda a, x: a + F.size(x["reasons"]))
+    total = F.aggregate("parsed.closures", F.lit(0.0), lambda a, x: a + x["confidence"])
+    return checked.select("o_orderkey", "valid", F.col("corrupt").isNotNull().alias("corrupt"), F.size("parsed.closures").cast("long").alias("n_closures"), F.round(total, 4).alias("confidence"), rejected.alias("n_rejected"), reasons.alias("n_reasons"))
