@@ -22,7 +22,7 @@ def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", depar
     of_name = features.groupBy("_key").agg(F.min("_f").alias("_any"), codes.alias("_codes"))
     of_both = features.groupBy("_key", F.col("_f.department").alias("_wanted")).agg(F.min("_f").alias("_own"))
     asked = requests.withColumn("_key", place_key(name)).withColumn("_wanted", F.coalesce(F.col(department), F.lit("")))
-    out = asked.join(of_name, "_key", "left").join(of_both, ["_key", "_wanted"], "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<string>")))
+    out = asked.join(of_name.hint("merge"), "_key", "left").join(of_both.hint("merge"), ["_key", "_wanted"], "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<string>")))
     out = out.withColumn("_hit", F.when(F.col("_wanted") == "", F.col("_any")).otherwise(F.col("_own")))
     vague = (F.col("_wanted") == "") & (F.size("_codes") > 1)
     pick = lambda f: F.when(~vague, F.col(f"_hit.{f}"))
@@ -43,7 +43,7 @@ def resolve_variants(requests: DataFrame, gazetteer: DataFrame, request: str = "
     asked = rows.select(F.struct(request, "_pos").alias("_id"), F.col("_variant").alias("name"), F.col(department).alias("department"))
     hits = resolve(asked, gazetteer, "name", "department").filter("resolved_code is not null or (_id._pos = 0 and ambiguous)")
     best = hits.groupBy(F.col(f"_id.{request}").alias(request)).agg(F.min_by(F.struct(F.col("name").alias("matched_name"), "resolved_code", "resolved_department", "ambiguous"), "_id._pos").alias("_b"))
-    return requests.join(best, request, "left").select(*requests.columns, "_b.matched_name", "_b.resolved_code", "_b.resolved_department", F.coalesce("_b.ambiguous", F.lit(False)).alias("ambiguous"))
+    return requests.join(best.hint("merge"), request, "left").select(*requests.columns, "_b.matched_name", "_b.resolved_code", "_b.resolved_department", F.coalesce("_b.ambiguous", F.lit(False)).alias("ambiguous"))
 
 
 def by_address(requests: DataFrame, addresses: DataFrame, address: str = "address") -> DataFrame:

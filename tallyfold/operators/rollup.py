@@ -104,6 +104,32 @@ def department_estimate(precise: DataFrame, unlocated: DataFrame, announced: Dat
     return out.withColumn("estimate", sum((F.col(n) for n in names[1:]), F.col(names[0])))
 
 
+TIERS = {"precise": "n_precise", "unlocated": "n_unlocated", "announced": "n_announced", "signal": "n_signals"}
+
+
+def facet_estimates(evidence: DataFrame, facet: Column | None = None) -> DataFrame:
+    """(department, is_total, n_precise, n_unlocated, n_announced, n_signals, estimate) of the evidence that a facet leaves; one row has the national total.
+
+    ``evidence`` has a row for each fact: tier (one of TIERS), department,
+    bank_key, place_key, n, seq, lat and lon, and what facets ask for.  The
+    facet is one predicate over all tiers, so it reaches each tier's scan.  As
+    in :func:`department_estimate` a precise row counts with coordinates, an
+    announced one for its ``n``, and signals once per bank and place where no
+    unlocated row has them; facets come first, so a row that a facet leaves
+    out hides nothing.  A null department is one of its own.
+    """
+    rows = evidence if facet is None else evidence.filter(F.coalesce(facet, F.lit(False)))
+    is_tier = lambda t: F.col("tier") == t
+    named = rows.filter(F.col("tier").isin("unlocated", "signal")).groupBy("bank_key", "place_key")
+    lone = named.agg(F.bool_or(is_tier("unlocated")).alias("_known"), F.min_by(F.struct("department"), F.when(is_tier("signal"), F.col("seq"))).alias("_s"))
+    lone = lone.filter("not _known and _s is not null").select("_s.department", F.lit("signal").alias("tier"), F.lit(1).cast("long").alias("w"))
+    weight = F.when(is_tier("announced"), F.coalesce("n", F.lit(0))).when(is_tier("precise"), (F.col("lat").isNotNull() & F.col("lon").isNotNull()).cast("int")).otherwise(1).cast("long")
+    both = rows.filter(~is_tier("signal")).select("department", "tier", weight.alias("w")).unionByName(lone)
+    counts = [F.coalesce(F.sum(F.when(is_tier(t), F.col("w"))), F.lit(0)).alias(n) for t, n in TIERS.items()]
+    out = both.rollup("department").agg(F.grouping("department").cast("boolean").alias("is_total"), *counts)
+    return out.select("department", "is_total", *TIERS.values(), sum((F.col(n) for n in list(TIERS.values())[1:]), F.col("n_precise")).alias("estimate"))
+
+
 def nested_sources(sources: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, sources as a JSON list in order of the fields, n_sources)."""
     return sources.groupBy(key).agg(F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("sources"), F.count(F.lit(1)).alias("n_sources"))

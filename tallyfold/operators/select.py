@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import loose_key
+
 
 def evenly_spaced(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     """``k`` rows evenly spaced in ``order``, first and last among them; all if there are no more, the first for k = 1.
@@ -68,3 +70,41 @@ def search(queries: DataFrame, entries: DataFrame, least: float, k: int) -> Data
     met = tokens.join(held.hint("merge"), "token").join(words.hint("merge"), "w").select("query_id", "url", "title_key").distinct()
     scored = met.join(queries.select("query_id", "tokens").hint("merge"), "query_id").withColumn("share", overlap(F.col("tokens"), F.col("title_key"))).filter(F.col("share") >= least)
     return cap(scored.select("query_id", "url", "share").distinct(), ["query_id"], [F.desc("share"), F.col("url")], k)
+
+
+# Words of a query that tell nothing.
+STOP_WORDS = ["de", "la", "le", "les", "du", "des", "un", "une", "et", "au", "aux", "en", "dans", "son", "sa", "ses", "cette", "agence", "site", "https", "http", "www", "com", "fr"]
+
+
+def query_tokens(query: Column) -> Column:
+    """Words of three letters or more that are no stop words, without what ``site:`` names."""
+    words = F.split(loose_key(F.regexp_replace(F.coalesce(query, F.lit("")), r"site:\S+", " ")), " ")
+    return F.filter(words, lambda t: (F.length(t) >= 3) & ~t.isin(STOP_WORDS))
+
+
+def site_domains(query: Column) -> Column:
+    """Domains that a query names by ``site:``, in order, each once, without ``*.``."""
+    found = F.regexp_extract_all(F.coalesce(query, F.lit("")), F.lit(r"(?i)(?<![\w])site:([^\s\"']+)"), 1)
+    return F.array_distinct(F.filter(F.transform(found, lambda d: F.regexp_replace(F.regexp_replace(d, r"^[()\[\]{}.,;]+|[()\[\]{}.,;]+$", ""), r"^\*\.", "")), lambda d: d != ""))
+
+
+def site_search(queries: DataFrame, entries: DataFrame, domains: list[str], most_domains: int = 2, per_path: int = 200, least: float = 0.6, k: int = 10) -> DataFrame:
+    """(query_id, rank, url) of the entries that answer each query (query_id, query), ``k`` at most.
+
+    A query asks the domains that it names, then ``domains``, ``most_domains``
+    of them.  Of each path of a domain the first ``per_path`` entries (domain,
+    path, pos, url, title) are read; those count whose address and title hold
+    at least ``least`` of the query's tokens, as words or inside of them.
+    Domains come first in the order, then paths and positions; an address that
+    comes again does not count.  The caps are those of the search itself.  A
+    query without tokens finds nothing.
+    """
+    asked = queries.select("query_id", query_tokens(F.col("query")).alias("_tokens"), F.slice(F.array_distinct(F.concat(site_domains(F.col("query")), F.array(*[F.lit(d) for d in domains]).cast("array<string>"))), 1, max(1, most_domains)).alias("_domains"))
+    asked = asked.filter(F.size("_tokens") > 0).select("query_id", "_tokens", F.posexplode("_domains").alias("_d", "domain"))
+    read = cap(entries.filter("url <> ''"), ["domain", "path"], [F.col("pos"), F.col("url")], per_path).withColumn("_key", loose_key(F.concat_ws(" ", "url", "title")))
+    met = asked.join(read.hint("merge"), "domain")
+    share = F.size(F.filter("_tokens", lambda t: F.contains(F.col("_key"), t))) / F.size("_tokens")
+    place = F.struct(F.col("_d"), F.col("path"), F.col("pos"), F.col("url"))
+    once = met.filter(share >= least).groupBy("query_id", "url").agg(F.min(place).alias("_p"))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("_p")))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "url")

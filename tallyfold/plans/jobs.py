@@ -9,7 +9,7 @@ from ..functions import web
 from ..functions.keys import article_id, canonical, event_id, fold, loose_key
 from ..functions.lexicon import DEPARTMENTS, Lexicon
 from ..functions.names import department_code
-from ..operators import coverage, guard, merge, reconcile, resolve, rollup, select, similarity, snapshot, titles, triage
+from ..operators import coverage, frontier, guard, merge, reconcile, resolve, rollup, select, similarity, snapshot, titles, triage
 from ..sources import articles as sources
 
 
@@ -73,10 +73,40 @@ def review(records: DataFrame, reviews: DataFrame, results: DataFrame, gazetteer
     answers = results.join(queue.select("id"), "id", "left_semi")
     events = titles.events_of_titles(answers, gazetteer, lex)
     best = merge.best_per_key(events, ["bank", "place", "kind", "label"], F.desc("reliability"), F.col("url"))
-    log = queue.join(events.select("url").distinct().join(results.select("id", "url"), "url").groupBy("id").agg(F.count(F.lit(1)).alias("n_events")), "id", "left")
+    log = queue.join(events.select("url").distinct().join(results.select("id", "url").hint("merge"), "url").groupBy("id").agg(F.count(F.lit(1)).alias("n_events")), "id", "left")
     return best, log.select("id", today.cast("timestamp").alias("reviewed_at"), F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
 
+def official_vigilance(articles: DataFrame, source: str, reason: str, lex: Lexicon | None = None) -> DataFrame:
+    """Review records of the relevant articles of an official source, with why they are there."""
+    return weak_signals(articles.filter(F.col("source") == source), lex).withColumn("reason", F.lit(reason))
+
+
+def drill_down(articles: DataFrame, entries: DataFrame, pages: DataFrame, gazetteer: DataFrame, domains: list[str], lex: Lexicon | None = None, most_places: int = 8, most_rounds: int | None = 3, budget: int | None = None) -> DataFrame:
+    """(url, title, text, round): articles on plans for several branches, and what searches for their places find, pass by pass.
+
+    Of each plan's article (url, title, text) the candidate places that the
+    gazetteer has are searched for, one query for each with the plan's brand,
+    among the landed ``entries`` of the ``domains`` (see ``select.site_search``).
+    The ``pages`` (url, title, text) behind the answers are the next pass, and
+    those of them that are plans are searched on.
+    """
+    lex = lex or Lexicon()
+    columns = ["url", "title", "text"]
+
+    def expand(found: DataFrame) -> DataFrame:
+        whole = fold(F.concat_ws(" ", "title", "text"))
+        plans = found.filter(triage.plan_of_several(whole)).withColumn("bank", triage.first_brand(fold(F.coalesce("title", F.lit(""))), whole, lex)).filter("bank is not null").withColumn("_names", triage.candidate_places(F.concat_ws("\n", "title", "text")))
+        places = resolve.valid_candidates(plans, gazetteer, "url", "_names", most_places)
+        asked = plans.select("url", "bank").join(places.hint("merge"), "url").select("bank", F.explode("places").alias("place")).distinct()
+        queries = asked.select(F.struct("bank", "place").alias("query_id"), F.concat_ws(" ", "bank", F.lit("fermeture agence"), "place").alias("query"))
+        answers = select.site_search(queries, entries, domains).select("url").distinct()
+        return pages.join(answers.hint("merge"), "url", "left_semi").select(*columns)
+
+    seeds = articles.filter(triage.plan_of_several(fold(F.concat_ws(" ", "title", "text")))).select(*columns)
+    return frontier.passes(seeds, expand, ["url"], most_rounds, budget)
+
+
 def curated_events(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Confirmed events of curated targets (url, bank, place, department, closed_on), whose place resolves."""
     asked = rows.withColumn("request_id", event_id("bank", "place", F.lit("closure"))).dropDuplicates(["request_id"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import coverage, frontier, reconcile, signals
+from ..operators import coverage, frontier, reconcile, rollup, select, signals
 from ..operators.keyed import KeyedTable
 from ..sources.landing import fresh, land, written
 from ..streaming import incremental, revisions
@@ -133,3 +133,50 @@ def validated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     reasons = F.aggregate("rejected", F.lit(0).cast("long"), lambda a, x: a + F.size(x["reasons"]))
     total = F.aggregate("parsed.closures", F.lit(0.0), lambda a, x: a + x["confidence"])
     return checked.select("o_orderkey", "valid", F.col("corrupt").isNotNull().alias("corrupt"), F.size("parsed.closures").cast("long").alias("n_closures"), F.round(total, 4).alias("confidence"), rejected.alias("n_rejected"), reasons.alias("n_reasons"))
+
+
+def _facet_sql(name: str, condition: str) -> str:
+    return f"""select '{name}' as facet, department, grouping(department) = 1 as is_total, coalesce(sum(w) filter (where tier = 'precise'), 0)::bigint as n_precise, coalesce(sum(w) filter (where tier = 'unlocated'), 0)::bigint as n_unlocated, coalesce(sum(w) filter (where tier = 'announced'), 0)::bigint as n_announced, coalesce(sum(w) filter (where tier = 'signal'), 0)::bigint as n_signals, coalesce(sum(w), 0)::bigint as estimate
+  from (select department, tier, case tier when 'announced' then n when 'precise' then located else 1 end as w from ev where tier <> 'signal' and {condition}
+    union all select arg_min(department, seq), 'signal', 1 from ev where tier = 'signal' and {condition} and not exists (select 1 from ev as u where u.tier = 'unlocated' and u.bank = ev.bank and u.place = ev.place and u.{condition}) group by bank, place) group by rollup (department)"""
+
+
+_FACETS = {"all": "seq >= 0", "bank": "bank = 'MACHINERY'", "since": "day >= date '1997-01-01'"}
+
+
+@query(f"""with ev as (select case when o_orderstatus <> 'O' then 'precise' when o_orderpriority = '1-URGENT' then 'unlocated' when o_orderpriority = '5-LOW' then 'announced' else 'signal' end as tier, n_name as department, c_mktsegment as bank, c_name as place, month(o_orderdate) as n, o_orderkey as seq, (o_orderstatus = 'F')::int as located, o_orderdate::date as day from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey)
+{" union all ".join(_facet_sql(k, c) for k, c in _FACETS.items())}""")
+def facet_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates by department with the national total, for all orders, one segment, and orders since a day."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))  # 25 nations
+    tier = F.when(F.col("o_orderstatus") != "O", "precise").when(F.col("o_orderpriority") == "1-URGENT", "unlocated").when(F.col("o_orderpriority") == "5-LOW", "announced").otherwise("signal")
+    at = F.when(F.col("o_orderstatus") == "F", F.lit(1.0))
+    evidence = o.select(tier.alias("tier"), F.col("n_name").alias("department"), F.col("c_mktsegment").alias("bank_key"), F.col("c_name").alias("place_key"), F.month("o_orderdate").alias("n"), F.col("o_orderkey").alias("seq"), at.alias("lat"), at.alias("lon"), F.to_date("o_orderdate").alias("day"))
+    evidence = written(evidence, "evidence")  # three facets read it
+    facets = {"all": None, "bank": F.col("bank_key") == "MACHINERY", "since": F.col("day") >= F.lit("1997-01-01").cast("date")}
+    out = None
+    for name, facet in facets.items():
+        part = rollup.facet_estimates(evidence, facet).withColumn("facet", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_STOPS = "[" + ", ".join(f"'{w}'" for w in select.STOP_WORDS) + "]"
+
+
+@query(f"""with p as (select page_id, url, regexp_extract(url, '://([^/?#]*)', 1) as host, regexp_extract(url, '://[^/]*/([a-z]*)', 1) as path, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as title from pages),
+q as (select host, arg_min(title, page_id) as title from p group by 1), f as (select min(host) as d from p),
+a as (select host, host as domain, 0 as d, list_filter(string_split(trim(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: length(t) >= 3 and not list_contains({_STOPS}, t)) as tokens from q),
+b as (select * from a union all select host, f.d, 1, tokens from a, f where f.d <> host),
+e as (select *, trim(regexp_replace(strip_accents(lower(url || ' ' || title)), '[^a-z0-9]+', ' ', 'g')) as k, row_number() over (partition by host, path order by page_id, url) as pos from p),
+m as (select b.host, e.url, min({{'d': b.d, 'path': e.path, 'pos': e.page_id, 'u': e.url}}) as place from b join e on e.host = b.domain where e.pos <= 50 and len(tokens) > 0 and len(list_filter(tokens, lambda t: contains(k, t))) / len(tokens)::double >= 0.6 group by 1, 2),
+r as (select host, url, row_number() over (partition by host order by place) as rank from m)
+select host as query_id, rank::int as rank, url from r where rank <= 5""")
+def site_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each host a search on it and on the first host of all for the words of its first page's title; paths are the pages' languages."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    p = written(table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "://([^/?#]*)", 1).alias("domain"), F.regexp_extract("url", "://[^/]*/([a-z]*)", 1).alias("path"), F.col("page_id").alias("pos"), title.alias("title")), "entries")
+    queries = p.groupBy(F.col("domain").alias("query_id")).agg(F.min_by("title", "page_id").alias("_t"))
+    queries = queries.select("query_id", F.concat(F.lit("site:"), "query_id", F.lit(" "), "_t").alias("query"))
+    first = p.agg(F.min("domain")).first()[0]
+    return select.site_search(queries, p, [first] if first is not None else [], per_path=50, k=5)

@@ -199,9 +199,9 @@ def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""with g as (select conv_id, list({'turn': turn, 'role': role, 'text': text} order by turn) as items from conversations group by conv_id)
-select conv_id, list_filter(list_transform(items, lambda x: x.role), lambda z: z <> '')[1] as first_role, substring(array_to_string(list_transform(items, lambda x: substring(x.text, 1, 80)), ' | '), 1, 500) as evidence, list_max(list_transform(items, lambda x: length(x.text)))::int as score from g""")
+select conv_id, list_filter(list_transform(items, lambda x: x.role), lambda z: z <> '')[1] as first_role, substring(array_to_string(list_filter(list_transform(items, lambda x: x.text), lambda z: z <> ''), ' | '), 1, 500) as evidence, list_max(list_transform(items, lambda x: length(x.text)))::int as score from g""")
 def signal_per_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = F.struct("turn", F.col("role").alias("bank"), F.lit(None).cast("string").alias("department"), F.substring("text", 1, 80).alias("evidence"), F.length("text").alias("score"))
+    item = F.struct("turn", F.col("role").alias("bank"), F.lit(None).cast("string").alias("department"), F.col("text").alias("evidence"), F.length("text").alias("score"))
     grouped = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("url")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     one = signals.one_signal(grouped, "items")
     return one.select(F.col("url").alias("conv_id"), F.col("bank").alias("first_role"), "evidence", "score")
