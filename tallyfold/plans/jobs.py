@@ -9,8 +9,9 @@ from ..functions import web
 from ..functions.keys import article_id, canonical, event_id, fold, loose_key
 from ..functions.lexicon import DEPARTMENTS, Lexicon
 from ..functions.names import department_code
-from ..operators import coverage, frontier, guard, merge, reconcile, resolve, rollup, select, similarity, snapshot, titles, triage
+from ..operators import coverage, frontier, guard, merge, reconcile, resolve, rollup, select, signals, similarity, snapshot, titles, triage
 from ..sources import articles as sources
+from ..sources.landing import written
 
 
 def triage_articles(landed: list[DataFrame], seen: DataFrame, texts: DataFrame, lex: Lexicon | None = None, floor: str | None = None, threshold: int = -2) -> DataFrame:
@@ -114,6 +115,50 @@ def curated_events(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     return found.filter("resolved_code is not null").withColumns({"event_id": F.col("request_id"), "status": F.lit("confirmed"), "reliability": F.lit(4), "kind": F.lit("closure")}).drop("request_id", "name", "candidates", "ambiguous")
 
 
+def curated_stages(articles: DataFrame, targets: DataFrame, results: DataFrame, gazetteer: DataFrame, lex: Lexicon | None = None) -> dict[str, DataFrame]:
+    """What settles each curated article (url, title, text, date), by a chain of stages of which each takes what those before it left.
+
+    ``targets`` (url, bank, place, department, label, closed_on) come from the
+    curated list, ``results`` (url, result as JSON) from extraction.  Several
+    targets settle an article by themselves; else the closures of its result
+    do, if it has any that count; else its only target; else its result's
+    signals; an article that none of them settles is ``absent``.
+
+    ``stages`` is (url, stage); ``events`` has those of the stage that settled
+    their article, with ``reason`` where the place is not found; ``signals`` is
+    (url, field, bank, evidence) of the results that were asked.
+    """
+    lex = lex or Lexicon()
+    usable = targets.filter((F.trim(F.coalesce("bank", F.lit(""))) != "") & (F.trim(F.coalesce("place", F.lit(""))) != ""))
+    several = targets.groupBy("url").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(usable.select("url").distinct().hint("merge"), "url", "left_semi")
+    asked = articles.select("url").join(several.select("url").hint("merge"), "url", "left_anti")
+    checked = signals.validated(results.join(asked.hint("merge"), "url", "left_semi"), "result")
+    read = written(articles.select("url", "title", "text", "date").join(checked.select("url", "parsed", "valid").hint("merge"), "url"), "curated-results")
+    found = titles.structured_events(read, lex)
+    of = lambda field: F.transform(f"parsed.{field}", lambda x: F.struct(F.lit(field).alias("field"), x["bank"].alias("bank"), x["evidence"].alias("evidence")))
+    told = read.filter("valid").select("url", F.inline(F.concat(of("department_signals"), of("vague_signals"))))
+    stages = coverage.first_rule(articles.select("url").distinct(), "url", (several, "targets"), (found, "extracted"), (usable, "single target"), (told, "signals"))
+    stages = written(stages.withColumnRenamed("status", "stage"), "curated-stages")
+
+    own = usable.select("url", F.col("bank"), F.trim("place").alias("place"), "department", "label", F.col("closed_on"), F.lit("confirmed").alias("status"), F.lit(4).alias("reliability"))
+    read_ = found.select("url", "bank", "place", "department", "label", "closed_on", "status", F.lit(3).alias("reliability"))
+    both = own.join(stages.filter("stage in ('targets', 'single target')").hint("merge"), "url").unionByName(read_.join(stages.filter("stage = 'extracted'").hint("merge"), "url"))
+    both = both.withColumn("event_id", event_id("bank", "place", F.lit("closure"), "label")).dropDuplicates(["url", "event_id"])
+    placed = resolve.resolve(both.withColumn("name", F.col("place")), gazetteer).drop("name", "candidates")
+    reason = F.when(F.col("ambiguous"), "place ambiguous without department").when(F.col("resolved_code").isNull(), "place not found")
+    return {"stages": stages, "events": placed.withColumn("reason", reason).drop("ambiguous"), "signals": told}
+
+
+def reclassify(records: DataFrame, reviews: DataFrame, lex: Lexicon | None = None) -> tuple[DataFrame, DataFrame]:
+    """(review records with those on postal closures under the postal brand, reviews without those of the records that changed).
+
+    A record whose review is gone is due again at once (``reconcile.due_for_review``).
+    """
+    changed = titles.reclassified(records, lex)
+    again = changed.filter("reopened").select("id").distinct()
+    return changed.drop("reopened"), reviews.join(again.hint("merge"), "id", "left_anti")
+
+
 STATE = ["label", "characteristic", "address", "postal_code", "locality", "code", "department", "lat", "lon", "active"]
 
 

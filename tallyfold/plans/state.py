@@ -10,6 +10,8 @@ from ..operators import coverage, frontier, reconcile, rollup, select, signals
 from ..operators.keyed import KeyedTable
 from ..sources.landing import fresh, land, written
 from ..streaming import incremental, revisions
+from ..functions.lexicon import Lexicon
+from . import jobs
 from .common import query, table
 
 
@@ -180,3 +182,28 @@ def site_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = queries.select("query_id", F.concat(F.lit("site:"), "query_id", F.lit(" "), "_t").alias("query"))
     first = p.agg(F.min("domain")).first()[0]
     return select.site_search(queries, p, [first] if first is not None else [], per_path=50, k=5)
+
+
+@query("""with o as (select *, 'https://list.example/' || c_custkey as url from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey),
+t as (select url, count(*) as n from o where o_orderpriority = '1-URGENT' and o_orderstatus = 'F' group by 1),
+r as (select url, any_value(c_acctbal) as bal, count(*) filter (where o_orderpriority = '2-HIGH') as closures, count(*) filter (where o_orderpriority = '5-LOW') as told from o where o_orderstatus = 'O' group by 1),
+s as (select 'https://list.example/' || c_custkey as url, c_nationkey, case when t.n > 1 then 'targets' when r.closures > 0 and r.bal >= 0 then 'extracted' when t.n = 1 then 'single target' when r.told > 0 and r.bal >= 0 then 'signals' else 'absent' end as stage from customer left join t on t.url = 'https://list.example/' || c_custkey left join r on r.url = 'https://list.example/' || c_custkey),
+e as (select s.url, stage, 'x' || o_orderkey as label, n_nationkey from s join o using (url) where (stage in ('targets', 'single target') and o_orderpriority = '1-URGENT' and o_orderstatus = 'F') or (stage = 'extracted' and o_orderpriority = '2-HIGH' and o_orderstatus = 'O'))
+select s.url, s.stage, count(distinct label)::bigint as n_events, count(distinct label) filter (where n_nationkey >= 20)::bigint as n_not_found from s left join e on e.url = s.url group by 1, 2""")
+def curated_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as curated articles: urgent finished orders are their targets, open ones the results of extraction (in debt: no valid one); which stage settles each, and its events."""
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))  # 25 nations
+    url = F.concat(F.lit("https://list.example/"), F.col("c_custkey").cast("string"))
+    o = written(o.withColumn("url", url).withColumn("label", F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))), "curated-orders")
+    articles = table(spark, sf_dir, "customer").select(url.alias("url"), F.col("c_name").alias("title"), F.lit("").alias("text"), F.lit("2026-01-01").alias("date"))
+    targets = o.filter("o_orderpriority = '1-URGENT' and o_orderstatus = 'F'").select("url", F.col("c_mktsegment").alias("bank"), F.col("n_name").alias("place"), F.lit(None).cast("string").alias("department"), "label", F.to_date("o_orderdate").alias("closed_on"))
+    closure = F.when(F.col("o_orderpriority") == "2-HIGH", F.struct(F.col("c_mktsegment").alias("bank"), F.col("label").alias("agency_label"), F.col("n_name").alias("commune"), F.lit("announced").alias("status"), F.lit("closure").alias("closure_type"), F.lit(0.5).alias("confidence")))
+    signal = F.when(F.col("o_orderpriority") == "5-LOW", F.struct(F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("evidence")))
+    per = o.filter("o_orderstatus = 'O'").groupBy("url").agg(F.min("c_acctbal").alias("_bal"), F.collect_list(closure).alias("closures"), F.collect_list(signal).alias("department_signals"))
+    kind = F.when(F.col("_bal") >= 0, "list_closures").otherwise("nothing of the kind")
+    results = per.select("url", F.to_json(F.struct(kind.alias("article_type"), "closures", "department_signals")).alias("result"))
+    gazetteer = table(spark, sf_dir, "nation").filter("n_nationkey < 20").select(F.col("n_name").alias("name"), F.lit("").alias("department"), F.col("n_name").alias("code"), F.lit(0).alias("rank"))
+    lex = Lexicon(brands={s: [s] for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")})
+    out = jobs.curated_stages(articles, targets, results, gazetteer, lex)
+    n = out["events"].groupBy("url").agg(F.count(F.lit(1)).alias("_n"), F.count("reason").alias("_r"))
+    return out["stages"].join(n.hint("merge"), "url", "left").select("url", "stage", F.coalesce("_n", F.lit(0)).alias("n_events"), F.coalesce("_r", F.lit(0)).alias("n_not_found"))

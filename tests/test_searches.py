@@ -56,3 +56,26 @@ def test_plans_are_searched_place_by_place(spark):
     assert {(r.url, r["round"]) for r in found.collect()} == {("u1", 0), ("https://b.fr/lens", 1), ("https://b.fr/tulle", 1), ("https://b.fr/brest", 2)}
     official = spark.createDataFrame([("l1", "LCL : fermeture de l'agence de Lens", "", "2026-01-01", "Légifrance"), ("l2", "Décret", "", "2026-01-01", "Légifrance"), ("l3", "LCL : fermeture de l'agence", "", "2026-01-01", "blog")], "url string, title string, text string, date string, source string")
     assert {(r.url, r.bank, r.reason) for r in jobs.official_vigilance(official, "Légifrance", "no branch named").collect()} == {("l1", "LCL", "no branch named")}
+
+
+def test_curated_articles_are_settled_by_the_first_stage_that_can(spark):
+    import json
+
+    articles = spark.createDataFrame([(f"u{i}", "t", "", "2026-02-03") for i in range(1, 9)], "url string, title string, text string, date string")
+    targets = [("u1", "LCL", "Lens", "a"), ("u1", "LCL", "Tulle", "b"), ("u2", "LCL", "Lens", "a"), ("u3", "LCL", "Nullepart", "a"), ("u4", "", "Lens", "a"), ("u4", None, "Lens", "b"), ("u7", "LCL", "Tulle", "a"), ("u8", "LCL", "Lens", "a")]
+    made = lambda kind, **more: json.dumps({"article_type": kind, **more})
+    closure = {"bank": "LCL", "commune": "Lens", "status": "announced", "closure_type": "closure", "confidence": 1}
+    results = [("u1", made("list_closures", closures=[closure])), ("u2", made("single_closure", closures=[closure, {**closure, "is_physical_agency": False}, {**closure, "bank": "nobody"}])), ("u3", "{cut"), ("u4", made("department_signal", department_signals=[{"bank": "LCL"}])), ("u5", made("out_of_scope")), ("u6", made("wrong", vague_signals=[{}])), ("u7", made("ambiguous", vague_signals=[{"bank": "LCL"}]))]
+    gazetteer = spark.createDataFrame([("Lens", "62", "62498", 0), ("Tulle", "19", "19272", 0)], "name string, department string, code string, rank int")
+    out = jobs.curated_stages(articles, spark.createDataFrame([(u, b, p, None, x, None) for u, b, p, x in targets], "url string, bank string, place string, department string, label string, closed_on date"), spark.createDataFrame(results, "url string, result string"), gazetteer)
+    assert {r.url: r.stage for r in out["stages"].collect()} == {"u1": "targets", "u2": "extracted", "u3": "single target", "u4": "signals", "u5": "absent", "u6": "absent", "u7": "single target", "u8": "single target"}
+    assert sorted((r.url, r.place, r.reason, r.reliability) for r in out["events"].collect()) == [("u1", "Lens", None, 4), ("u1", "Tulle", None, 4), ("u2", "Lens", None, 3), ("u3", "Nullepart", "place not found", 4), ("u7", "Tulle", None, 4), ("u8", "Lens", None, 4)]
+    assert {(r.url, r.field) for r in out["signals"].collect()} == {("u4", "department_signals"), ("u7", "vague_signals")}
+
+
+def test_reclassified_records_are_due_again(spark):
+    records = spark.createDataFrame([(1, "Le bureau de poste de Lens va fermer", "BNP"), (2, "Le bureau de poste de Lens va fermer", "La Banque Postale"), (3, "LCL ferme", "LCL"), (4, "Le bureau de poste de Vire va fermer", None)], "id int, title string, bank string")
+    reviews = spark.createDataFrame([(1, "2026-01-01"), (1, "2026-02-01"), (2, "2026-02-01"), (3, "2026-02-01")], "id int, reviewed_at string")
+    changed, left = jobs.reclassify(records, reviews)
+    assert {r.id: r.bank for r in changed.collect()} == {1: "La Banque Postale", 2: "La Banque Postale", 3: "LCL", 4: "La Banque Postale"}
+    assert sorted(r.id for r in left.collect()) == [2, 3]
