@@ -89,6 +89,33 @@ def on_map(listed: DataFrame, events: DataFrame, signals: DataFrame | None = Non
     return out.select("listed_id", "event_seq", F.coalesce("_status", "_signal", F.lit("needs_research")).alias("status"))
 
 
+def text_mentions(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item_id, doc_id) where the text ``t`` of ``docs`` holds the text ``k`` of ``items``, both with single spaces; blank items are nowhere.
+
+    An item's words but the first and last are whole words of a text that holds
+    it.  So an item of four words or more meets texts by its second and third
+    word in a row, one of three by its second.  One of two meets them by the
+    words that begin with its second, and one of one by pieces of words; how
+    long these are the items say.  What meets is then tested for the whole item.
+    """
+    w = F.split("k", " ")
+    kind = F.when(F.size(w) >= 4, "g").when(F.size(w) == 3, "w").when(F.size(w) == 2, "p").otherwise("s")
+    token = F.when(F.size(w) >= 4, F.concat_ws(" ", F.get(w, 1), F.get(w, 2))).when(F.size(w) > 1, F.get(w, 1)).otherwise(F.get(w, 0))
+    asked = items.filter("k <> ''").select("item_id", "k", F.concat(kind, F.lit(" "), token).alias("_token"))
+    size = lambda kind: F.sort_array(F.collect_set(F.when(F.col("_token").startswith(kind), F.length("_token") - 2)))
+    sizes = asked.agg(size("p").alias("_p"), size("s").alias("_s"))  # one row; its arrays are as long as words are
+    words = F.array_distinct(F.split("t", " "))
+    grams = F.zip_with(F.split("t", " "), F.slice(F.split("t", " "), F.lit(2), F.size(F.split("t", " "))), lambda x, y: F.concat_ws(" ", x, y))
+    tagged = lambda kind, found: F.transform(found, lambda x: F.concat(F.lit(f"{kind} "), x))
+    begins = F.flatten(F.transform("_p", lambda n: F.transform(F.filter("_w", lambda x: F.length(x) >= n), lambda x: F.substr(x, F.lit(1), n))))
+    pieces = F.flatten(F.transform("_s", lambda n: F.flatten(F.transform(F.filter("_w", lambda x: F.length(x) >= n), lambda x: _grams(x, n)))))
+    said = docs.withColumn("_w", words).withColumn("_g", grams).crossJoin(F.broadcast(sizes))  # one row
+    all_ = F.concat(tagged("g", F.col("_g")), tagged("w", F.col("_w")), tagged("p", begins), tagged("s", pieces))
+    found = said.select("doc_id", F.explode(F.array_distinct(all_)).alias("_token"))
+    pairs = found.join(asked.hint("merge"), "_token").select("doc_id", "item_id", "k")
+    return docs.join(pairs.hint("merge"), "doc_id").filter("contains(t, k)").select("item_id", "doc_id")
+
+
 def has_evidence(rows: DataFrame, signals: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(signals, on, "left_semi")
 

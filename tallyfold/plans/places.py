@@ -18,7 +18,7 @@ _POSTAL = f"({_HAS('f', _LEX.points)} and {_HAS('f', _LEX.closure)})"
 
 
 @query(f"""with {TITLED}, s as (select *, {sql_pick(CODES, "n_nationkey * 4")} as d1, {sql_pick(list(DEPARTMENTS.values()), "n_nationkey * 4")} as n1, {sql_pick(CODES, "c_custkey")} as d2, day + (o_orderkey % 20)::int as pub, {sql_says("w", titles.FUTURE, titles.WORDS)} as fut, {sql_says("w", titles.PAST, titles.WORDS)} as past from folded)
-select o_orderkey, array_to_string(list_distinct([d1]) || list_filter([d2], lambda x: x <> d1), ',') as departments, p2 as hint, case when {_POSTAL} then {quote(POSTAL_BRAND)} when contains(f, 'lcl') then 'LCL' end as brand,
+select o_orderkey, array_to_string(list_distinct([d1]) || list_filter([d2], lambda x: x <> d1), ',') as departments, case when p2 = 'Paris' then '00' else p2 end as hint, case when {_POSTAL} then {quote(POSTAL_BRAND)} when contains(f, 'lcl') then 'LCL' end as brand,
   case when o_orderstatus = 'O' then 'confirmed' when fut then 'project' when past then 'confirmed' else 'rumour' end as status, case when o_orderstatus = 'O' then 'closed' when fut then 'upcoming' when past then 'closed' else 'unknown' end as temporal, case when o_orderstatus = 'O' then day when not fut and past then pub end::date as closed_on from s""")
 def titles_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each order's title and text: departments by name and number, the name to search for, the brand, and what and when it tells."""

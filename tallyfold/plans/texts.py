@@ -117,11 +117,14 @@ for _k, _v in web.REFERENCES.items():
     _UNESC = f"replace({_UNESC}, {quote(_k)}, {quote(_v)})"
 
 
-@query(f"""select page_id, trim(regexp_replace({_UNESC.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')) as title, sha256(substring(trim(regexp_replace({_UNESC.format("regexp_replace(html, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')), 1, 20000)) as text_hash from pages""")
+_BARE = "html"
+for _tag in ("script", "style", "nav", "footer", "head"):
+    _BARE = f"regexp_replace({_BARE}, '(?is)<{_tag}[^>]*>.*?</{_tag}>', ' ', 'g')"
+
+
+@query(f"""select page_id, trim(regexp_replace({_UNESC.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '\\s+', ' ', 'g')) as title, sha256(substring(trim(regexp_replace({_UNESC.format(f"regexp_replace({_BARE}, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')), 1, 20000)) as text_hash from pages""")
 def html_title_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stripped = F.regexp_replace("html", r"(?s)<!--.*?-->|<[^>]*>", " ")
-    body = F.substring(F.trim(F.regexp_replace(web.unescape(stripped), r"\s+", " ")), 1, 20_000)
-    return table(spark, sf_dir, "pages").select("page_id", web.page_title("html").alias("title"), F.sha2(body, 256).alias("text_hash"))
+    return table(spark, sf_dir, "pages").select("page_id", web.page_title("html").alias("title"), F.sha2(web.page_text("html"), 256).alias("text_hash"))
 
 
 @query(f"""with s as (select doc_id, {SENTENCES.format("text")} as sents from documents)
@@ -147,10 +150,7 @@ h as (select doc_id, t, left(t, 8000) as head from c),
 x as (select doc_id, t, head, regexp_extract(head, '(?s)^(.*[.\\n])', 1) as upto from h)
 select doc_id, case when length(t) <= 8000 then t when upto <> '' then upto else head end as context from x""")
 def compact_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paragraphs = F.filter(F.split("text", "\n"), lambda p: terms.has_any(keys.fold(p), PROSE.closure))
-    chosen = F.when(F.size(paragraphs) > 0, F.array_join(paragraphs, "\n")).otherwise(F.col("text"))
-    whole = F.concat_ws("\n", "lang", chosen)
-    return table(spark, sf_dir, "documents").select("doc_id", triage.cut_at_sentence(whole, 8_000).alias("context"))
+    return table(spark, sf_dir, "documents").select("doc_id", triage.compact_context(F.col("lang"), F.col("text"), terms.alternation(PROSE.closure), 8_000, "\n").alias("context"))
 
 
 _HOSTED = "regexp_replace(url, '^https?://', '')"
@@ -261,21 +261,11 @@ def coverage_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items by whether a document holds their whole text, or else their first word.
-
-    Documents meet items by two words in a row of the item's start, an equi-join, before the containment is tested.
-    """
-    items = table(spark, sf_dir, "benchmark").select("item_id", keys.canonical("text").alias("k")).withColumn("w", F.split("k", " "))
-    items = items.withColumn("first", F.get("w", 0)).withColumn("second", F.concat_ws(" ", F.get("w", 1), F.get("w", 2)))
+    """Benchmark items by whether a document holds their whole text, or else their first word."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", keys.canonical("text").alias("k")).withColumn("first", F.get(F.split("k", " "), 0))
     docs = table(spark, sf_dir, "documents").select("doc_id", keys.canonical("text").alias("t"))
-    words = F.split("t", " ")
-    grams = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda x, y: F.concat_ws(" ", x, y))
-    said = docs.select("doc_id", F.explode(F.array_distinct(F.concat(words, grams))).alias("token"))
-    wanted = items.select(F.explode(F.array("first", "second")).alias("token"))
-    found = written(among(said, "token", wanted).distinct(), "coverage-tokens")
-    pairs = found.join(items.select("item_id", "k", F.col("second").alias("token")).hint("merge"), "token").select("doc_id", "item_id", "k")
-    hit = among(docs, "doc_id", pairs).join(pairs.hint("merge"), "doc_id").filter("contains(t, k)")
-    known = items.join(found.select(F.col("token").alias("first")).distinct().hint("merge"), "first", "left_semi")
+    hit = coverage.text_mentions(items, docs)
+    known = items.join(docs.select(F.explode(F.array_distinct(F.split("t", " "))).alias("first")).distinct().hint("merge"), "first", "left_semi")
     return coverage.first_rule(items, "item_id", (hit, "mentioned"), (known, "word_known"))
 
 

@@ -77,3 +77,12 @@ def test_passes_end_and_keep_each_row_once(spark):
     assert got(frontier.passes(seeds, expand, ["k"], budget=3)) == {(1, 0, 0), (2, 1, 1), (3, 1, 1)}
     assert got(frontier.passes(spark.createDataFrame([(7, 0)], "k int, w int"), expand, ["k"])) >= {(7, 0, 0), (None, 1, 1), (1, 2, 2)}
     assert got(frontier.passes(seeds.limit(0), expand, ["k"])) == set()
+
+
+def test_texts_that_hold_short_items_are_found(spark):
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 4)))
+    docs = [(i, " ".join(word() for _ in range(rnd.randint(0, 12)))) for i in range(60)] + [(90, "alpha beta gammaray"), (91, ""), (92, None)]
+    items = [(i, " ".join(word() for _ in range(rnd.randint(1, 6)))) for i in range(150)] + [(900, "alpha beta gamma"), (901, ""), (902, "a beta"), (903, "gamma")]
+    got = {(r.item_id, r.doc_id) for r in coverage.text_mentions(spark.createDataFrame(items, "item_id int, k string"), spark.createDataFrame(docs, "doc_id int, t string")).collect()}
+    assert got == {(i, d) for i, k in items for d, t in docs if k and t and k in t} and {len(k.split()) for i, k in items for j, _ in got if i == j} >= {1, 2, 3, 4}
