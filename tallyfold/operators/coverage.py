@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import distance_m
+from .select import among
 
 
 def first_rule(rows: DataFrame, key: str, *matches: tuple[DataFrame, str]) -> DataFrame:
@@ -112,7 +113,7 @@ def text_mentions(items: DataFrame, docs: DataFrame) -> DataFrame:
     said = docs.withColumn("_w", words).withColumn("_g", grams).crossJoin(F.broadcast(sizes))  # one row
     all_ = F.concat(tagged("g", F.col("_g")), tagged("w", F.col("_w")), tagged("p", begins), tagged("s", pieces))
     found = said.select("doc_id", F.explode(F.array_distinct(all_)).alias("_token"))
-    pairs = found.join(asked.hint("merge"), "_token").select("doc_id", "item_id", "k")
+    pairs = among(found, "_token", asked).join(asked.hint("merge"), "_token").select("doc_id", "item_id", "k")
     return docs.join(pairs.hint("merge"), "doc_id").filter("contains(t, k)").select("item_id", "doc_id")
 
 

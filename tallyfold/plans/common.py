@@ -14,13 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def among(rows: DataFrame, key: str, small: DataFrame, most: int = 100_000) -> DataFrame:
-    """Rows whose ``key`` is in ``small``, which is broadcast if it has ``most`` rows at most; else both are shuffled."""
-    keys = small.select(key).distinct()
-    hint = "broadcast" if keys.limit(most + 1).count() <= most else "merge"
-    return rows.join(keys.hint(hint), key, "left_semi")
-
-
 def query(sql: str | None = None):
     def register(f):
         QUERIES[f.__name__] = f

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, keys, names, terms, web
 from ..functions.lexicon import DEPARTMENTS, POSTAL_BRAND, Lexicon
-from ..operators import resolve, signals, snapshot, titles, triage
+from ..operators import coverage, merge, resolve, signals, snapshot, titles, triage
+from ..sources.landing import fresh
 from .common import query, quote, sql_says, table
 from .rules import PLACES, TITLED, order_titles, pick, sql_pick
 
@@ -141,3 +142,41 @@ def cleaned_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages with address, tags and publisher, without these."""
     title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
     return table(spark, sf_dir, "pages").select("page_id", web.clean_text(F.concat("url", F.lit(" <b>"), title, F.lit("</b> - Le Journal"))).alias("cleaned"))
+
+
+@query(f"""with {TITLED}, s as (select *, {_POSTAL} as postal, contains(f, 'lcl') as lcl, {_HAS('f', _LEX.closure)} as closure, {sql_says("w", triage.PLANS, triage.PLAN_WORDS)} as plan from folded)
+select 'u' || o_orderkey as url, case when postal then {quote(POSTAL_BRAND)} when lcl then 'LCL' end as bank, substring(title, 1, 500) as excerpt, least(5, 1 + (postal or lcl)::int + closure::int + plan::int)::int as score from s""")
+def weak_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders' titles as review records of weak signals."""
+    a = order_titles(spark, sf_dir).select(F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("url"), "title", F.col("title").alias("text"), F.col("o_orderdate").cast("string").alias("date"))
+    return triage.weak_signal(a, _LEX).select("url", "bank", "excerpt", "score")
+
+
+@query("""select o_orderkey, o_orderstatus, case when o_orderstatus = 'O' then o_totalprice * 2 else o_totalprice end as price from orders where o_orderstatus <> 'O' or o_orderpriority <> '5-LOW'""")
+def replaced_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status, of which the open ones are replaced by others."""
+    path = fresh(spark, "slices")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"), "o_orderpriority")
+    merge.replace_slice(o.drop("o_orderpriority"), path, "o_orderstatus")
+    merge.replace_slice(o.filter("o_orderstatus = 'O' and o_orderpriority <> '5-LOW'").withColumn("price", F.col("price") * 2).drop("o_orderpriority"), path, "o_orderstatus")
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "price")
+
+
+@query("""with s as (select distinct c_mktsegment, c_nationkey from customer join orders on o_custkey = c_custkey where o_totalprice > 490000) select c_custkey from customer join s using (c_mktsegment, c_nationkey)""")
+def with_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of whose segment and nation there is a very large order."""
+    c = table(spark, sf_dir, "customer")
+    large = table(spark, sf_dir, "orders").filter("o_totalprice > 490000").join(c, F.col("c_custkey") == F.col("o_custkey")).select("c_mktsegment", "c_nationkey")
+    return coverage.has_evidence(c, large, ["c_mktsegment", "c_nationkey"]).select("c_custkey")
+
+
+@query("""with o as (select 'u' || o_custkey as url, c_mktsegment as bank, o_orderpriority as departement, o_orderkey % 1000 as n from orders join customer on c_custkey = o_custkey where o_orderstatus = 'O')
+select url, bank, departement, n::int as "count", substr(sha256(url || '|' || bank || '|' || departement), 1, 16) as id from o""")
+def exploded_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The signals of each customer's result as rows with an id."""
+    o = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    one = F.struct(F.col("c_mktsegment").alias("bank"), F.col("o_orderpriority").alias("departement"), (F.col("o_orderkey") % 1000).alias("count"))
+    per = o.groupBy("o_custkey").agg(F.collect_list(one).alias("department_signals"))
+    result = F.to_json(F.struct(F.lit("department_signal").alias("article_type"), "department_signals"))
+    checked = signals.validated(per.select(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("url"), result.alias("result")), "result")
+    return signals.explode_signals(checked, "department_signals", ["bank", "departement"]).select("url", "bank", "departement", "count", "id")

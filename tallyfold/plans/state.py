@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..operators import coverage, frontier, reconcile, rollup, select, signals
 from ..operators.keyed import KeyedTable
-from ..sources.landing import fresh, land, written
+from ..sources.landing import fresh, written
 from ..streaming import incremental, revisions
 from ..functions.lexicon import Lexicon
 from . import jobs
