@@ -36,7 +36,9 @@ def expected_status(expected: DataFrame, events: DataFrame, signals: DataFrame)
     as_place = labelled.join(known("place_key", "label_key"), ["bank_key", "label_key"], "left_semi").select("expected_id")
     texts = signals.select("bank_key", "text_key", "plan_like").distinct()
     plan = expected.filter("is_plan").join(texts.filter("plan_like").select("bank_key").distinct(), "bank_key", "left_semi").select("expected_id")
-    said = expected.join(texts, "bank_key").filter("(place_key <> '' and contains(text_key, place_key)) or (label_key <> '' and contains(text_key, label_key))").select("expected_id")
+    named = expected.select(F.col("expected_id").alias("item_id"), "bank_key", F.explode(F.array_distinct(F.filter(F.array("place_key", "label_key"), lambda k: k != ""))).alias("k"))
+    told = texts.select("bank_key", F.col("text_key").alias("t")).distinct().withColumn("doc_id", F.sha2(F.concat_ws("|", "bank_key", "t"), 256))
+    said = text_mentions(named, told, ["bank_key"]).select(F.col("item_id").alias("expected_id"))
     rest = first_rule(expected, "expected_id", (as_place, "label_as_place"), (plan, "plan"), (said, "mentioned"))
     return rest.join(direct, "expected_id", "left").select("expected_id", F.coalesce("_d.date_status", "status").alias("status"))
 
@@ -90,8 +92,8 @@ def on_map(listed: DataFrame, events: DataFrame, signals: DataFrame | None = Non
     return out.select("listed_id", "event_seq", F.coalesce("_status", "_signal", F.lit("needs_research")).alias("status"))
 
 
-def text_mentions(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """(item_id, doc_id) where the text ``t`` of ``docs`` holds the text ``k`` of ``items``, both with single spaces; blank items are nowhere.
+def text_mentions(items: DataFrame, docs: DataFrame, on: list[str] = []) -> DataFrame:  # noqa: B006
+    """(item_id, doc_id) where the text ``t`` of ``docs`` holds the text ``k`` of ``items``, both with single spaces, and the columns ``on`` are equal; blank items are nowhere.
 
     An item's words but the first and last are whole words of a text that holds
     it.  So an item of four words or more meets texts by its second and third
@@ -102,7 +104,7 @@ def text_mentions(items: DataFrame, docs: DataFrame) -> DataFrame:
     w = F.split("k", " ")
     kind = F.when(F.size(w) >= 4, "g").when(F.size(w) == 3, "w").when(F.size(w) == 2, "p").otherwise("s")
     token = F.when(F.size(w) >= 4, F.concat_ws(" ", F.get(w, 1), F.get(w, 2))).when(F.size(w) > 1, F.get(w, 1)).otherwise(F.get(w, 0))
-    asked = items.filter("k <> ''").select("item_id", "k", F.concat(kind, F.lit(" "), token).alias("_token"))
+    asked = items.filter("k <> ''").select("item_id", "k", *on, F.concat(kind, F.lit(" "), token).alias("_token"))
     size = lambda kind: F.sort_array(F.collect_set(F.when(F.col("_token").startswith(kind), F.length("_token") - 2)))
     sizes = asked.agg(size("p").alias("_p"), size("s").alias("_s"))  # one row; its arrays are as long as words are
     words = F.array_distinct(F.split("t", " "))
@@ -112,9 +114,9 @@ def text_mentions(items: DataFrame, docs: DataFrame) -> DataFrame:
     pieces = F.flatten(F.transform("_s", lambda n: F.flatten(F.transform(F.filter("_w", lambda x: F.length(x) >= n), lambda x: _grams(x, n)))))
     said = docs.withColumn("_w", words).withColumn("_g", grams).crossJoin(F.broadcast(sizes))  # one row
     all_ = F.concat(tagged("g", F.col("_g")), tagged("w", F.col("_w")), tagged("p", begins), tagged("s", pieces))
-    found = said.select("doc_id", F.explode(F.array_distinct(all_)).alias("_token"))
-    pairs = among(found, "_token", asked).join(asked.hint("merge"), "_token").select("doc_id", "item_id", "k")
-    return docs.join(pairs.hint("merge"), "doc_id").filter("contains(t, k)").select("item_id", "doc_id")
+    found = said.select("doc_id", *on, F.explode(F.array_distinct(all_)).alias("_token"))
+    pairs = among(found, "_token", asked).join(asked.hint("merge"), [*on, "_token"]).select("doc_id", "item_id", "k").distinct()
+    return docs.select("doc_id", "t").join(pairs.hint("merge"), "doc_id").filter("contains(t, k)").select("item_id", "doc_id")
 
 
 def has_evidence(rows: DataFrame, signals: DataFrame, on: list[str]) -> DataFrame:
