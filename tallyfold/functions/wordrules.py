@@ -5,87 +5,53 @@ class, then within that many words one of the next, and so on, all in one
 sentence.  Classes are plain vocabularies; ``ferm*`` stands for all words with
 that beginning, ``#`` for any number and ``##`` for one of at least two.
 
-A text is read once: its words are numbered, those of no class are left out,
-and a sentence's end counts as more words than any distance.
+A text is brought to words with a space around each and a bar for a sentence's
+end; a set of rules is then one expression over it, so that plans stay small
+and rules are evaluated in generated code.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Rule = list[tuple[str, int]]
 Classes = dict[str, list[str]]
-#: Words that the end of a sentence counts for; distances are less.
-STOP = 20
-MARKS = "[.!?|\\n]+"
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def member(word: Column, vocabulary: list[str]) -> Column:
-    plain = [w for w in vocabulary if w[-1:] not in "*#"]
-    out = word.isin(plain) if plain else F.lit(False)
-    for w in vocabulary:
-        if w == "#":
-            out = out | word.rlike("^[0-9]+$")
-        elif w == "##":
-            out = out | word.rlike("^([2-9]|[1-9][0-9]+)$")
-        elif w.endswith("*"):
-            out = out | word.startswith(w[:-1])
-    return out
+#: What ends a sentence, and what parts words, in folded text.
+MARKS, GAPS = "[.!?|\\n]+", "[^a-z0-9@|]+"
+WORD = "[a-z0-9@]+"
+NUMBERS = {"#": "[0-9]+", "##": "(?:[2-9]|[1-9][0-9]+)"}
 
 
-def numbered(c: Column) -> Column:
-    """array<struct<w, at>> of the words of folded text."""
-    marked = F.regexp_replace(c, MARKS, " " + "| " * STOP)
-    words = F.split(F.trim(F.regexp_replace(marked, "[^a-z0-9@|]+", " ")), " ")
-    return F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("at")))
+def one_of(vocabulary: list[str]) -> str:
+    return "|".join(NUMBERS.get(w) or (w[:-1] + WORD[:-1] + "*" if w.endswith("*") else w) for w in vocabulary)
 
 
-def ends(words: Column, rule: Rule, classes: Classes) -> Column:
-    """The words that a rule ends with, in order."""
-    first, *rest = rule
+def pattern(rule: Rule, classes: Classes) -> str:
+    """A rule as an expression over :func:`words`; its last word is the group."""
+    out = ""
+    for k, (name, most) in enumerate(rule):
+        between = f"(?: {WORD}){{0,{most - 1}}}?" if k else ""
+        out += f"{between} ({'' if k == len(rule) - 1 else '?:'}{one_of(classes[name])})"
+    return out + " "
 
-    def go(found: Column, steps: Rule) -> Column:
-        if not steps:
-            return found
-        (name, most), *later = steps
-        here = F.filter(words, lambda x: member(x["w"], classes[name]) & F.exists(found, lambda p: (x["at"] > p["at"]) & (x["at"] <= p["at"] + most)))
-        return let(here, lambda n: go(n, later))
 
-    return let(F.filter(words, lambda x: member(x["w"], classes[first[0]])), lambda n: go(n, rest))
-
-
-def with_words(c: Column, rules: list[Rule], classes: Classes, body: Callable[[Column], Column]) -> Column:
-    used = sorted({w for r in rules for name, _ in r for w in classes[name]})
-    return let(F.filter(numbered(c), lambda x: member(x["w"], used)), body)
+def words(c: Column) -> Column:
+    """Folded text as its words, a space around each, with a bar for a sentence's end."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.regexp_replace(c, MARKS, " | "), GAPS, " ")), F.lit(" "))
 
 
 def says(c: Column, rules: list[Rule], classes: Classes) -> Column:
     """Folded text holds what one of the rules tells of."""
-
-    def any_rule(words: Column) -> Column:
-        out = F.lit(False)
-        for r in rules:
-            out = out | (F.size(ends(words, r, classes)) > 0)
-        return out
-
-    return F.coalesce(with_words(c, rules, classes, any_rule), F.lit(False))
+    return F.coalesce(words(c).rlike("|".join(pattern(r, classes) for r in rules)), F.lit(False))
 
 
 def last_word(c: Column, rule: Rule, classes: Classes) -> Column:
-    """The first word that ends the rule, empty if none does."""
-    return F.coalesce(with_words(c, [rule], classes, lambda words: F.get(ends(words, rule, classes), 0)["w"]), F.lit(""))
+    """The word that ends the rule where it is first met, empty if it is not."""
+    return F.coalesce(F.regexp_extract(words(c), pattern(rule, classes), 1), F.lit(""))
 
 
 def put(c: Column, name: Column, mark: str) -> Column:
-    """Folded text with each run of the words of ``name`` replaced by one word, ``mark``."""
-    flat = lambda x: F.trim(F.regexp_replace(x, "[^a-z0-9@|]+", " "))
-    marked = F.concat(F.lit(" "), flat(F.regexp_replace(c, MARKS, " | ")), F.lit(" "))
-    return F.when(flat(name) == "", marked).otherwise(F.replace(marked, F.concat(F.lit(" "), flat(name), F.lit(" ")), F.lit(f" {mark} ")))
+    """Folded text as :func:`words`, with each run of the words of ``name`` replaced by one word, ``mark``."""
+    run = F.concat(F.lit(" "), F.trim(F.regexp_replace(name, GAPS, " ")), F.lit(" "))
+    return F.when(F.trim(run) == "", words(c)).otherwise(F.replace(words(c), run, F.lit(f" {mark} ")))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import wordrules
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -29,19 +31,13 @@ def quote(text: str) -> str:
 
 
 def sql_words(x: str) -> str:
-    """Words of folded text, a space around each, with a bar for a sentence's end."""
+    """:func:`wordrules.words` in SQL."""
     return f"(' ' || trim(regexp_replace(regexp_replace({x}, '[.!?|\\n]+', ' | ', 'g'), '[^a-z0-9@|]+', ' ', 'g')) || ' ')"
 
 
-def sql_rule(rule: list[tuple[str, int]], classes: dict[str, list[str]]) -> str:
-    """A rule on words as a regular expression over :func:`sql_words`; the last word is a group."""
-    kinds = {"#": "[0-9]+", "##": "(?:[2-9]|[1-9][0-9]+)"}
-    words = lambda name: "|".join(kinds.get(w) or (w[:-1] + "[a-z0-9@]*" if w.endswith("*") else w) for w in classes[name])
-    out = ""
-    for k, (name, most) in enumerate(rule):
-        out += ("" if not k else f"(?: [a-z0-9@]+){{0,{most - 1}}}") + f" ({'' if k == len(rule) - 1 else '?:'}{words(name)})"
-    return out + " "
+def sql_rule(rule: wordrules.Rule, classes: wordrules.Classes) -> str:
+    return wordrules.pattern(rule, classes)
 
 
-def sql_says(words: str, rules: list[list[tuple[str, int]]], classes: dict[str, list[str]]) -> str:
+def sql_says(words: str, rules: list[wordrules.Rule], classes: wordrules.Classes) -> str:
     return "(" + " or ".join(f"regexp_matches({words}, {quote(sql_rule(r, classes))})" for r in rules) + ")"
