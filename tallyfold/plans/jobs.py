@@ -261,9 +261,10 @@ def department_column(insee: str, postal: str) -> Column:
 
 def full_run(landed: list[DataFrame], seen: DataFrame, texts: DataFrame, gazetteer: DataFrame, signals: DataFrame, lex: Lexicon | None = None, floor: str | None = None) -> dict[str, DataFrame]:
     """Triage, events of titles and plans, publication and weak signals of one run."""
-    routed = triage_articles(landed, seen, texts, lex, floor)
+    routed = written(triage_articles(landed, seen, texts, lex, floor), "run-routed")
     extract = routed.filter("outcome = 'extract'")
     found, rest = fallback(extract, gazetteer, signals, lex)
+    found = written(found, "run-found")
     plans = titles.events_of_plans(extract, gazetteer, lex)
     both = found.unionByName(plans, allowMissingColumns=True).withColumn("department", F.lit(None).cast("string"))
     published, quarantined = publish(both, extract, gazetteer)
