@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.keys import canonical, place_key
 
 
-def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", department: str = "department") -> DataFrame:
-    """``requests`` with resolved_code, resolved_department, ambiguous and candidates.
+def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", department: str = "department", listed: bool = True) -> DataFrame:
+    """``requests`` with resolved_code, resolved_department, ambiguous and candidates, or n_candidates if they are not to be ``listed``.
 
     With a department the first ranked feature in it counts.  Without one, the
     first of all, unless features of exactly that name have several codes: then
@@ -19,14 +19,17 @@ def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", depar
     features = gazetteer.select(place_key("name").alias("_key"), F.struct("rank", "code", F.col("department").alias("department")).alias("_f"))
     # the gazetteer is folded first, so that requests stay one row each however many namesakes there are
     codes = F.sort_array(F.collect_set(F.when(F.col("_f.code") != "", F.col("_f.code"))))
-    of_name = features.groupBy("_key").agg(F.min("_f").alias("_any"), codes.alias("_codes"))
+    n_codes = F.count_distinct(F.when(F.col("_f.code") != "", F.col("_f.code")))
+    of_name = features.groupBy("_key").agg(F.min("_f").alias("_any"), n_codes.cast("int").alias("_n"), *([codes.alias("_codes")] if listed else []))
     of_both = features.groupBy("_key", F.col("_f.department").alias("_wanted")).agg(F.min("_f").alias("_own"))
     asked = requests.withColumn("_key", place_key(name)).withColumn("_wanted", F.coalesce(F.col(department), F.lit("")))
-    out = asked.join(of_name.hint("merge"), "_key", "left").join(of_both.hint("merge"), ["_key", "_wanted"], "left").withColumn("_codes", F.coalesce("_codes", F.array().cast("array<string>")))
+    # the lists of codes come last, so that no request takes one through a shuffle
+    out = asked.join(of_both.hint("merge"), ["_key", "_wanted"], "left").join(of_name.hint("merge"), "_key", "left")
     out = out.withColumn("_hit", F.when(F.col("_wanted") == "", F.col("_any")).otherwise(F.col("_own")))
-    vague = (F.col("_wanted") == "") & (F.size("_codes") > 1)
+    vague = (F.col("_wanted") == "") & (F.coalesce("_n", F.lit(0)) > 1)
     pick = lambda f: F.when(~vague, F.col(f"_hit.{f}"))
-    return out.select(*requests.columns, pick("code").alias("resolved_code"), pick("department").alias("resolved_department"), vague.alias("ambiguous"), F.when(vague, F.col("_codes")).otherwise(F.array().cast("array<string>")).alias("candidates"))
+    found = F.when(vague, F.col("_codes")).otherwise(F.array().cast("array<string>")).alias("candidates") if listed else F.when(vague, F.col("_n")).otherwise(F.lit(0)).alias("n_candidates")
+    return out.select(*requests.columns, pick("code").alias("resolved_code"), pick("department").alias("resolved_department"), vague.alias("ambiguous"), found)
 
 
 def variants(name: Column) -> Column:
