@@ -39,12 +39,14 @@ def history(states: DataFrame, key: str, revision: str, state: list[str]) -> Dat
 
 def replacement(missing: DataFrame, candidates: DataFrame, key: str, on: list[str]) -> DataFrame:
     """(key, replaced_by): candidates that agree in any of ``on``, where exactly one does."""
-    pairs = None
+    # what agrees is folded to its least and greatest key, so that no pair of points is a row
+    met = None
     for c in on:
-        met = missing.select(key, c).filter(F.col(c).isNotNull()).join(candidates.select(F.col(key).alias("_new"), c), c).select(key, "_new")
-        pairs = met if pairs is None else pairs.union(met)
-    found = pairs.distinct().groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_new").alias("replaced_by"))
-    return found.filter("_n = 1").select(key, "replaced_by")
+        few = candidates.filter(F.col(c).isNotNull()).groupBy(c).agg(F.min(key).alias("_low"), F.max(key).alias("_high"), F.bool_or(F.col(key).isNull()).alias("_gap"))
+        part = missing.select(key, c).join(few.hint("merge"), c).select(key, "_low", "_high", "_gap")
+        met = part if met is None else met.union(part)
+    found = met.groupBy(key).agg(F.min("_low").alias("replaced_by"), F.max("_high").alias("_high"), F.bool_or("_gap").alias("_gap"))
+    return found.filter(F.col("replaced_by").eqNullSafe(F.col("_high")) & (F.col("replaced_by").isNull() | ~F.col("_gap"))).select(key, "replaced_by")
 
 
 def unique_point(events: DataFrame, points: DataFrame, code: str, point: str, full: str, dated: Column) -> DataFrame:
