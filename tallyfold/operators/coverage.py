@@ -27,8 +27,8 @@ def expected_status(expected: DataFrame, events: DataFrame, signals: DataFrame)
     decides by its date_status.  Then a label that is an event's place, a plan
     in the bank's signals, a mention in a signal's text, and nothing.
     """
-    # each rule is an equi-join on bank and name, so that a bank with very many rows is no task of its own
-    known = lambda theirs, ours: events.select("bank_key", "event_seq", "date_status", F.col(theirs).alias(ours))
+    # each rule is an equi-join on bank and name, so that a bank with very many rows is no task of its own; of a name only its first event is met
+    known = lambda theirs, ours: events.filter(F.col(theirs).isNotNull()).groupBy("bank_key", F.col(theirs).alias(ours)).agg(F.min(F.struct("event_seq", "date_status")).alias("_e")).select("bank_key", ours, "_e.*").hint("merge")
     labelled = expected.filter("label_key <> ''")
     by_place = expected.join(known("place_key", "place_key"), ["bank_key", "place_key"]).select("expected_id", "event_seq", F.lit(0).alias("how"), "date_status")
     by_label = labelled.join(known("label_key", "label_key"), ["bank_key", "label_key"]).select("expected_id", "event_seq", F.lit(1).alias("how"), "date_status")
@@ -36,9 +36,11 @@ def expected_status(expected: DataFrame, events: DataFrame, signals: DataFrame)
     as_place = labelled.join(known("place_key", "label_key"), ["bank_key", "label_key"], "left_semi").select("expected_id")
     texts = signals.select("bank_key", "text_key", "plan_like").distinct()
     plan = expected.filter("is_plan").join(texts.filter("plan_like").select("bank_key").distinct(), "bank_key", "left_semi").select("expected_id")
-    named = expected.select(F.col("expected_id").alias("item_id"), "bank_key", F.explode(F.array_distinct(F.filter(F.array("place_key", "label_key"), lambda k: k != ""))).alias("k"))
+    named = expected.select("expected_id", "bank_key", F.explode(F.array_distinct(F.filter(F.array("place_key", "label_key"), lambda k: k != ""))).alias("k"))
+    names = named.select(F.struct("bank_key", "k").alias("item_id"), "bank_key", "k").distinct()  # each name is looked for once
     told = texts.select("bank_key", F.col("text_key").alias("t")).distinct().withColumn("doc_id", F.sha2(F.concat_ws("|", "bank_key", "t"), 256))
-    said = text_mentions(named, told, ["bank_key"]).select(F.col("item_id").alias("expected_id"))
+    met = text_mentions(names, told, ["bank_key"]).select("item_id.*").distinct()
+    said = named.join(met.hint("merge"), ["bank_key", "k"], "left_semi").select("expected_id")
     rest = first_rule(expected, "expected_id", (as_place, "label_as_place"), (plan, "plan"), (said, "mentioned"))
     return rest.join(direct, "expected_id", "left").select("expected_id", F.coalesce("_d.date_status", "status").alias("status"))
 
