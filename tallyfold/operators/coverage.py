@@ -52,19 +52,21 @@ def _grams(c: Column, n: Column | int) -> Column:
 
 
 def held_labels(listed: DataFrame, events: DataFrame, least: int) -> DataFrame:
-    """(listed_id, event_seq, e_lat, e_lon) where one label of the bank holds the other and the event's has ``least`` characters.
+    """(bank_key, label_key, e_label) where one label of the bank holds the other and the event's has ``least`` characters.
 
-    The label that is held begins with a piece that the other has: of
-    ``least`` characters, or the whole of it if it is shorter.  So labels meet by
-    bank and piece, and a bank with very many rows is no task of its own.
+    Labels meet as equal ones: the pieces of a label that are as long as labels
+    of the other side are, and these.  Each label of a bank is taken once, so
+    what meets are the pairs of labels that hold, however many rows have them.
     """
-    ours = listed.filter("label_key <> ''").select("listed_id", "bank_key", "label_key")
-    theirs = events.filter(F.length("e_label") >= least).select("event_seq", "bank_key", "e_label", "e_lat", "e_lon")
-    inside = ours.select("*", F.explode(_grams(F.col("label_key"), least)).alias("piece")).join(theirs.withColumn("piece", F.substring("e_label", 1, least)).hint("merge"), ["bank_key", "piece"]).filter("contains(label_key, e_label)")
-    sizes = F.transform(F.sequence(F.lit(1), F.lit(least)), lambda n: _grams(F.col("e_label"), n))
-    around = theirs.select("*", F.explode(F.flatten(sizes)).alias("piece")).join(ours.withColumn("piece", F.substring("label_key", 1, least)).hint("merge"), ["bank_key", "piece"]).filter("contains(e_label, label_key)")
-    columns = ["listed_id", "event_seq", "e_lat", "e_lon"]
-    return inside.select(*columns).union(around.select(*columns)).distinct()
+    ours = listed.filter("label_key <> ''").select("bank_key", "label_key").distinct()
+    theirs = events.filter(F.length("e_label") >= least).select("bank_key", "e_label").distinct()
+
+    def holding(outer: DataFrame, whole: str, inner: DataFrame, part: str) -> DataFrame:
+        sizes = inner.agg(F.sort_array(F.collect_set(F.length(part))).alias("_sizes"))  # one row; its array is as long as labels are
+        pieces = outer.crossJoin(F.broadcast(sizes)).select("bank_key", whole, F.explode(F.flatten(F.transform("_sizes", lambda n: _grams(F.col(whole), n)))).alias(part))
+        return pieces.join(inner.hint("merge"), ["bank_key", part]).select("bank_key", "label_key", "e_label")
+
+    return holding(ours, "label_key", theirs, "e_label").union(holding(theirs, "e_label", ours, "label_key")).distinct()
 
 
 def on_map(listed: DataFrame, events: DataFrame, signals: DataFrame | None = None, exact_m: float = 500, containment: int = 8) -> DataFrame:
@@ -78,10 +80,13 @@ def on_map(listed: DataFrame, events: DataFrame, signals: DataFrame | None = Non
     Else a signal (bank_key, department) makes it ``present_department``, and
     nothing ``needs_research``.  Blank names match nothing.
     """
-    columns = ["listed_id", "event_seq", "e_lat", "e_lon"]
-    by = lambda ours, theirs: listed.filter(f"{ours} <> ''").join(events.withColumn(ours, F.col(theirs)).drop("e_place", "e_original", "e_label").hint("merge"), ["bank_key", ours]).select(*columns)
-    met = by("place_key", "e_place").union(by("place_key", "e_original")).union(by("label_key", "e_label")).union(held_labels(listed, events, containment))
-    first = met.groupBy("listed_id").agg(F.min(F.struct("event_seq", "e_lat", "e_lon")).alias("_f"))
+    # of a name only its first event is met, so that rows of one name are no pairs
+    known = lambda theirs: events.filter(f"{theirs} <> ''").groupBy("bank_key", theirs).agg(F.min(F.struct("event_seq", "e_lat", "e_lon")).alias("_e"))
+    by = lambda ours, theirs: listed.filter(f"{ours} <> ''").join(known(theirs).withColumnRenamed(theirs, ours).hint("merge"), ["bank_key", ours]).select("listed_id", "_e")
+    held = held_labels(listed, events, containment).join(known("e_label").hint("merge"), ["bank_key", "e_label"]).groupBy("bank_key", "label_key").agg(F.min("_e").alias("_e"))
+    held = listed.select("listed_id", "bank_key", "label_key").join(held.hint("merge"), ["bank_key", "label_key"]).select("listed_id", "_e")
+    met = by("place_key", "e_place").union(by("place_key", "e_original")).union(by("label_key", "e_label")).union(held)
+    first = met.groupBy("listed_id").agg(F.min("_e").alias("_f"))
     found = listed.join(first.hint("merge"), "listed_id", "left")
     apart = distance_m("lat", "lon", "_f.e_lat", "_f.e_lon")
     status = F.when(F.col("_f").isNull(), None).when(F.col("_f.e_lat").isNull() | F.col("_f.e_lon").isNull(), "present_unlocated").when(apart < exact_m, "exact").otherwise("present_on_map")
