@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ def text(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that it reads many times, with the value computed once a row."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def fold(c: Column | str) -> Column:
     """Lower case without accents."""
     return F.regexp_replace(F.translate(F.lower(text(c)), ACCENTED, PLAIN), r"\p{Mn}", "")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,4 +28,8 @@ def alternation(terms: list[str], whole_words: bool = False) -> str:
 
 
 def has_any(c: Column, terms: list[str], whole_words: bool = False) -> Column:
-    return c.rlike(alternation(terms, whole_words)) if terms else F.lit(False)
+    if not terms:
+        return F.lit(False)
+    # literal terms are looked for as they are; only those that are there are held against their surroundings
+    held = reduce(or_, [c.contains(t) for t in sorted({folded(t) for t in terms})])
+    return held & c.rlike(alternation(terms, True)) if whole_words else held

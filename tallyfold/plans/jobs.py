@@ -18,9 +18,7 @@ def triage_articles(landed: list[DataFrame], seen: DataFrame, texts: DataFrame,
     """Articles of all sources, each URL once, unseen ones only, with texts, score and outcome."""
     lex = lex or Lexicon()
     rows = triage.with_full_text(triage.unseen(triage.union_first(landed), seen), texts)
-    scored = triage.analyse(rows, lex)
-    whole = fold(F.concat_ws(" ", "title", "text"))
-    return triage.route(scored.withColumn("is_relevant", triage.relevant(whole, lex)), floor, threshold).withColumn("id", article_id("url", "title", "date"))
+    return triage.route(triage.analyse(rows, lex), floor, threshold).withColumn("id", article_id("url", "title", "date"))
 
 
 def publish(events: DataFrame, articles: DataFrame, gazetteer: DataFrame, departments: dict[str, str] = DEPARTMENTS) -> tuple[DataFrame, DataFrame]:

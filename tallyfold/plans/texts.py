@@ -51,9 +51,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = triage.analyse(articles(spark, sf_dir), PROSE, cues=CUES)
-    whole = keys.fold(F.concat_ws(" ", "title", "text"))
-    return out.withColumn("is_relevant", triage.relevant(whole, PROSE))
+    return triage.analyse(articles(spark, sf_dir), PROSE, cues=CUES)
 
 
 _A = f"""a as (select doc_id, lang, substring(text, 1, 60) as title, text, {folded("substring(text, 1, 60)")} as ft, {folded("substring(text, 1, 60) || ' ' || text")} as fa,
