@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .keys import fold, text
+from .keys import fold, once, text
 from .lexicon import MONTHS
 
 ISO = r"^\d{4}-\d{2}-\d{2}"
@@ -54,19 +54,24 @@ def _day(year: Column, month: Column, day: Column) -> Column:
 
 def text_date(c: Column | str) -> Column:
     """First "day month year" of a text, null if there is no such day."""
-    t = fold(c)
+    return once(fold(c), _long_date)
+
+
+def _long_date(t: Column) -> Column:
     part = lambda i: F.regexp_extract(t, LONG_DATE, i)
     return F.when(t.rlike(LONG_DATE), _day(part(3), month_number(part(2)).cast("string"), part(1)))
 
 
 def title_date(title: Column | str, published: Column) -> Column:
     """struct(day, inferred): a title's date; a missing year is that of publication, rolled over at 300 days."""
-    t = fold(title)
-    part = lambda i: F.regexp_extract(t, SHORT_DATE, i)
-    near = F.when(t.rlike(SHORT_DATE), _day(F.year(published).cast("string"), month_number(part(2)).cast("string"), part(1)))
-    rolled = F.when(F.datediff(near, published) > 300, F.add_months(near, -12)).when(F.datediff(published, near) > 300, F.add_months(near, 12)).otherwise(near)
-    whole = text_date(title)
-    return F.struct(F.coalesce(whole, rolled).alias("day"), (whole.isNull() & rolled.isNotNull()).alias("inferred"))
+
+    def read(t: Column) -> Column:
+        part = lambda i: F.regexp_extract(t, SHORT_DATE, i)
+        return F.when(t.rlike(SHORT_DATE), _day(F.year(published).cast("string"), month_number(part(2)).cast("string"), part(1)))
+
+    roll = lambda near: F.when(F.datediff(near, published) > 300, F.add_months(near, -12)).when(F.datediff(published, near) > 300, F.add_months(near, 12)).otherwise(near)
+    both = lambda t: F.struct(_long_date(t).alias("whole"), once(read(t), roll).alias("rolled"))
+    return once(once(fold(title), both), lambda x: F.struct(F.coalesce(x["whole"], x["rolled"]).alias("day"), (x["whole"].isNull() & x["rolled"].isNotNull()).alias("inferred")))
 
 
 def temporal_status(day: Column, status: Column, today: Column) -> Column:

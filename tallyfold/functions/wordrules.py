@@ -43,7 +43,12 @@ def words(c: Column) -> Column:
 
 def says(c: Column, rules: list[Rule], classes: Classes) -> Column:
     """Folded text holds what one of the rules tells of."""
-    return F.coalesce(words(c).rlike("|".join(pattern(r, classes) for r in rules)), F.lit(False))
+    return words_say(words(c), rules, classes)
+
+
+def words_say(w: Column, rules: list[Rule], classes: Classes) -> Column:
+    """As :func:`says`, of text that is brought to words."""
+    return F.coalesce(w.rlike("|".join(pattern(r, classes) for r in rules)), F.lit(False))
 
 
 def last_word(c: Column, rule: Rule, classes: Classes) -> Column:

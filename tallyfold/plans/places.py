@@ -27,8 +27,8 @@ def titles_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.concat(F.lit("Une annonce ("), "d2", F.lit(") pour "), "d1")
     hint = titles.search_hint(F.concat(F.lit("Ce jour, dans "), "p2", F.lit(", "), "title"), F.lit("00"))
     published = F.date_add("day", (F.col("o_orderkey") % 20).cast("int"))
-    told = titles.state(F.col("title"), published)
-    t = keys.fold("title")
+    d = d.withColumns({"_told": titles.state(F.col("title"), published), "_t": keys.fold("title")})  # read more than once
+    told, t = F.col("_told"), F.col("_t")
     return d.select("o_orderkey", F.array_join(triage.departments_of(said, DEPARTMENTS), ",").alias("departments"), hint.alias("hint"), triage.first_brand(t, t, _LEX).alias("brand"), told["status"].alias("status"), told["temporal_status"].alias("temporal"), told["day"].alias("closed_on"))
 
 
@@ -40,12 +40,11 @@ def candidate_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.get(F.array(*[F.lit(m) for m in dates.MONTHS]), F.month("day") - 1)
     said = F.concat(F.lit("LCL ferme les agences de "), "p1", F.lit(", "), "p2", F.lit(" et 3 autres le "), F.day("day").cast("string"), F.lit(" "), month, F.lit(" ; reste le site de "), "p3", F.lit(".\nÀ "), "p1", F.lit(" rien d'autre, dit-on"))
     d = d.withColumns({"names": triage.candidate_places(said), "offices": titles.office_labels(F.concat(F.lit("Bureaux de poste "), "p1", F.lit(" et "), "p2"))})
-    near = d.select(F.struct("o_orderkey", "p1", "p2").alias("row"), "names")
+    near = d.select(F.struct("o_orderkey", "p1", "p2", F.array_join("names", ",").alias("candidates"), F.array_join("offices", ",").alias("offices")).alias("row"), "names")
     # the gazetteer of each order is the whole list; names that are only its third are taken out by what the row asks for
     gazetteer = spark.createDataFrame([(p,) for p in sorted(set(PLACES))], "name string")
-    valid = resolve.valid_candidates(near, gazetteer, "row", "names", 8).select("row.o_orderkey", "row.p1", "row.p2", "places")
-    known = valid.select("o_orderkey", F.array_join(F.filter("places", lambda x: x.isin(F.col("p1"), F.col("p2"))), ",").alias("known"))
-    return d.select("o_orderkey", F.array_join("names", ",").alias("candidates"), F.array_join("offices", ",").alias("offices")).join(known.hint("merge"), "o_orderkey")
+    valid = resolve.valid_candidates(near, gazetteer, "row", "names", 8).select("row.*", "places")
+    return valid.select("o_orderkey", "candidates", "offices", F.array_join(F.filter("places", lambda x: x.isin(F.col("p1"), F.col("p2"))), ",").alias("known"))
 
 
 @query(f"""with {TITLED}, n as (select *, case o_orderstatus when 'F' then p1 || ' / Centre' when 'O' then p1 || ' – Sud' else p1 || '-sur-Mer' end as name from told)
