@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import canonical, place_key
+from .select import among
 
 
 def resolve(requests: DataFrame, gazetteer: DataFrame, name: str = "name", department: str = "department", listed: bool = True) -> DataFrame:
@@ -59,9 +60,11 @@ def valid_candidates(rows: DataFrame, gazetteer: DataFrame, row: str, names: str
     """(row, places): the candidate names that are in the gazetteer, distinct and in order, ``most`` at most."""
     items = rows.select(row, F.posexplode(names).alias("_pos", "_name")).withColumn("_key", place_key("_name"))
     known = gazetteer.select(place_key("name").alias("_key")).distinct()
-    found = items.join(known.hint("merge"), "_key", "left_semi").groupBy(row, "_key").agg(F.min(F.struct("_pos", "_name")).alias("_f"))
-    ranked = found.withColumn("_rn", F.row_number().over(Window.partitionBy(row).orderBy("_f._pos"))).filter(F.col("_rn") <= most)
-    return ranked.groupBy(row).agg(F.transform(F.sort_array(F.collect_list("_f")), lambda x: x["_name"]).alias("places"))
+    # names are as many as a text lists, so they are told apart in their row: one shuffle, and none by names that many rows have
+    found = among(items, "_key", known).groupBy(row).agg(F.sort_array(F.collect_list(F.struct("_pos", "_name", "_key"))).alias("_f"))
+    found = found.withColumn("_keys", F.transform("_f", lambda x: x["_key"]))
+    first = F.filter("_f", lambda x, i: F.array_position(F.col("_keys"), x["_key"]) == i + 1)
+    return found.select(row, F.transform(F.slice(first, 1, most), lambda x: x["_name"]).alias("places"))
 
 
 def reattach(events: DataFrame, official: str, place: str = "place", original: str = "original_place") -> DataFrame:
