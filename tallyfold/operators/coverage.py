@@ -113,14 +113,16 @@ def text_mentions(items: DataFrame, docs: DataFrame, on: list[str] = []) -> Data
     token = F.when(F.size(w) >= 4, F.concat_ws(" ", F.get(w, 1), F.get(w, 2))).when(F.size(w) > 1, F.get(w, 1)).otherwise(F.get(w, 0))
     asked = items.filter("k <> ''").select("item_id", "k", *on, F.concat(kind, F.lit(" "), token).alias("_token"))
     size = lambda kind: F.sort_array(F.collect_set(F.when(F.col("_token").startswith(kind), F.length("_token") - 2)))
-    sizes = asked.agg(size("p").alias("_p"), size("s").alias("_s"))  # one row; its arrays are as long as words are
+    has = lambda kind: F.coalesce(F.bool_or(F.col("_token").startswith(kind)), F.lit(False))
+    sizes = asked.agg(size("p").alias("_p"), size("s").alias("_s"), has("g").alias("_has_g"), has("w").alias("_has_w"))  # one row; its arrays are as long as words are
     words = F.array_distinct(F.split("t", " "))
     grams = F.zip_with(F.split("t", " "), F.slice(F.split("t", " "), F.lit(2), F.size(F.split("t", " "))), lambda x, y: F.concat_ws(" ", x, y))
     tagged = lambda kind, found: F.transform(found, lambda x: F.concat(F.lit(f"{kind} "), x))
     begins = F.flatten(F.transform("_p", lambda n: F.transform(F.filter("_w", lambda x: F.length(x) >= n), lambda x: F.substr(x, F.lit(1), n))))
     pieces = F.flatten(F.transform("_s", lambda n: F.flatten(F.transform(F.filter("_w", lambda x: F.length(x) >= n), lambda x: _grams(x, n)))))
     said = docs.withColumn("_w", words).withColumn("_g", grams).crossJoin(F.broadcast(sizes))  # one row
-    all_ = F.concat(tagged("g", F.col("_g")), tagged("w", F.col("_w")), tagged("p", begins), tagged("s", pieces))
+    some = lambda c, found: F.when(F.col(c), found).otherwise(F.array().cast("array<string>"))
+    all_ = F.concat(some("_has_g", tagged("g", F.col("_g"))), some("_has_w", tagged("w", F.col("_w"))), tagged("p", begins), tagged("s", pieces))
     found = said.select("doc_id", *on, F.explode(F.array_distinct(all_)).alias("_token"))
     pairs = among(found, "_token", asked).join(asked.hint("merge"), [*on, "_token"]).select("doc_id", "item_id", "k").distinct()
     return docs.select("doc_id", "t").join(pairs.hint("merge"), "doc_id").filter("contains(t, k)").select("item_id", "doc_id")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, keys, names, numbers, terms, web
 from ..functions.lexicon import Lexicon
 from ..operators import coverage, reconcile, select, signals, triage
+from ..sources.landing import written
 from .common import query, quote, table
 
 #: Vocabulary of the invented prose: its frequent tokens stand for brands, closures and so on.
@@ -260,9 +261,10 @@ def coverage_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items by whether a document holds their whole text, or else their first word."""
     items = table(spark, sf_dir, "benchmark").select("item_id", keys.canonical("text").alias("k")).withColumn("first", F.get(F.split("k", " "), 0))
-    docs = table(spark, sf_dir, "documents").select("doc_id", keys.canonical("text").alias("t"))
+    docs = written(table(spark, sf_dir, "documents").select("doc_id", keys.canonical("text").alias("t")), "coverage-docs")  # read for words, items and whole texts
     hit = coverage.text_mentions(items, docs)
-    known = items.join(docs.select(F.explode(F.array_distinct(F.split("t", " "))).alias("first")).distinct().hint("merge"), "first", "left_semi")
+    words = select.among(docs.select(F.explode(F.array_distinct(F.split("t", " "))).alias("first")), "first", items).distinct()
+    known = items.join(words.hint("merge"), "first", "left_semi")
     return coverage.first_rule(items, "item_id", (hit, "mentioned"), (known, "word_known"))
 
 
