@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .keys import text
+from .keys import once, text
 
 # Hosts of the source tiers.
 TIER_A = ["credit-agricole.fr", "sg.fr", "labanquepostale.fr", "caisse-epargne.fr", "banquepopulaire.fr", "creditmutuel.fr", "cic.fr", "lcl.fr", "bnpparibas.fr", "bnpparibas.com", "boursobank.com", "hsbc.fr", "ing.fr", "fortuneo.fr", "monabanq.com", "hellobank.fr", "caissedesdepots.fr", "mairie.fr"]
@@ -27,22 +27,24 @@ def host(url: Column | str) -> Column:
     return F.regexp_replace(F.lower(found), r"^\.*(?:www\.)?", "")
 
 
-def suffixes(h: Column) -> Column:
-    """A host and the domains above it."""
-    labels = F.split(h, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def under(hosts: list[str]) -> str:
+    """A pattern for hosts that are one of ``hosts`` or below it."""
+    return r"(?:^|\.)(?:" + "|".join(h.replace(".", r"\.") for h in hosts) + r")\z"
 
 
 def source_tier(url: Column | str, tiers: list[tuple[str, list[str], str | None]] = TIERS, default: str = "D", last: tuple[str, str] | None = ("E", E_URL)) -> Column:
     """First tier that has the host, a domain above it, or a host like its pattern; else the tier of ``last`` if the URL is like that."""
-    h = host(url)
-    out = F.when(F.coalesce(h, F.lit("")) == "", F.lit(default))
-    for name, hosts, pattern in tiers:
-        hit = F.exists(suffixes(h), lambda s: s.isin(hosts))  # noqa: B023
-        out = out.when(hit | h.rlike(pattern) if pattern else hit, F.lit(name))
-    if last is not None:
-        out = out.when(text(url).rlike(last[1]), F.lit(last[0]))
-    return out.otherwise(default)
+
+    def of(h: Column) -> Column:
+        out = F.when(F.coalesce(h, F.lit("")) == "", F.lit(default))
+        for name, hosts, pattern in tiers:
+            hit = h.rlike(under(hosts))
+            out = out.when(hit | h.rlike(pattern) if pattern else hit, F.lit(name))
+        if last is not None:
+            out = out.when(text(url).rlike(last[1]), F.lit(last[0]))
+        return out.otherwise(default)
+
+    return once(host(url), of)
 
 
 def unescape(c: Column) -> Column:

@@ -51,10 +51,19 @@ def resolved_quarantine(quarantine: DataFrame, events: DataFrame, aliases: DataF
     Brand, type and one of the event's locations (place, original place,
     branch) agree, and so do the departments where both are known, each given
     by code or name.  ``aliases`` (alias, canonical) is the vocabulary of brands.
+    Events are folded to the best of each name, and of each name and department,
+    before rows meet them, so that namesakes are no pairs.
     """
     rows = keyed(quarantine.filter("resolved is null"), aliases, departments).select("id", "_bank", F.coalesce("kind", F.lit("closure")).alias("_kind"), loose_key(F.coalesce("place", F.lit(""))).alias("_place"), F.col("_department").alias("_d"))
-    met = rows.join(located(events, aliases, departments).hint("merge"), ["_bank", "_kind", "_place"]).filter("_d is null or _e is null or _d = _e")
-    return best_event(met)
+    best = F.min(F.struct((-F.col("reliability")).alias("r"), "created_at", "event_id"))
+    there = events.filter("lat is not null and lon is not null and code is not null")
+    spelled = there.groupBy("bank", "kind", "department", *LOCATIONS).agg(best.alias("_b")).select("*", "_b.*", *[F.lit(1).alias(c) for c in ("lat", "lon", "code")])  # spellings become keys once
+    name = ["_bank", "_kind", "_place"]
+    at = located(spelled.withColumn("reliability", -F.col("r")), aliases, departments).groupBy(*name, "_e").agg(best.alias("_b"))
+    any_ = at.groupBy(*name).agg(F.min("_b").alias("_all"), F.min(F.when(F.col("_e").isNull(), F.col("_b"))).alias("_open"))
+    met = rows.join(any_.hint("merge"), name).join(at.filter("_e is not null").select(*name, F.col("_e").alias("_d"), "_b").hint("merge"), [*name, "_d"], "left")
+    found = met.withColumn("_b", F.when(F.col("_d").isNull(), F.col("_all")).otherwise(F.least("_open", "_b"))).filter("_b is not null")
+    return found.groupBy("id").agg(F.min("_b").alias("_b")).select("id", F.col("_b.event_id").alias("event_id"))
 
 
 def source_url(c: Column | str) -> Column:

@@ -1,4 +1,4 @@
-"""Jobs: what a user calls, as compositions of the operators.  All are lazy; nothing is collected."""
+"""Jobs: what a user calls, as compositions of the operators.  All are lazy but for tables that several results read, which are written; nothing is collected."""
 
 from __future__ import annotations
 
@@ -207,8 +207,9 @@ def export_sections(events: DataFrame, event_sources: DataFrame, quarantine: Dat
     full = events.join(nested, "event_id", "left").withColumn("n_sources", F.coalesce("n_sources", F.lit(0))).join(F.broadcast(regions), "department", "left")
     settled = reconcile.resolved_quarantine(quarantine, events)
     keyed = lambda df: df.withColumns({"bank_key": loose_key("bank"), "place_key": loose_key("place")})
-    open_rows = quarantine.join(settled.select("id"), "id", "left_anti")
+    open_rows = written(quarantine.join(settled.select("id").hint("merge"), "id", "left_anti"), "export-quarantine")
     estimate = rollup.department_estimate(events, keyed(open_rows.filter(guard.countable(F.col("reason")))), signals.filter("n is not null").select("department", "n"), keyed(signals.filter("n is null")).withColumn("seq", F.struct(-F.col("score"), "id")))
+    estimate = written(estimate, "export-estimates")
     return {"events": full, "quarantine": open_rows, "signals": signals, "departments": estimate, "regions": rollup.by_region(full, "region", "department", "kind", "n_sources", ["closure", "project", "fusion"])}
 
 
