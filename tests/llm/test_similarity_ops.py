@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.llm import jaccard_join, line_dedup, suffix_dedup
 from tallyfold.llm.shingles import shingle_set
@@ -209,3 +210,27 @@ def test_every_similar_line_is_found(spark):
     assert {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df, exact=True).collect()} == want
     few = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df).collect()}
     assert sum(want[i] != i for i in ids) > 40 > sum(few[i] != i for i in ids)
+
+
+def test_pieces_of_lines_that_link_are_runs_of_the_shorter(spark):
+    rnd = random.Random(12)
+    pairs = []
+    for n in [*range(4, 40), 99]:
+        for _ in range(4):
+            a = [chr(97 + rnd.randrange(9)) + chr(97 + i // 26) + chr(97 + i % 26) for i in range(n)]
+            b = list(a)
+            for at in sorted(rnd.sample(range(n), n // 5), reverse=True):
+                b[at : at + 1] = [] if rnd.random() < 0.5 else ["other"]
+            pairs.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string")
+    keys = line_dedup.signed_lines(df).select("doc_id", F.col("sig.n").alias("n"), F.posexplode("runs").alias("at", "key")).withColumn("own", line_dedup.is_piece(F.col("n"), F.col("at")))
+    own, runs, size = defaultdict(set), defaultdict(set), {}
+    for r in keys.collect():
+        runs[r.doc_id].add(r.key)
+        size[r.doc_id] = r.n
+        if r.own:
+            own[r.doc_id].add(r.key)
+    assert all(len(own[2 * i]) == size[2 * i] // 5 + 1 for i in range(len(pairs)) if size[2 * i] > 4)
+    assert all(own[2 * i] & runs[2 * i + 1] for i in range(len(pairs)) if size[2 * i] > 4)
+    listed = len([k for k in runs if size[k] > 15]) and max(len(own[k]) / size[k] for k in runs if size[k] > 15)
+    assert listed < 0.27  # neighbouring words, as before, were 0.4 of a line's words
