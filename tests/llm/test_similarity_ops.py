@@ -234,3 +234,25 @@ def test_pieces_of_lines_that_link_are_runs_of_the_shorter(spark):
     assert all(own[2 * i] & runs[2 * i + 1] for i in range(len(pairs)) if size[2 * i] > 4)
     listed = len([k for k in runs if size[k] > 15]) and max(len(own[k]) / size[k] for k in runs if size[k] > 15)
     assert listed < 0.27  # neighbouring words, as before, were 0.4 of a line's words
+
+
+def test_lines_with_a_run_by_chance_are_no_candidates(spark):
+    rnd = random.Random(13)
+    phrase, rows = ["of", "the", "and", "to"], []
+    for g in range(60):  # the same words in each line, so that no count of words tells them apart, and one phrase at any place
+        w = [chr(97 + i // 26) + "x" + chr(97 + i % 26) for i in range(40)]
+        rnd.shuffle(w)
+        at = rnd.randrange(41)
+        rows.append((g, " ".join(w[:at] + phrase + w[at:])))
+    near = rows[0][1].split()
+    near[10:12] = ["other"]
+    rows.append((60, " ".join(near)))
+    found = line_dedup.runs(spark.createDataFrame(rows, "id long, line string")).selectExpr("id", "key", "own", "shiftleft(cast(n as bigint), 32) + 2 * place + cast(own as int) v")
+    keys = found.groupBy("key").agg(F.countDistinct("id").alias("c"), F.bool_or("own").alias("own")).filter("c > 1 and own").select("key")
+    lists = found.join(keys, "key").groupBy("key", "id").agg(F.min("v").alias("l"), F.max("v").alias("h"))
+    a, b = (lists.selectExpr("key", f"id {x}", f"l l{x}", f"h h{x}") for x in "ab")
+    met = a.join(b, "key").filter("a < b").select("a", "b", F.expr(line_dedup.MAY_LINK).alias("may")).groupBy("a", "b").agg(F.bool_or("may").alias("may")).collect()
+    may = {(r.a, r.b) for r in met if r.may}
+    assert (0, 60) in may and len(met) > 100 and len(may) < len(met) / 2  # before, all of them were: their words' parities are equal
+    got = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()}
+    assert got == {i: 0 if i == 60 else i for i in range(61)}
