@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.llm import jaccard_join, line_dedup, suffix_dedup
+from tallyfold.llm import bitmap, jaccard_join, line_dedup, suffix_dedup
 from tallyfold.llm.shingles import shingle_set
 
 from . import edge
@@ -256,3 +256,49 @@ def test_lines_with_a_run_by_chance_are_no_candidates(spark):
     assert (0, 60) in may and len(met) > 100 and len(may) < len(met) / 2  # before, all of them were: their words' parities are equal
     got = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()}
     assert got == {i: 0 if i == 60 else i for i in range(61)}
+
+
+def test_a_line_is_brought_to_its_form_once(spark):
+    df = spark.createDataFrame([(1, "Ab,  c – 12\t«D»\r\n\n  .\nE é…  "), (2, None)], "doc_id long, text string")
+    found = line_dedup.normalised(df, "doc_id", "text")
+    assert [(r.line_no, r.line) for r in found.orderBy("line_no").collect()] == [(0, "ab c 00 d"), (3, "e é")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1 and plan.count("lower(") == 1  # before, a filter had them made again for each line
+
+
+@pytest.mark.parametrize("bits", [10, 18])
+def test_a_dense_bitmap_has_each_key(spark, bits):
+    rows = spark.range(3000).selectExpr("id as key", "id % 7 as v")
+    marks = bitmap.dense_bitmap(rows.filter("key % 10 = 0"), "key", bits)
+    left = {r.key for r in bitmap.may_be_in_dense(rows, "key", marks, bits).collect()}
+    assert set(range(0, 3000, 10)) <= left and len(left) < 450
+    assert all(len(r[0]) == 1 << (bitmap.CHUNK - 6) for r in marks.select("_bm_words").collect())
+
+
+def test_a_common_run_makes_few_pairs(spark, monkeypatch):
+    rnd = random.Random(14)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(9))
+    common = [[word() for _ in range(4)] for _ in range(2)]
+    rows = []
+    for g in range(80):  # at one place each, so that no bound on places tells the lines apart
+        w = [word() for _ in range(60)]
+        for at, run in zip((8, 40), common, strict=True):
+            w[at : at + 4] = run
+        rows.append((g, " ".join(w)))
+    for g in (3, 50):
+        w = rows[g][1].split()
+        for at in rnd.sample([i for i in range(60) if not (8 <= i < 12 or 40 <= i < 44)], 12):
+            w[at] = word()
+        rows.append((len(rows), " ".join(w)))
+    written, write = [], line_dedup.Scratch.write
+
+    def counted(self, df, *args, **kinds):
+        out = write(self, df, *args, **kinds)
+        if df.columns == ["a", "b"]:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup.Scratch, "write", counted)
+    got = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()}
+    assert got == {i: {80: 3, 81: 50}.get(i, i) for i in range(82)}
+    assert max(written) < 400  # before, each two of the 82 lines were compared: 3,321 pairs
