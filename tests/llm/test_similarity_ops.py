@@ -302,3 +302,22 @@ def test_a_common_run_makes_few_pairs(spark, monkeypatch):
     got = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()}
     assert got == {i: {80: 3, 81: 50}.get(i, i) for i in range(82)}
     assert max(written) < 400  # before, each two of the 82 lines were compared: 3,321 pairs
+
+
+def test_lines_link_whatever_the_rounds(spark, monkeypatch):
+    rnd = random.Random(15)
+    rows = []
+    for g in range(25):
+        base = edge.words(3100 + g, rnd.choice([5, 9, 14, 30, 70]))
+        for _ in range(3):
+            w = list(base)
+            for _ in range(rnd.randint(0, len(base) // 5)):
+                w[rnd.randrange(len(w))] = rnd.choice(edge.words(4, 50))
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df, exact=True).collect()}
+    monkeypatch.setattr(line_dedup, "ROUND_PIECES", 50)
+    rounds, listed = [], line_dedup._listed
+    monkeypatch.setattr(line_dedup, "_listed", lambda *args: rounds.append(out := listed(*args)) or out)
+    assert {r.doc_id: r.keep_doc_id for r in line_dedup.groups(spark, df, exact=True).collect()} == whole
+    assert len(rounds) == line_dedup.ROUNDS and sum(k != v for k, v in whole.items()) > 20
